@@ -58,6 +58,8 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "16g")))

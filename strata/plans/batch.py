@@ -6,9 +6,12 @@ streaming jobs in ``strata.streaming`` produce the same rows incrementally.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from strata import config as C
+from strata.config import checkpoint_dir
 from strata.operators import cdc, logs, orders, traffic
 from strata.sources import fixtures as fx
 
@@ -21,14 +24,33 @@ def detail_logs(spark: SparkSession, sf_dir: str, mode: str = "same_day") -> dic
     return logs.split_log(logs.repair_new_flag(fx.ods_log(spark, sf_dir), mode=mode))
 
 
-def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detail_logs(spark, sf_dir)[logs.LOG_KIND_PAGE]
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a layer table into the session's shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads the table instead of
+    recomputing the upstream shuffles) and lets each consumer prune columns.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/strata-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+PAGE_STATS_COLUMNS = ("event_id", "common", "page", "ts")
+
+
+def page_log(spark: SparkSession, sf_dir: str, materialized: bool = False) -> DataFrame:
+    page = detail_logs(spark, sf_dir)[logs.LOG_KIND_PAGE]
+    return materialize(page, "dwd_page_log") if materialized else page
 
 
 def visitor_stats(spark: SparkSession, sf_dir: str, window: str = C.STATS_WINDOW,
                   within_ms: int = C.BOUNCE_WITHIN_MS) -> DataFrame:
-    """The flagship DAG: raw log to windowed visitor statistics."""
-    page = page_log(spark, sf_dir)
+    """The flagship DAG: raw log to windowed visitor statistics.
+
+    The page log feeds three legs, so it is computed once and materialized;
+    the legs read only the columns the statistics need.
+    """
+    page = page_log(spark, sf_dir, materialized=True).select(*PAGE_STATS_COLUMNS)
     return traffic.visitor_stats(page, traffic.unique_visit(page), traffic.user_jump(page, within_ms), window)
 
 

@@ -79,16 +79,16 @@ def q_log_display(spark, d):
 
 
 def q_unique_visit(spark, d):
-    return flat_page(traffic.unique_visit(batch.page_log(spark, d)))
+    return flat_page(traffic.unique_visit(batch.page_log(spark, d).select(*batch.PAGE_STATS_COLUMNS)))
 
 
 def q_user_jump(spark, d, within_ms=C.BOUNCE_WITHIN_MS):
-    return flat_page(traffic.user_jump(batch.page_log(spark, d), within_ms))
+    return flat_page(traffic.user_jump(batch.page_log(spark, d).select(*batch.PAGE_STATS_COLUMNS), within_ms))
 
 
 def q_stats_leg(leg: str):
     def q(spark, d):
-        page = batch.page_log(spark, d)
+        page = batch.page_log(spark, d).select(*batch.PAGE_STATS_COLUMNS)
         if leg == "pv":
             return traffic.stats_pv(page)
         if leg == "uv":
@@ -100,7 +100,7 @@ def q_stats_leg(leg: str):
 
 
 def q_stats_union(spark, d):
-    page = batch.page_log(spark, d)
+    page = batch.page_log(spark, d, materialized=True).select(*batch.PAGE_STATS_COLUMNS)
     return traffic.union_stats(traffic.stats_pv(page), traffic.stats_uv(traffic.unique_visit(page)),
                                traffic.stats_sv(page), traffic.stats_uj(traffic.user_jump(page)))
 

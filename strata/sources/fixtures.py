@@ -17,8 +17,17 @@ from strata.functions.columns import format_ms, ntz_to_ms, parse_time_ms
 C_MONEY = "decimal(16,2)"
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; the (lazy) reader is reused within a session so the file
+    listing and footer read happen once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 # --- traffic: raw app log (ods_base_log) -----------------------------------
@@ -152,8 +161,9 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         none.cast(C_MONEY).alias("coupon_reduce_amount"), money.alias("original_total_amount"),
         none.cast(C_MONEY).alias("feight_fee"), none.cast("string").alias("expire_time"),
         format_ms(ms).alias("create_time"), none.cast("string").alias("operate_time"),
-        format_ms(ms, C.DATE_FORMAT).alias("create_date"), format_ms(ms, "HH").alias("create_hour"))
-    return out.withColumn("create_ts", parse_time_ms("create_time"))
+        format_ms(ms, C.DATE_FORMAT).alias("create_date"), format_ms(ms, "HH").alias("create_hour"),
+        parse_time_ms(format_ms(ms)).alias("create_ts"))
+    return out
 
 
 def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
