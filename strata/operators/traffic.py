@@ -63,39 +63,40 @@ def user_jump(page_log: DataFrame, within_ms: int = C.BOUNCE_WITHIN_MS, tiebreak
 
 
 def to_stats(log: DataFrame, uv: int = 0, pv: int = 0, sv: int | Column = 0, uj: int = 0,
-             dur: Column | None = None) -> DataFrame:
-    """One stats row per log row — the four dimensions, constant measures, ts."""
+             dur: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One stats row per log row — the four dimensions, constant measures, ts
+    (plus ``keep`` columns, e.g. a watermarked event time)."""
     lit = lambda v: v if isinstance(v, Column) else F.lit(v)
     return log.select(
         *[F.col(f"common.{d}").alias(d) for d in STATS_DIMS],
         lit(uv).cast("bigint").alias("uv_ct"), lit(pv).cast("bigint").alias("pv_ct"),
         lit(sv).cast("bigint").alias("sv_ct"), lit(uj).cast("bigint").alias("uj_ct"),
         (dur if dur is not None else F.lit(0)).cast("bigint").alias("dur_sum"),
-        F.col("ts"))
+        F.col("ts"), *[F.col(k) for k in keep])
 
 
-def stats_pv(page_log: DataFrame) -> DataFrame:
+def stats_pv(page_log: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Page views with dwell time (Q11: a null during_time counts as 0)."""
-    return to_stats(page_log, pv=1, dur=F.coalesce(F.col("page.during_time"), F.lit(0)))
+    return to_stats(page_log, pv=1, dur=F.coalesce(F.col("page.during_time"), F.lit(0)), keep=keep)
 
 
-def stats_uv(unique_rows: DataFrame) -> DataFrame:
-    return to_stats(unique_rows, uv=1)
+def stats_uv(unique_rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return to_stats(unique_rows, uv=1, keep=keep)
 
 
-def stats_sv(page_log: DataFrame) -> DataFrame:
+def stats_sv(page_log: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Sessions: one per entry page."""
-    return to_stats(page_log.filter(is_entry_page()), sv=1)
+    return to_stats(page_log.filter(is_entry_page()), sv=1, keep=keep)
 
 
-def stats_uj(jump_rows: DataFrame) -> DataFrame:
-    return to_stats(jump_rows, uj=1)
+def stats_uj(jump_rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return to_stats(jump_rows, uj=1, keep=keep)
 
 
-def stats_pv_sv(page_log: DataFrame) -> DataFrame:
+def stats_pv_sv(page_log: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The pv and sv legs read the same page log: one pass yields both measures."""
     entry = F.when(is_entry_page(), F.lit(1)).otherwise(F.lit(0))
-    return to_stats(page_log, pv=1, sv=entry, dur=F.coalesce(F.col("page.during_time"), F.lit(0)))
+    return to_stats(page_log, pv=1, sv=entry, dur=F.coalesce(F.col("page.during_time"), F.lit(0)), keep=keep)
 
 
 def union_stats(*legs: DataFrame) -> DataFrame:

@@ -251,3 +251,60 @@ def queries() -> dict[str, Query]:
 
 
 __all__ = ["queries", "QUERIES", "format_ms"]
+
+
+# --- streaming twins: the same rows through the streaming jobs -----------------
+
+def _parsed_topic(spark, path_df):
+    return path_df.select(F.from_json("value", S.LOG).alias("r")).select("r.*")
+
+
+def q_stream_visitor_flag_repair(spark, d):
+    """K1 through ``jobs.base_log`` (state per device), read back from the start and page topics."""
+    from strata.streaming import jobs, replay, topics as T
+    root = replay.scratch(spark, "base_log")
+    replay.replay_logs(spark, {"ods_base_log": fx.ods_log(spark, d)},
+                       lambda r: jobs.base_log(spark, r, f"{r}/_ck"), root)
+    rows = T.read_fanout(spark, root, C.TOPIC_START, stream=False).unionByName(
+        T.read_fanout(spark, root, C.TOPIC_PAGE, stream=False))
+    return flat_log(_parsed_topic(spark, rows))
+
+
+def q_stream_unique_visit(spark, d):
+    from strata.streaming import jobs, replay, topics as T
+    root = replay.scratch(spark, "unique_visit")
+    src = lambda: T.read_topic(spark, root, "page_in")
+    replay.replay_logs(spark, {"page_in": batch.page_log(spark, d)},
+                       lambda r: jobs.unique_visit(spark, r, f"{r}/_ck", source=src), root)
+    return flat_page(_parsed_topic(spark, T.read_topic_batch(spark, root, C.TOPIC_UNIQUE_VISIT)))
+
+
+def q_stream_user_jump(spark, d, within_ms=C.BOUNCE_WITHIN_MS):
+    from strata.streaming import jobs, replay, topics as T
+    root = replay.scratch(spark, "user_jump")
+    src = lambda: T.read_topic(spark, root, "page_in")
+    replay.replay_logs(spark, {"page_in": batch.page_log(spark, d)},
+                       lambda r: jobs.user_jump(spark, r, f"{r}/_ck", within_ms, source=src), root, flush=True)
+    out = _parsed_topic(spark, T.read_topic_batch(spark, root, C.TOPIC_USER_JUMP))
+    return flat_page(out.filter(F.col("common.mid") != replay.MARKER))
+
+
+def q_stream_order_wide(spark, d):
+    """J1 as a stream ⋈ stream interval join, J3 per micro-batch."""
+    from strata.streaming import jobs, replay, topics as T
+    root = replay.scratch(spark, "order_wide")
+    T.publish(fx.order_info(spark, d), root, "dwd_order_info")
+    T.publish(fx.order_detail(spark, d), root, "dwd_order_detail")
+    q = jobs.order_wide(spark, root, f"{root}/_ck", f"{root}/out", lambda: batch.order_dims(spark, d),
+                        batch.AGE_NOW_MS)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
+
+
+QUERIES.update({
+    "stream_visitor_flag_repair": q_stream_visitor_flag_repair,
+    "stream_unique_visit": q_stream_unique_visit,
+    "stream_user_jump": q_stream_user_jump,
+    "stream_user_jump_long": lambda s, d: q_stream_user_jump(s, d, LONG_WITHIN_MS),
+    "stream_order_wide": q_stream_order_wide,
+})

@@ -124,10 +124,8 @@ def visitor_stats(spark: SparkSession, root: str, checkpoint: str, out_path: str
     page = leg("page", C.TOPIC_PAGE)
     uv = leg("uv", C.TOPIC_UNIQUE_VISIT)
     uj = leg("uj", C.TOPIC_USER_JUMP, within_ms)
-    stats = traffic.union_stats(
-        traffic.stats_pv_sv(page).withColumn("_et", event_time("ts")),
-        traffic.stats_uv(uv).withColumn("_et", event_time("ts")),
-        traffic.stats_uj(uj).withColumn("_et", event_time("ts")))
+    stats = traffic.union_stats(traffic.stats_pv_sv(page, keep=("_et",)), traffic.stats_uv(uv, keep=("_et",)),
+                                traffic.stats_uj(uj, keep=("_et",)))
     g = (stats.groupBy(F.window("_et", window).alias("_w"), *traffic.STATS_DIMS)
          .agg(*[F.sum(m).cast("bigint").alias(m) for m in traffic.MEASURES], F.min("ts").alias("ts")))
     out = g.select(F.date_format("_w.start", C.TIME_FORMAT).alias("stt"),
