@@ -98,13 +98,15 @@ def normalize_op(op: str | Column) -> Column:
     return F.when(c == F.lit(C.OP_BOOTSTRAP_INSERT), F.lit(C.OP_INSERT)).otherwise(c)
 
 
-def prune_map(data: str | Column, columns: str | Column) -> Column:
+def prune_map(data: str | Column, columns: str | Column, keep: str | Column | None = None) -> Column:
     """Keep the keys named in a comma list (exact, no trimming).
 
-    A null or empty list keeps every key.
+    A null or empty list keeps every key. ``keep`` may name a column already
+    holding ``split(columns, ',')`` so the split runs once per row rather than
+    once per map entry.
     """
-    keep = F.split(col(columns), ",")
-    pruned = F.map_filter(col(data), lambda k, v: F.array_contains(keep, k))
+    keep_arr = col(keep) if keep is not None else F.split(col(columns), ",")
+    pruned = F.map_filter(col(data), lambda k, v: F.array_contains(keep_arr, k))
     return F.when(is_blank(columns), col(data)).otherwise(pruned)
 
 
