@@ -104,13 +104,17 @@ def user_jump(spark: SparkSession, root: str, checkpoint: str, within_ms: int =
 
 # --- visitor_stats ----------------------------------------------------------------
 
-def visitor_stats(spark: SparkSession, root: str, checkpoint: str, out_path: str,
+def visitor_stats(spark: SparkSession, root: str, checkpoint: str, out_path: str | None,
                   window: str = C.STATS_WINDOW, within_ms: int = C.BOUNCE_WITHIN_MS,
                   delay: str = C.WATERMARK_DELAY, trigger: dict | None = None,
-                  sources: dict[str, Callable[[], DataFrame]] | None = None):
+                  sources: dict[str, Callable[[], DataFrame]] | None = None, jdbc: dict | None = None):
     """U1 + A1 in append mode. Each leg gets its own watermark before the union
     (Q4): the bounce leg arrives ``within`` late by construction, so its delay
-    is ``within + delay``; the query watermark is the minimum of the legs."""
+    is ``within + delay``; the query watermark is the minimum of the legs.
+
+    S7: rows go to a parquet file sink (exactly once), or with ``jdbc`` options
+    to an OLAP table per micro-batch (append; at least once — make the table
+    deduplicate on (stt, edt, vc, ch, ar, is_new))."""
     src = sources or {}
 
     def leg(name: str, topic: str, extra_ms: int = 0) -> DataFrame:
@@ -131,8 +135,11 @@ def visitor_stats(spark: SparkSession, root: str, checkpoint: str, out_path: str
     out = g.select(F.date_format("_w.start", C.TIME_FORMAT).alias("stt"),
                    F.date_format("_w.end", C.TIME_FORMAT).alias("edt"),
                    *traffic.STATS_DIMS, *traffic.MEASURES, "ts")
-    return (out.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).format("parquet").start(out_path))
+    w = (out.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+         .trigger(**(trigger or {"availableNow": True})))
+    if jdbc is not None:
+        return w.foreachBatch(lambda b, _i: b.write.format("jdbc").options(**jdbc).mode("append").save()).start()
+    return w.format("parquet").start(out_path)
 
 
 def _seconds(text: str) -> float:
@@ -171,6 +178,20 @@ def routed_table(spark: SparkSession, out_path: str) -> DataFrame:
     return cdc.parse_cdc(spark.read.parquet(out_path))
 
 
+def dimension_tables(spark: SparkSession, out_path: str, layout: dict[str, list[str]],
+                     apply_deletes: bool = False) -> dict[str, DataFrame]:
+    """S4 read side: current dimension tables from the routed change log,
+    re-read on every call (so a per-batch lookup sees the newest upserts).
+    ``layout`` maps a dimension table to its columns; the rows keep ``pk`` → ``id``."""
+    routed = routed_table(spark, out_path).filter(F.col("route") == cdc.ROUTE_DIM)
+    cur = cdc.dim_current(cdc.dim_changes(routed), apply_deletes)
+    out = {}
+    for table, cols in layout.items():
+        v = cdc.dim_view(cur, table, cols)
+        out[table] = v.drop("id").withColumnRenamed("pk", "id") if "id" in cols else v.withColumnRenamed("pk", "id")
+    return out
+
+
 # --- order_wide / payment_wide -----------------------------------------------------
 
 def _typed(raw: DataFrame, ddl: str) -> DataFrame:

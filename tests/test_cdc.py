@@ -89,3 +89,28 @@ def test_fact_payload_reparses_typed(spark):
         "from_json(v, 'id string, total_amount string') as r").selectExpr(
         "cast(r.id as bigint) id", "cast(r.total_amount as decimal(16,2)) amt").collect()[0]
     assert back.id == 7 and str(back.amt) == "1.50"
+
+
+def test_rules_reader_and_camel(spark, tmp_path):
+    from strata.sources.rules import read_rules, rules_camel
+    p = str(tmp_path / "rules.csv")
+    with open(p, "w") as f:
+        f.write("SOURCE_TABLE,operate_type,sink_type,sink_table,sink_columns,sink_pk,sink_extend\n")
+        f.write("user_info,insert,hbase,dim_user_info,\"id,name\",id,\n")
+    r = read_rules(spark, p, fmt="csv")
+    assert r.columns[0] == "rule_seq" and r.count() == 1
+    assert "sinkColumns" in rules_camel(r).columns
+
+
+def test_dimension_tables_from_routed_log(spark):
+    from strata.plans import batch
+    from strata.streaming import jobs, replay, topics
+    from strata.sources import fixtures as fx
+    from tests.conftest import SF
+    root = replay.scratch(spark, "t-dims")
+    topics.publish(fx.cdc_records(spark, SF), root, "ods_base_db")
+    jobs.base_db(spark, root, f"{root}/_ck", f"{root}/out", lambda: fx.routing_rules(spark)).awaitTermination()
+    d = jobs.dimension_tables(spark, f"{root}/out", {"dim_user_info": ["id", "name", "seg"]})["dim_user_info"]
+    want = cdc.dim_view(batch.dimension_current(spark, SF), "dim_user_info", ["id", "name", "seg"])
+    assert sorted((r.id, r.name, r.seg) for r in d.collect()) == \
+        sorted((r.pk, r.name, r.seg) for r in want.collect())
