@@ -56,7 +56,7 @@ def visitor_stats(spark: SparkSession, sf_dir: str, window: str = C.STATS_WINDOW
 
 def routed_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ods change records → ETL filter → routing (tagged fact | dim | reject)."""
-    recs = cdc.etl_filter(cdc.parse_cdc(fx.cdc_records(spark, sf_dir)))
+    recs = cdc.parse_cdc(cdc.etl_filter(fx.cdc_records(spark, sf_dir)))
     return cdc.route(recs, fx.routing_rules(spark))
 
 

@@ -116,7 +116,7 @@ def q_visitor_stats_1d(spark, d):
 # --- change records ---------------------------------------------------------
 
 def q_etl_filter_cdc(spark, d):
-    recs = cdc.etl_filter(cdc.parse_cdc(fx.cdc_records(spark, d)))
+    recs = cdc.parse_cdc(cdc.etl_filter(fx.cdc_records(spark, d)))
     return recs.select("seq", F.col("table").alias("source_table"),
                        F.col("type").alias("raw_type"), cdc.normalize_op("type").alias("op_type"))
 

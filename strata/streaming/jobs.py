@@ -159,7 +159,7 @@ def base_db(spark: SparkSession, root: str, checkpoint: str, out_path: str,
     own folder, so the sink is idempotent)."""
     raw = read_topic(spark, root, "ods_base_db", fmt, None, kafka_options)
     recs = raw.select(F.from_json("value", S.CDC_TEXT).alias("r")).select("r.*")
-    recs = cdc.etl_filter(cdc.parse_cdc(recs))
+    recs = cdc.parse_cdc(cdc.etl_filter(recs))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         routed = cdc.route(batch, rules())
