@@ -38,8 +38,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 PAGE_STATS_COLUMNS = ("event_id", "common", "page", "ts")
 
 
-def page_log(spark: SparkSession, sf_dir: str, materialized: bool = False) -> DataFrame:
+def page_log(spark: SparkSession, sf_dir: str, materialized: bool = False,
+             columns: tuple[str, ...] | None = None) -> DataFrame:
     page = detail_logs(spark, sf_dir)[logs.LOG_KIND_PAGE]
+    if columns:
+        page = page.select(*columns)
     return materialize(page, "dwd_page_log") if materialized else page
 
 
@@ -50,7 +53,7 @@ def visitor_stats(spark: SparkSession, sf_dir: str, window: str = C.STATS_WINDOW
     The page log feeds three legs, so it is computed once and materialized;
     the legs read only the columns the statistics need.
     """
-    page = page_log(spark, sf_dir, materialized=True).select(*PAGE_STATS_COLUMNS)
+    page = page_log(spark, sf_dir, materialized=True, columns=PAGE_STATS_COLUMNS)
     return traffic.visitor_stats(page, traffic.unique_visit(page), traffic.user_jump(page, within_ms), window)
 
 

@@ -100,7 +100,7 @@ def q_stats_leg(leg: str):
 
 
 def q_stats_union(spark, d):
-    page = batch.page_log(spark, d, materialized=True).select(*batch.PAGE_STATS_COLUMNS)
+    page = batch.page_log(spark, d, materialized=True, columns=batch.PAGE_STATS_COLUMNS)
     return traffic.union_stats(traffic.stats_pv(page), traffic.stats_uv(traffic.unique_visit(page)),
                                traffic.stats_sv(page), traffic.stats_uj(traffic.user_jump(page)))
 
