@@ -134,11 +134,19 @@ RULE_COLUMNS = ["rule_seq", "source_table", "operate_type", "sink_type", "sink_t
                 "sink_columns", "sink_pk", "sink_extend"]
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "CAST(NULL AS STRING)"
+    if isinstance(v, int):
+        return str(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def routing_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        ROUTING_RULES,
-        "rule_seq INT, source_table STRING, operate_type STRING, sink_type STRING, sink_table STRING, "
-        "sink_columns STRING, sink_pk STRING, sink_extend STRING")
+    """The rule rows as an inline VALUES relation: no Python in the executed plan,
+    and the planner knows its exact size."""
+    rows = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in ROUTING_RULES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(RULE_COLUMNS)})")
 
 
 # --- orders, lines, payments -----------------------------------------------
