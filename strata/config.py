@@ -36,6 +36,7 @@ ORDER_LINE_UPPER_MS = 5
 PAYMENT_LOWER_MS = -1_800_000
 PAYMENT_UPPER_MS = 0
 VISIT_STATE_TTL_MS = 86_400_000
+CHECKPOINT_INTERVAL = "5 seconds"
 GENDER_MALE_CODE = "M"
 GENDER_MALE_LABEL = "男"
 GENDER_FEMALE_LABEL = "女"

@@ -33,6 +33,17 @@ from strata.streaming.state import OUT_SCHEMA, BounceDetector, FlagRepair, Uniqu
 from strata.streaming.topics import read_fanout, read_topic, write_topic, write_topics
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# A live job commits a micro-batch (offsets + state checkpoint) every 5 s, like the original.
+LIVE_TRIGGER = {"processingTime": C.CHECKPOINT_INTERVAL}
+
+
+def late_rows(query) -> int:
+    """Rows the query's stateful operators dropped as later than the watermark."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) or []:
+            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
+    return total
 
 
 def _use_rocksdb(spark: SparkSession) -> None:

@@ -99,3 +99,22 @@ def test_routing_stream_rereads_rules(spark):
     jobs.base_db(spark, root, f"{root}/_ck", f"{root}/out", rules2).awaitTermination()
     again = jobs.routed_table(spark, f"{root}/out").filter("batch_id = 1")
     assert again.count() > 0 and again.filter(F.col("route") != "reject").count() == 0
+
+
+def test_late_rows_are_dropped_and_counted(spark):
+    """Once every leg's watermark has passed, a late row is dropped and counted.
+    (A leg that never saw data holds the query watermark back: min policy.)"""
+    root = replay.scratch(spark, "t-late")
+    src = {k: (lambda k=k: topics.read_topic(spark, root, f"{k}_in")) for k in ("page", "uv", "uj")}
+
+    def step(row):
+        for k in ("page", "uv", "uj"):
+            topics.publish(log_df(spark, [row]), root, f"{k}_in")
+        q = jobs.visitor_stats(spark, root, f"{root}/_ck", f"{root}/out", within_ms=1_000, sources=src)
+        q.awaitTermination()
+        return q
+    step(log_row(1, 100_000))
+    step(log_row(2, 200_000))
+    q = step(log_row(3, 150_000, vc="late"))  # behind every leg's watermark now
+    assert jobs.late_rows(q) >= 1
+    assert spark.read.parquet(f"{root}/out").filter(F.col("vc") == "late").count() == 0
