@@ -295,9 +295,10 @@ def q_stream_order_wide(spark, d):
     root = replay.scratch(spark, "order_wide")
     T.publish(fx.order_info(spark, d), root, "dwd_order_info")
     T.publish(fx.order_detail(spark, d), root, "dwd_order_detail")
-    q = jobs.order_wide(spark, root, f"{root}/_ck", f"{root}/out", lambda: batch.order_dims(spark, d),
-                        batch.AGE_NOW_MS)
-    q.awaitTermination()
+    with replay.state_partitions(spark):
+        q = jobs.order_wide(spark, root, f"{root}/_ck", f"{root}/out", lambda: batch.order_dims(spark, d),
+                            batch.AGE_NOW_MS)
+        q.awaitTermination()
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 

@@ -10,8 +10,9 @@ checkpoint, so each replay round is also a restart.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,13 +34,27 @@ def flush_rows(log: DataFrame, max_ts: int, step: int, field: str = "mid") -> Da
             .withColumn("common", F.col("common").withField(field, F.lit(MARKER))))
 
 
+@contextlib.contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None) -> Iterator[None]:
+    """Pin the shuffle/state partition count while a stateful query first starts
+    (it is then fixed in the checkpoint); the session setting is restored after."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def replay_logs(spark: SparkSession, inputs: dict[str, DataFrame], run: Callable[[str], object],
-                root: str, flush: bool = False, field: str = "mid") -> None:
+                root: str, flush: bool = False, field: str = "mid", partitions: int | None = None) -> None:
     """Publish ``inputs`` (topic → log frame), run the job, then flush if asked."""
     for topic, df in inputs.items():
         topics.publish(df, root, topic)
-    q = run(root)
-    q.awaitTermination()
+    with state_partitions(spark, partitions):
+        q = run(root)
+        q.awaitTermination()
     if not flush:
         return
     max_ts = max((df.agg(F.max("ts")).first()[0] or 0) for df in inputs.values())
