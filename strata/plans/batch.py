@@ -32,7 +32,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{checkpoint_dir(df.sparkSession)}/strata-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 PAGE_STATS_COLUMNS = ("event_id", "common", "page", "ts")
