@@ -302,7 +302,31 @@ def q_stream_order_wide(spark, d):
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
+def q_stream_visitor_stats_10s(spark, d):
+    """The summary layer end to end in streaming: page log → streaming K2 and K3 →
+    per-leg watermarks → union → 10 s windows in append mode."""
+    from strata.streaming import jobs, replay, topics as T
+    page = batch.page_log(spark, d)
+    root = replay.scratch(spark, "visitor_stats")
+    src = lambda: T.read_topic(spark, root, "page_in")
+    replay.replay_logs(spark, {"page_in": page}, lambda r: jobs.unique_visit(spark, r, f"{r}/_ck_uv", source=src), root)
+    jobs_root = replay.scratch(spark, "visitor_stats_uj")
+    src2 = lambda: T.read_topic(spark, jobs_root, "page_in")
+    replay.replay_logs(spark, {"page_in": page},
+                       lambda r: jobs.user_jump(spark, r, f"{r}/_ck_uj", source=src2), jobs_root, flush=True)
+    uv = _parsed_topic(spark, T.read_topic_batch(spark, root, C.TOPIC_UNIQUE_VISIT))
+    uj = _parsed_topic(spark, T.read_topic_batch(spark, jobs_root, C.TOPIC_USER_JUMP)) \
+        .filter(F.col("common.mid") != replay.MARKER)
+    stats_root = replay.scratch(spark, "visitor_stats_out")
+    legs = {k: (lambda k=k: T.read_topic(spark, stats_root, f"{k}_in")) for k in ("page", "uv", "uj")}
+    replay.replay_logs(spark, {"page_in": page, "uv_in": uv, "uj_in": uj},
+                       lambda r: jobs.visitor_stats(spark, r, f"{r}/_ck", f"{r}/out", sources=legs),
+                       stats_root, flush=True, field="vc")
+    return spark.read.parquet(f"{stats_root}/out").filter(F.col("vc") != replay.MARKER)
+
+
 QUERIES.update({
+    "stream_visitor_stats_10s": q_stream_visitor_stats_10s,
     "stream_visitor_flag_repair": q_stream_visitor_flag_repair,
     "stream_unique_visit": q_stream_unique_visit,
     "stream_user_jump": q_stream_user_jump,

@@ -360,6 +360,7 @@ WHERE dim_table IN (SELECT DISTINCT dim_table FROM dim_cur)"""
     q["payment_wide"] = payment_sql(("user", "province", "sku", "spu", "category3", "trademark"))
     q["order_wide_merge"] = merge_sql()
     # streaming twins produce the rows of their batch forms
-    for name in ("visitor_flag_repair", "unique_visit", "user_jump", "user_jump_long", "order_wide"):
+    for name in ("visitor_flag_repair", "unique_visit", "user_jump", "user_jump_long", "order_wide",
+                 "visitor_stats_10s"):
         q[f"stream_{name}"] = q[name]
     return q
