@@ -42,3 +42,23 @@ def test_entry_runs(spark):
     assert df.count() > 0
     assert df.columns == ["stt", "edt", "vc", "ch", "ar", "is_new", "uv_ct", "pv_ct", "sv_ct", "uj_ct",
                           "dur_sum", "ts"]
+
+
+def test_interval_joins_shuffle_on_the_order_id_when_nothing_is_small(spark):
+    """The 100 TB shape: with broadcasts off, J1 and J2 are sort-merge joins keyed
+    by the order id with the time range as a residual — never a nested loop."""
+    from strata.operators import orders
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = [spark.conf.get(k) for k in keys]
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        wide = orders.join_order_lines(fx.order_info(spark, SF), fx.order_detail(spark, SF))
+        p = plan(orders.payment_wide(fx.payment_info(spark, SF), wide))
+        assert "NestedLoop" not in p and "Cartesian" not in p
+        smj = [line for line in p.splitlines() if "SortMergeJoin" in line]
+        assert any("[o_id" in line and "[d_order_id" in line for line in smj)
+        assert any("[p_order_id" in line and "[w_order_id" in line for line in smj)
+    finally:
+        for k, v in zip(keys, old):
+            spark.conf.set(k, v)
