@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -71,6 +72,27 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so that its
+    functions load there whatever their working directory is."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="strata-ship-"), "strata-package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("strata", os.path.relpath(full, here)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def use_utc(spark: SparkSession) -> None:
     """Day strings and time texts follow the session zone; fixtures are UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
