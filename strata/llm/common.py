@@ -25,7 +25,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/strata-llm/{name}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").option("compression", "zstd").parquet(path)
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)
     return spark.read.schema(df.schema).parquet(path)

@@ -191,3 +191,24 @@ def _deal(slim: DataFrame, cells: DataFrame, goals: DataFrame) -> DataFrame:
     return out.select("doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target",
                       F.col("copies").cast("long").alias("copies"),
                       (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
+def take(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple = WEIGHTS) -> DataFrame:
+    """The mixture itself: each row of ``docs`` as often as the mix takes it; columns as given."""
+    key = [F.col("doc_id").alias("t_id"), F.col("source").alias("t_source"), F.col("size").alias("t_size")]
+    mixed = cut(mix(docs, share, cap, weights), "mix")
+    per = mixed.groupBy(*key).agg(F.array_sort(F.collect_list("copies")).alias("t_copies"))
+    many = per.filter(F.size("t_copies") > 1)
+    same = (F.col("doc_id").eqNullSafe(F.col("t_id")) & F.col("t_source").eqNullSafe(F.col("source").cast("string"))
+            & (F.col("t_size") == word_count("text")))
+    # rows alike in id, source and size differ in copies only: number those few, take the rest as they are
+    j = docs.join(per, same)
+    if many.isEmpty():
+        n = F.get("t_copies", F.lit(0))
+    else:
+        rank = F.row_number().over(W.partitionBy("t_id", "t_source", "t_size").orderBy("text"))
+        j = j.filter(F.size("t_copies") == 1).withColumn("t_rank", F.lit(1)).unionByName(
+            j.filter(F.size("t_copies") > 1).withColumn("t_rank", rank))
+        n = F.get("t_copies", F.col("t_rank") - 1)
+    j = j.withColumn("t_n", n).filter("t_n > 0")
+    return j.withColumn("t_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("t_n")))).select(*docs.columns)
