@@ -9,7 +9,7 @@ smallest node of each component; a round that changes nothing ends the work.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.llm.common import cut
@@ -31,8 +31,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
         j = large.join(small, large.u == small.w)
         out = j.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select(F.col("w").alias("u"), F.col("m").alias("v")))
-        e = cut(out.filter("u <> v").distinct(), "edges")
-        now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if tuple(now) == before:
+        seen = Observation()
+        e = cut(out.filter("u <> v").distinct()
+                .observe(seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")), "edges")
+        now = seen.get["n"], seen.get["x"]
+        if now == before:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = tuple(now)
+        before = now

@@ -30,7 +30,7 @@ columns other than doc_id and text are ignored.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,6 +44,8 @@ from strata.llm.common import Buffer, cut, held_out, rows_of
 
 STATES, TOP, TAILS = 8, 8192, 2048
 ROUNDS, SEGMENT, BLOCK_TOKENS = 6, 128, 4_000_000
+#: Tokens that the E step takes at once; its arrays then stay in the processor's cache.
+CHUNK = SEGMENT * 768
 END = b""  # no word is empty
 PRIOR = 50.0
 N_CLASSES = 1 + TOP + TAILS
@@ -110,40 +112,39 @@ def encode(docs: DataFrame, top: dict[bytes, int]) -> DataFrame:
                         ("cls", pa.binary()), ("lid", pa.int32()), ("word", pa.binary()), ("wcls", pa.int32())])
     none = {f.name: f.type for f in schema}
 
-    def words_of(block: int, ids: dict[bytes, int], cls: list[int]) -> Iterator[pa.RecordBatch]:
+    def words_of(block: int, ids: dict[bytes, int], cls: np.ndarray) -> Iterator[pa.RecordBatch]:
         n = len(ids)
         cols = {"block": pa.array(np.full(n, block)), "lid": pa.array(np.arange(n, dtype=np.int32)),
-                "word": pa.array(list(ids), pa.binary()), "wcls": pa.array(cls, pa.int32())}
+                "word": pa.array(list(ids), pa.binary()), "wcls": pa.array(cls.astype(np.int32))}
         t = pa.table([cols.get(k, pa.nulls(n, ty)) for k, ty in none.items()], schema=schema)
         yield from t.to_batches(max_chunksize=65536)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, size = TaskContext.get().partitionId() << 24, 0
-        ids: dict[bytes, int] = {}
-        cls: list[int] = []
-        out = Buffer(schema, 512)
-        for doc_id, held, text in rows_of(batches, ["doc_id", "held_out", "text"]):
-            seq = []
-            for w in tokens(text):
-                i = ids.get(w)
-                if i is None:
-                    i = ids[w] = len(cls)
-                    cls.append(class_of(w, top))
-                seq.append(i)
-            a = np.array(seq, np.uint32)
-            c = np.array([cls[i] for i in seq], np.uint16)
-            out.add(block, doc_id, held, a.tobytes(), c.tobytes(), None, None, None)
-            size += len(seq)
-            if out.full():
-                yield out.flush()
-            if size >= BLOCK_TOKENS:
-                yield out.flush()
-                yield from words_of(block, ids, cls)
-                block, size, ids, cls = block + 1, 0, {}, []
-        yield out.flush()
-        if ids:
+        ids: defaultdict[bytes, int] = defaultdict()
+        ids.default_factory = ids.__len__
+        held: list[tuple] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            cls = np.fromiter((class_of(w, top) for w in ids), np.uint16, len(ids))
+            out = Buffer(schema, 512)
+            for doc_id, held_out_, a in held:
+                out.add(block, doc_id, held_out_, a.tobytes(), cls[a].tobytes(), None, None, None)
+                if out.full():
+                    yield out.flush()
+            yield out.flush()
             yield from words_of(block, ids, cls)
 
+        for doc_id, held_out_, text in rows_of(batches, ["doc_id", "held_out", "text"]):
+            held.append((doc_id, held_out_, np.array([ids[w] for w in tokens(text)], np.uint32)))
+            size += len(held[-1][2])
+            if size >= BLOCK_TOKENS:
+                yield from flush()
+                block, size, held = block + 1, 0, []
+                ids.clear()
+        if held:
+            yield from flush()
+
     return docs.mapInArrow(run, "block long, doc_id long, held_out boolean, ids binary, cls binary, lid int, word binary, "
                                 "wcls int")
 
@@ -185,33 +186,39 @@ def expected(model: Model, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndar
     obs = np.zeros((steps, n), np.int64)
     for c, i in enumerate(order):
         obs[:len(parts[i]), c] = parts[i]
+    ones = np.ones(STATES, np.float32)
     live = np.searchsorted(-lens, -np.arange(steps), side="left")  # segments longer than t
-    begin = np.where(np.array(first)[order][:, None], model.start, model.later)
-    em = model.emit[obs]
-    alpha, scale = np.zeros((steps, n, STATES)), np.ones((steps, n))
+    step = model.move.astype(np.float32)
+    emit_p = model.emit.astype(np.float32)
+    begin = np.where(np.array(first)[order][:, None], model.start, model.later).astype(np.float32)
+    em = emit_p[obs]
+    alpha, scale = np.zeros((steps, n, STATES), np.float32), np.ones((steps, n), np.float32)
     a = begin * em[0]
     for t in range(steps):
         k = live[t]
         if t:
-            a = (alpha[t - 1, :k] @ model.move) * em[t, :k]
-        s = a.sum(1)
-        alpha[t, :k], scale[t, :k] = a / s[:, None], s
+            a = alpha[t - 1, :k] @ step
+            a *= em[t, :k]
+        s = a @ ones
+        np.divide(a, s[:, None], out=alpha[t, :k])
+        scale[t, :k] = s
     move = np.zeros((STATES, STATES))
-    beta = np.ones((n, STATES))
+    beta = np.ones((n, STATES), np.float32)
     gamma = alpha  # turned into posteriors in place, from the end
     for t in range(steps - 1, -1, -1):
         k = live[t]
         if t + 1 < steps:
             j = live[t + 1]
-            w = em[t + 1, :j] * beta[:j] / scale[t + 1, :j, None]
-            move += alpha[t, :j].T @ w * model.move
-            beta[:j] = w @ model.move.T
+            w = em[t + 1, :j] * beta[:j]
+            w /= scale[t + 1, :j, None]
+            move += alpha[t, :j].T @ w * step
+            np.matmul(w, step.T, out=beta[:j])
         gamma[t, :k] *= beta[:k]
     seen = np.arange(steps)[:, None] < lens[None, :]
     flat, g = obs[seen], gamma[seen]
     emit = np.stack([np.bincount(flat, weights=g[:, k], minlength=N_CLASSES) for k in range(STATES)], 1)
-    start = gamma[0][np.array(first)[order]].sum(0)
-    return emit, move, start, g.sum(0), float(np.log(scale[seen]).sum())
+    start = gamma[0][np.array(first)[order]].sum(0, dtype=np.float64)
+    return emit, move, start, g.sum(0, dtype=np.float64), float(np.log(scale[seen], dtype=np.float64).sum())
 
 
 def _e_step(enc: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, float]:
@@ -236,10 +243,10 @@ def _e_step(enc: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.nd
         for b in batches:
             for raw in b.column(0).to_pylist():
                 seq = np.frombuffer(raw, np.uint16)
-                for at in range(0, len(seq), SEGMENT * 4096):
-                    held.append(seq[at:at + SEGMENT * 4096])
+                for at in range(0, len(seq), CHUNK):
+                    held.append(seq[at:at + CHUNK])
                     size += len(held[-1])
-                    if size >= SEGMENT * 4096:
+                    if size >= CHUNK:
                         add()
                         held, size = [], 0
         if held:

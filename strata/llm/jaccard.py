@@ -228,16 +228,14 @@ def _search(percent: int):
         later = any(g is not None for g in group)
         uf = divide_skip([sets[i] for i in order], percent, [ask[i] for i in order] if later else None,
                          [group[i] for i in order] if later else None)
-        roots: dict[int, int] = {}
-        a, b = [], []
+        members: dict[int, list[int]] = {}
         for k, i in enumerate(order):
-            r = uf.find(k)
-            if r in roots:
-                if roots[r] != ids[i]:
-                    a.append(ids[i])
-                    b.append(roots[r])
-            else:
-                roots[r] = ids[i]
+            members.setdefault(uf.find(k), []).append(ids[i])
+        a, b = [], []
+        for m in members.values():
+            low = min(m)
+            a.extend(x for x in m if x != low)
+            b.extend(low for x in m if x != low)
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_EDGE)
 
     return run
@@ -279,11 +277,14 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT, shard: int = SHARD
     sets = cut(_with_sets(docs, member, n), "jaccard-postings")
     none = F.lit(None).cast("long")
     edges = cut(_grouped(_spread(sets).withColumns({"ask": F.lit(True), "known": none}), percent), "jaccard-edges")
-    comp = components(edges)
-    split = member.filter("parts > 1")
+    # a shard that is one part gives its components at once; parts of a split one have to be put together
+    split = cut(member.filter("parts > 1"), "jaccard-split")
+    comp = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     if not split.isEmpty():
-        edges = edges.union(_rest(sets.filter("parts > 1"), split, comp, percent))
-        comp = components(edges)
+        inner = edges.join(split.select(F.col("rep").alias("a")), "a", "left_semi")
+        far = inner.union(_rest(sets.filter("parts > 1"), split, components(inner), percent))
+        comp = edges.join(split.select(F.col("rep").alias("a")), "a", "left_anti") \
+            .select(F.col("a").alias("node"), F.col("b").alias("component")).union(components(far))
     found = reps.join(comp, reps.rep == comp.node, "left") \
         .select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     out = sig.join(found, ["k1", "k2"], "left")
