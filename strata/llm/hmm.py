@@ -178,47 +178,52 @@ def segments(texts: list[np.ndarray]) -> tuple[list[np.ndarray], list[bool]]:
 
 
 def expected(model: Model, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, float]:
-    """Expected counts (emit, move, start, occupancy) and the log likelihood of segments of texts."""
+    """Expected counts (emit, move, start, occupancy) and the log likelihood of segments of texts.
+
+    Arrays run states x segments, so each step works along contiguous rows.
+    """
     parts, first = segments(texts)
     order = np.argsort([-len(p) for p in parts], kind="stable")
     lens = np.array([len(parts[i]) for i in order])
+    head = np.array(first)[order]
     steps, n = int(lens[0]), len(lens)
     obs = np.zeros((steps, n), np.int64)
     for c, i in enumerate(order):
         obs[:len(parts[i]), c] = parts[i]
-    ones = np.ones(STATES, np.float32)
     live = np.searchsorted(-lens, -np.arange(steps), side="left")  # segments longer than t
-    step = model.move.astype(np.float32)
-    emit_p = model.emit.astype(np.float32)
-    begin = np.where(np.array(first)[order][:, None], model.start, model.later).astype(np.float32)
-    em = emit_p[obs]
-    alpha, scale = np.zeros((steps, n, STATES), np.float32), np.ones((steps, n), np.float32)
-    a = begin * em[0]
+    step, back = model.move.T.astype(np.float32), model.move.astype(np.float32)
+    emit_p = np.ascontiguousarray(model.emit.T, np.float32)
+    em = np.empty((steps, STATES, n), np.float32)
+    alpha, scale = np.zeros((steps, STATES, n), np.float32), np.ones((steps, n), np.float32)
+    a = np.where(head, model.start[:, None], model.later[:, None]).astype(np.float32)
     for t in range(steps):
         k = live[t]
+        em[t, :, :k] = emit_p.take(obs[t, :k], axis=1)
         if t:
-            a = alpha[t - 1, :k] @ step
-            a *= em[t, :k]
-        s = a @ ones
-        np.divide(a, s[:, None], out=alpha[t, :k])
+            a = step @ alpha[t - 1, :, :k]
+        a *= em[t, :, :k]
+        s = a.sum(0)
+        np.divide(a, s, out=alpha[t, :, :k])
         scale[t, :k] = s
     move = np.zeros((STATES, STATES))
-    beta = np.ones((n, STATES), np.float32)
+    beta = np.ones((STATES, n), np.float32)
     gamma = alpha  # turned into posteriors in place, from the end
     for t in range(steps - 1, -1, -1):
         k = live[t]
         if t + 1 < steps:
             j = live[t + 1]
-            w = em[t + 1, :j] * beta[:j]
-            w /= scale[t + 1, :j, None]
-            move += alpha[t, :j].T @ w * step
-            np.matmul(w, step.T, out=beta[:j])
-        gamma[t, :k] *= beta[:k]
+            w = em[t + 1, :, :j] * beta[:, :j]
+            w /= scale[t + 1, :j]
+            move += alpha[t, :, :j] @ w.T * back
+            beta[:, :j] = back @ w
+        gamma[t, :, :k] *= beta[:, :k]
     seen = np.arange(steps)[:, None] < lens[None, :]
-    flat, g = obs[seen], gamma[seen]
-    emit = np.stack([np.bincount(flat, weights=g[:, k], minlength=N_CLASSES) for k in range(STATES)], 1)
-    start = gamma[0][np.array(first)[order]].sum(0, dtype=np.float64)
-    return emit, move, start, g.sum(0, dtype=np.float64), float(np.log(scale[seen], dtype=np.float64).sum())
+    flat = obs[seen]
+    emit = np.empty((N_CLASSES, STATES))
+    for k in range(STATES):
+        emit[:, k] = np.bincount(flat, weights=gamma[:, k][seen], minlength=N_CLASSES)
+    start = gamma[0][:, head].sum(1, dtype=np.float64)
+    return emit, move, start, emit.sum(0), float(np.log(scale[seen], dtype=np.float64).sum())
 
 
 def _e_step(enc: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, float]:
@@ -286,14 +291,15 @@ def forward(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     flat = np.concatenate([texts[i] for i in order]).astype(np.int64)
     at = np.r_[0, np.cumsum(lens)[:-1]]
     out = np.zeros(len(texts))
+    emit, step = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T)
     a, live = None, len(lens)
     for t in range(int(lens[0])):
         while lens[live - 1] <= t:
             live -= 1
-        em = model.emit[flat[at[:live] + t]]
-        a = model.start * em if t == 0 else (a[:live] @ model.move) * em
-        s = a.sum(1)
-        a = a / s[:, None]
+        em = emit.take(flat[at[:live] + t], axis=1)
+        a = model.start[:, None] * em if t == 0 else (step @ a[:, :live]) * em
+        s = a.sum(0)
+        a /= s
         out[order[:live]] += np.log(s)
     return out
 
