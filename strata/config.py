@@ -45,11 +45,6 @@ MS_PER_DAY = 86_400_000
 DAYS_PER_YEAR = 365
 # ---------------------------------------------------------------------------
 
-# Broadcast a dimension only when it provably has at most this many rows;
-# beyond it the join shuffles (and AQE may still convert it at run time).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
 def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
                 app_name: str = "strata", extra: dict | None = None) -> SparkSession:
     """Session with AQE (coalescing + skew join), UTC time, no UI."""

@@ -80,7 +80,8 @@ def age_years(birthday: str | Column, now_ms: int) -> Column:
     """whole 365-day years between a ``yyyy-MM-dd`` birthday and ``now``."""
     born = F.unix_millis(F.to_timestamp(col(birthday), C.DATE_FORMAT))
     span = F.lit(now_ms).cast("bigint") - born
-    return F.floor(span / F.lit(C.MS_PER_DAY * C.DAYS_PER_YEAR)).cast("int")
+    year = F.lit(C.MS_PER_DAY * C.DAYS_PER_YEAR).cast("bigint")
+    return ((span - span % year) / year).cast("int")  # towards zero, so a birthday to come gives 0
 
 
 def gender_label(code: str | Column, male: str = C.GENDER_MALE_LABEL,

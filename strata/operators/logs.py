@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from strata import schemas as S
 from strata.functions.columns import day_of_ms, non_empty_struct
-from strata.operators.joins import bounded_broadcast
 
 LOG_KIND_START = "start"
 LOG_KIND_PAGE = "page"
@@ -26,16 +25,11 @@ def parse_log(raw: DataFrame, value_col: str = "value", schema: str = S.LOG) ->
     """
     parsed = raw.select(
         F.col(value_col).alias("_raw"),
-        F.from_json(F.col(value_col), schema, {"mode": "PERMISSIVE",
-                                               "columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
-    # With an explicit struct a bad record yields a struct of nulls, not null:
-    # a row is bad when nothing at all was recovered from it.
-    fields = [f.split()[0].strip("`") for f in _split_top(schema)]
-    nothing = F.lit(True)
-    for f in fields:
-        nothing = nothing & F.col("r").getField(f).isNull()
-    bad_cond = F.col("_raw").isNull() | nothing
-    good = parsed.filter(~bad_cond).select("r.*")
+        F.from_json(F.col(value_col), f"{schema}, _corrupt STRING", {"mode": "PERMISSIVE",
+                                                                    "columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
+    # malformed text and values of the wrong type both fill ``_corrupt``; an object that lacks fields is no error
+    bad_cond = F.col("_raw").isNull() | F.col("r").isNull() | F.col("r._corrupt").isNotNull()
+    good = parsed.filter(~bad_cond).select("r.*").drop("_corrupt")
     bad = parsed.filter(bad_cond).select(F.col("_raw").alias(value_col))
     return good, bad
 
@@ -67,33 +61,43 @@ def is_start_log(start: str | Column = "start") -> Column:
     return non_empty_struct(start, S.START_FIELDS)
 
 
-def repair_new_flag(log: DataFrame, mode: str = "same_day", tiebreak: str = "event_id",
-                    broadcast_max_rows: int | None = None) -> DataFrame:
+def repair_new_flag(log: DataFrame, mode: str = "same_day", tiebreak: str = "event_id") -> DataFrame:
     """K1: per device, only rows flagged new (``is_new='1'``) are looked at.
 
     The earliest such row (by ``ts``, then ``tiebreak``) fixes the device's
     first-visit day and keeps its flag. Any later new-flagged row is reset to
     ``'0'`` when its day equals that first day (``mode='same_day'``, as the
     original job behaves) or differs from it (``mode='other_day'``, as its
-    comment describes). Rows not flagged new pass unchanged.
+    comment describes). Of rows tied for the first place, one is first and the
+    others are later ones. Rows not flagged new, and rows without a device,
+    pass unchanged.
     """
     if mode not in ("same_day", "other_day"):
         raise ValueError("mode must be 'same_day' or 'other_day'")
     flagged = F.col("common.is_new") == F.lit("1")
     new_rows = log.filter(flagged)
-    first = (new_rows.groupBy(F.col("common.mid").alias("_mid"))
-             .agg(F.min_by(F.struct(F.col("ts").alias("f_ts"), F.col(tiebreak).alias("f_tb"),
-                                    day_of_ms("ts").alias("f_day")),
-                           F.struct("ts", tiebreak)).alias("_f")))
-    first = bounded_broadcast(first, broadcast_max_rows)
-    j = new_rows.join(first, F.col("common.mid") == F.col("_mid"), "inner")
-    is_first = (F.col("ts") == F.col("_f.f_ts")) & (F.col(tiebreak) == F.col("_f.f_tb"))
-    same = day_of_ms("ts") == F.col("_f.f_day")
-    reset = ~is_first & (same if mode == "same_day" else ~same)
-    fixed = j.withColumn("common", F.col("common").withField(
-        "is_new", F.when(reset, F.lit("0")).otherwise(F.col("common.is_new")))).drop("_mid", "_f")
+    slim = new_rows.filter(F.col("common.mid").isNotNull()) \
+        .select(F.col("common.mid").alias("_mid"), F.col("ts").alias("f_ts"), F.col(tiebreak).alias("f_tb"))
+    per = slim.groupBy("_mid", "f_ts", "f_tb").agg(F.count("*").alias("f_n"))
+    first = per.groupBy("_mid").agg(F.min(F.struct("f_ts", "f_tb", "f_n")).alias("_f"))
+    j = new_rows.join(first, F.col("common.mid") == F.col("_mid"), "left")
+    is_first = F.col("ts").eqNullSafe(F.col("_f.f_ts")) & F.col(tiebreak).eqNullSafe(F.col("_f.f_tb"))
+    same = day_of_ms("ts") == day_of_ms("_f.f_ts")
+    reset = F.col("_mid").isNotNull() & ~is_first & (same if mode == "same_day" else ~same)
+
+    def with_flag(df: DataFrame, off: Column) -> DataFrame:
+        return df.withColumn("common", F.col("common").withField(
+            "is_new", F.when(off, F.lit("0")).otherwise(F.col("common.is_new")))).select(*log.columns)
+
     rest = log.filter(~flagged | F.col("common.is_new").isNull())
-    return fixed.unionByName(rest)
+    if mode == "other_day":  # rows tied for the first place share its day
+        return with_flag(j, reset).unionByName(rest)
+    tied = F.coalesce(is_first & (F.col("_f.f_n") > 1), F.lit(False))
+    fixed = with_flag(j.filter(~tied), reset)
+    # rows tied for one device's first place: a record delivered again, so a handful
+    again = j.filter(tied).groupBy("_mid").agg(F.collect_list(F.struct(*log.columns)).alias("_rows"))
+    again = again.select(F.posexplode("_rows").alias("_at", "_row")).select("_at", "_row.*")
+    return fixed.unionByName(with_flag(again, F.col("_at") > 0)).unionByName(rest)
 
 
 def split_log(log: DataFrame) -> dict[str, DataFrame]:

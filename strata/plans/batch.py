@@ -81,4 +81,6 @@ def order_wide(spark: SparkSession, sf_dir: str, which: tuple[str, ...] | None =
 
 
 def payment_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orders.payment_wide(fx.payment_info(spark, sf_dir), order_wide(spark, sf_dir))
+    lines = orders.join_order_lines(fx.order_info(spark, sf_dir), fx.order_detail(spark, sf_dir))
+    return orders.payment_wide(fx.payment_info(spark, sf_dir), lines,
+                               specs=orders.order_dim_specs(order_dims(spark, sf_dir), AGE_NOW_MS))

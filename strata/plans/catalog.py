@@ -286,7 +286,7 @@ def q_stream_user_jump(spark, d, within_ms=C.BOUNCE_WITHIN_MS):
     replay.replay_logs(spark, {"page_in": batch.page_log(spark, d)},
                        lambda r: jobs.user_jump(spark, r, f"{r}/_ck", within_ms, source=src), root, flush=True)
     out = _parsed_topic(spark, T.read_topic_batch(spark, root, C.TOPIC_USER_JUMP))
-    return flat_page(out.filter(F.col("common.mid") != replay.MARKER))
+    return flat_page(out.filter(~F.col("common.mid").eqNullSafe(replay.MARKER)))
 
 
 def q_stream_order_wide(spark, d):
@@ -316,13 +316,13 @@ def q_stream_visitor_stats_10s(spark, d):
                        lambda r: jobs.user_jump(spark, r, f"{r}/_ck_uj", source=src2), jobs_root, flush=True)
     uv = _parsed_topic(spark, T.read_topic_batch(spark, root, C.TOPIC_UNIQUE_VISIT))
     uj = _parsed_topic(spark, T.read_topic_batch(spark, jobs_root, C.TOPIC_USER_JUMP)) \
-        .filter(F.col("common.mid") != replay.MARKER)
+        .filter(~F.col("common.mid").eqNullSafe(replay.MARKER))
     stats_root = replay.scratch(spark, "visitor_stats_out")
     legs = {k: (lambda k=k: T.read_topic(spark, stats_root, f"{k}_in")) for k in ("page", "uv", "uj")}
     replay.replay_logs(spark, {"page_in": page, "uv_in": uv, "uj_in": uj},
                        lambda r: jobs.visitor_stats(spark, r, f"{r}/_ck", f"{r}/out", sources=legs),
                        stats_root, flush=True, field="vc")
-    return spark.read.parquet(f"{stats_root}/out").filter(F.col("vc") != replay.MARKER)
+    return spark.read.parquet(f"{stats_root}/out").filter(~F.col("vc").eqNullSafe(replay.MARKER))
 
 
 QUERIES.update({

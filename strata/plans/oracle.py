@@ -40,14 +40,11 @@ FX_LOG = """fx_log AS (
 
 def fx_log_k1(mode: str = "same_day") -> str:
     cmp = "=" if mode == "same_day" else "<>"
-    return f"""k1_first AS (
-  SELECT mid, ts AS f_ts, event_id AS f_id, day AS f_day FROM (
-    SELECT mid, ts, event_id, day, row_number() OVER (PARTITION BY mid ORDER BY ts, event_id) AS rn
-    FROM fx_log WHERE is_new = '1') WHERE rn = 1),
-fx_log_k1 AS (
-  SELECT l.* REPLACE (CASE WHEN l.is_new = '1' AND NOT (l.ts = f.f_ts AND l.event_id = f.f_id)
-                            AND l.day {cmp} f.f_day THEN '0' ELSE l.is_new END AS is_new)
-  FROM fx_log l LEFT JOIN k1_first f ON l.mid = f.mid),
+    return f"""fx_log_k1 AS (
+  SELECT * EXCLUDE (rn, f_day) REPLACE (CASE WHEN is_new = '1' AND mid IS NOT NULL AND rn > 1 AND day {cmp} f_day
+                                        THEN '0' ELSE is_new END AS is_new)
+  FROM (SELECT *, row_number() OVER (PARTITION BY mid, is_new ORDER BY ts, event_id) AS rn,
+               first_value(day) OVER (PARTITION BY mid, is_new ORDER BY ts, event_id) AS f_day FROM fx_log)),
 page_log AS (SELECT * FROM fx_log_k1 WHERE log_kind = 'page')"""
 
 

@@ -17,17 +17,9 @@ from strata.functions.columns import format_ms, ntz_to_ms, parse_time_ms
 C_MONEY = "decimal(16,2)"
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; the (lazy) reader is reused within a session so the file
-    listing and footer read happen once."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    """A driver table, listed anew on every call so files added meanwhile are seen."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # --- traffic: raw app log (ods_base_log) -----------------------------------

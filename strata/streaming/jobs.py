@@ -105,10 +105,11 @@ def unique_visit(spark: SparkSession, root: str, checkpoint: str, trigger: dict
 
 def user_jump(spark: SparkSession, root: str, checkpoint: str, within_ms: int = C.BOUNCE_WITHIN_MS,
               trigger: dict | None = None, source: Callable[[], DataFrame] | None = None):
-    """Monotonous event-time watermark (0 s), as the original pattern job."""
+    """Monotonous event-time watermark, as the original pattern job: rows as new as the newest
+    still count, and Spark drops rows at the watermark, hence one millisecond."""
     _use_rocksdb(spark)
     page = source() if source else read_fanout(spark, root, C.TOPIC_PAGE)
-    k = _keyed(page).withColumn("et", event_time("ts")).withWatermark("et", "0 seconds")
+    k = _keyed(page).withColumn("et", event_time("ts")).withWatermark("et", "1 millisecond")
     out = k.groupBy("mid").transformWithStateInPandas(BounceDetector(within_ms), OUT_SCHEMA, "Append", "EventTime")
     return write_topic(out, root, C.TOPIC_USER_JUMP, checkpoint, trigger=trigger)
 
@@ -174,7 +175,7 @@ def base_db(spark: SparkSession, root: str, checkpoint: str, out_path: str,
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         routed = cdc.route(batch, rules())
-        (routed.select("seq", "table", "type", "route", "sink_type", "sink_table", "sink_pk",
+        (routed.select("seq", "table", "type", "route", "sink_type", "sink_table", "sink_pk", "key", "reason",
                        F.to_json("data").alias("data"))
          .withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -225,7 +226,7 @@ def order_lines_stream(info: DataFrame, detail: DataFrame, delay: str = C.WATERM
 
 
 def order_wide(spark: SparkSession, root: str, checkpoint: str, out_path: str,
-               dims: Callable[[], dict[str, DataFrame]], now_ms: int, trigger: dict | None = None,
+               dims: Callable[[], dict[str, DataFrame]], now_ms: int | Callable[[], int], trigger: dict | None = None,
                sources: dict[str, Callable[[], DataFrame]] | None = None):
     """J1 (stream ⋈ stream) then J3 per micro-batch against freshly read dimensions."""
     src = sources or {}
@@ -235,7 +236,8 @@ def order_wide(spark: SparkSession, root: str, checkpoint: str, out_path: str,
     wide = order_lines_stream(info, det)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        out = enrich(batch, orders.order_dim_specs(dims(), now_ms))
+        now = now_ms() if callable(now_ms) else now_ms  # a live job passes the clock, read per micro-batch
+        out = enrich(batch, orders.order_dim_specs(dims(), now))
         out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path)
 
