@@ -101,11 +101,12 @@ class Ids:
             return _END
         if not self.by_word:
             return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + _END
-        get, learn = self.chunks.get, self._chunk
-        parts = []
-        for c in text.encode("utf-8", "surrogatepass").split():
-            got = get(c)
-            parts.append(learn(c) if got is None else got)
+        chunks = text.encode("utf-8", "surrogatepass").split()
+        parts = list(map(self.chunks.get, chunks))
+        if None in parts:
+            for i, got in enumerate(parts):
+                if got is None:
+                    parts[i] = self._chunk(chunks[i])
         parts.append(_END)
         return b"".join(parts)
 
