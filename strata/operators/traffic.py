@@ -10,7 +10,8 @@ single task:
   is not the last of its (device, bucket) has its successor in the same bucket,
   hence closer than ``within_ms``; the last one's successor is the first event
   of the next bucket, if that bucket has any. So one ``groupBy(mid, bucket)``
-  (last row, first ts) and a one-to-one join bucket → bucket+1 decide it.
+  (last row, first ts) and a second one, to which each bucket also reports its
+  first ts under the bucket before it, decide it; the input is evaluated once.
 """
 
 from __future__ import annotations
@@ -51,15 +52,19 @@ def user_jump(page_log: DataFrame, within_ms: int = C.BOUNCE_WITHIN_MS, tiebreak
         raise ValueError("within_ms must be positive")
     cols = page_log.columns
     b = F.floor(F.col("ts") / F.lit(within_ms)).cast("bigint")
-    per_bucket = (page_log.groupBy(F.col("common.mid").alias("_mid"), b.alias("_b"))
-                  .agg(F.max_by(F.struct(*cols), _order(tiebreak)).alias("_last"),
-                       F.min("ts").alias("_first_ts")))
-    cand = per_bucket.filter(is_entry_page("_last.page.last_page_id")).select("_mid", "_b", "_last")
-    nxt = per_bucket.select(F.col("_mid").alias("_nmid"), (F.col("_b") - 1).alias("_nb"),
-                            F.col("_first_ts").alias("_next_ts"))
-    j = cand.join(nxt, (F.col("_mid") == F.col("_nmid")) & (F.col("_b") == F.col("_nb")), "left")
+    # only entry pages can come out, so the other rows carry no payload
+    slim = page_log.select(F.col("common.mid").alias("_mid"), b.alias("_b"), "ts", F.col(tiebreak).alias("_tb"),
+                           F.when(is_entry_page(), F.struct(*cols)).alias("_row"))
+    per_bucket = slim.groupBy("_mid", "_b").agg(F.max_by("_row", F.struct("ts", "_tb")).alias("_last"),
+                                                F.min("ts").alias("_first_ts"))
+    own = F.struct("_b", "_last", F.lit(None).cast("bigint").alias("_next_ts"))
+    told = F.struct((F.col("_b") - 1).alias("_b"), F.when(F.lit(False), F.col("_last")).alias("_last"),
+                    F.col("_first_ts").alias("_next_ts"))
+    both = per_bucket.select("_mid", F.explode(F.when(F.col("_b").isNull(), F.array(own)).otherwise(F.array(own, told))).alias("_x"))
+    g = both.select("_mid", "_x.*").groupBy("_mid", "_b").agg(
+        F.first("_last", ignorenulls=True).alias("_last"), F.min("_next_ts").alias("_next_ts"))
     bounce = F.col("_next_ts").isNull() | (F.col("_next_ts") - F.col("_last.ts") >= F.lit(within_ms))
-    return j.filter(bounce).select("_last.*")
+    return g.filter(F.col("_last").isNotNull() & bounce).select("_last.*")
 
 
 def to_stats(log: DataFrame, uv: int = 0, pv: int = 0, sv: int | Column = 0, uj: int = 0,

@@ -297,11 +297,35 @@ def q_stream_order_wide(spark, d):
     T.publish(fx.order_detail(spark, d), root, "dwd_order_detail")
     with replay.state_partitions(spark):
         q = jobs.order_wide(spark, root, f"{root}/_ck", f"{root}/out", lambda: batch.order_dims(spark, d),
-                            batch.AGE_NOW_MS)
+                            batch.AGE_NOW_MS, sources={"info": lambda: T.read_topic(spark, root, "dwd_order_info"),
+                                                       "detail": lambda: T.read_topic(spark, root, "dwd_order_detail")})
         q.awaitTermination()
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
+#: Routing of the order records: whole records to their fact topics.
+FACT_RULES = [(i, t, "insert", C.SINK_TYPE_KAFKA, f"dwd_{t}", None, None, None)
+              for i, t in enumerate(("order_info", "order_detail", "payment_info"), 1)]
+
+
+def q_stream_payment_wide(spark, d):
+    """The order chain end to end in streaming, from change records without sequence numbers:
+    routing → fact topics → order wide → its topic → payment wide."""
+    from strata.streaming import jobs, replay, topics as T
+    root = replay.scratch(spark, "payment_wide")
+    for name, rows in (("order_info", fx.order_info(spark, d)), ("order_detail", fx.order_detail(spark, d)),
+                       ("payment_info", fx.payment_info(spark, d))):
+        T.publish(rows.select(F.lit(name).alias("table"), F.lit("insert").alias("type"),
+                              F.struct(*rows.columns).alias("data")), root, "ods_base_db")
+    with replay.state_partitions(spark):
+        jobs.base_db(spark, root, f"{root}/_ck_db", f"{root}/routed",
+                     lambda: fx.routing_rules(spark, FACT_RULES)).awaitTermination()
+        jobs.order_wide(spark, root, f"{root}/_ck_ow", f"{root}/ow", lambda: batch.order_dims(spark, d),
+                        batch.AGE_NOW_MS).awaitTermination()
+        jobs.payment_wide(spark, root, f"{root}/_ck_pw", f"{root}/pw").awaitTermination()
+    return spark.read.parquet(f"{root}/pw")
+
+
 def q_stream_visitor_stats_10s(spark, d):
     """The summary layer end to end in streaming: page log → streaming K2 and K3 →
     per-leg watermarks → union → 10 s windows in append mode."""
@@ -332,4 +356,5 @@ QUERIES.update({
     "stream_user_jump": q_stream_user_jump,
     "stream_user_jump_long": lambda s, d: q_stream_user_jump(s, d, LONG_WITHIN_MS),
     "stream_order_wide": q_stream_order_wide,
+    "stream_payment_wide": q_stream_payment_wide,
 })

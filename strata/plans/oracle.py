@@ -155,14 +155,15 @@ DIM_DELETES = """, dim_last AS (SELECT dim_table, pk FROM (
 
 # --- orders -----------------------------------------------------------------
 
-FX_ORDERS = f"""fx_oi0 AS (SELECT o_orderkey AS id, o_custkey % 25 AS province_id, o_orderstatus AS order_status,
+FX_ORDERS = f"""fx_oi0 AS (SELECT o_orderkey AS id, o_custkey % 26 AS province_id, o_orderstatus AS order_status,
     o_custkey AS user_id, CAST(o_totalprice AS DECIMAL(16,2)) AS total_amount,
     (epoch_us(o_orderdate) // 1000) + (o_orderkey % 86400) * 1000 AS create_ts FROM orders),
 fx_order_info AS (SELECT id, province_id, order_status, user_id, total_amount,
     CAST(NULL AS DECIMAL(16,2)) AS activity_reduce_amount, CAST(NULL AS DECIMAL(16,2)) AS coupon_reduce_amount,
     total_amount AS original_total_amount, CAST(NULL AS DECIMAL(16,2)) AS feight_fee,
     {_fmt('create_ts')} AS create_time, {_fmt('create_ts', "'%Y-%m-%d'")} AS create_date, create_ts FROM fx_oi0),
-fx_order_detail AS (SELECT l_orderkey * 100 + l_linenumber AS id, l_orderkey AS order_id, l_partkey AS sku_id,
+fx_order_detail AS (SELECT l_orderkey * 100 + l_linenumber AS id, l_orderkey AS order_id,
+    CASE WHEN l_partkey % 50 = 0 THEN -l_partkey ELSE l_partkey END AS sku_id,
     CAST(l_extendedprice AS DECIMAL(16,2)) AS order_price, CAST(l_quantity AS BIGINT) AS sku_num,
     'line sku ' || CAST(l_partkey AS VARCHAR) AS sku_name, CAST(l_extendedprice AS DECIMAL(16,2)) AS split_total_amount,
     CAST(NULL AS DECIMAL(16,2)) AS split_activity_amount, CAST(NULL AS DECIMAL(16,2)) AS split_coupon_amount,
@@ -177,15 +178,16 @@ fx_dim_user AS (SELECT CAST(c_custkey AS VARCHAR) AS id,
     CASE WHEN c_custkey % 10 = 9 THEN NULL WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender FROM customer),
 fx_dim_province AS (SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name, CAST(n_regionkey AS VARCHAR) AS area_code,
     'ISO-' || CAST(n_nationkey AS VARCHAR) AS iso_code, 'CN-' || CAST(n_nationkey AS VARCHAR) AS iso_3166_2
-  FROM nation WHERE n_nationkey < 24),
-fx_dim_sku AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS sku_name, CAST(p_partkey % 64 AS VARCHAR) AS spu_id,
-    substr(p_brand, 7, 16) AS tm_id, CAST(p_size AS VARCHAR) AS category3_id FROM part WHERE p_partkey % 50 <> 0),
+  FROM nation),
+fx_dim_sku AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS sku_name, CAST(p_partkey % 66 AS VARCHAR) AS spu_id,
+    CASE WHEN CAST(substr(p_brand, 7, 16) AS INTEGER) % 7 = 3 THEN '9' ELSE '' END || substr(p_brand, 7, 16) AS tm_id,
+    CAST(CASE WHEN p_size % 9 = 0 THEN p_size + 1000 ELSE p_size END AS VARCHAR) AS category3_id FROM part),
 fx_dim_spu AS (SELECT CAST(k AS VARCHAR) AS id, 'SPU-' || CAST(k AS VARCHAR) AS spu_name
-  FROM (SELECT DISTINCT p_partkey % 64 AS k FROM part) WHERE k % 13 <> 0),
+  FROM (SELECT DISTINCT p_partkey % 64 AS k FROM part)),
 fx_dim_category3 AS (SELECT CAST(p_size AS VARCHAR) AS id, 'CAT-' || CAST(p_size AS VARCHAR) || '-' || min(p_type) AS name
-  FROM part WHERE p_size % 9 <> 0 GROUP BY p_size),
+  FROM part GROUP BY p_size),
 fx_dim_trademark AS (SELECT substr(p_brand, 7, 16) AS id, upper(p_brand) AS tm_name
-  FROM (SELECT DISTINCT p_brand FROM part) WHERE CAST(substr(p_brand, 7, 16) AS INTEGER) % 7 <> 3)"""
+  FROM (SELECT DISTINCT p_brand FROM part))"""
 
 _DUCK_T = {"STRING": "VARCHAR"}
 
@@ -357,7 +359,7 @@ WHERE dim_table IN (SELECT DISTINCT dim_table FROM dim_cur)"""
     q["payment_wide"] = payment_sql(("user", "province", "sku", "spu", "category3", "trademark"))
     q["order_wide_merge"] = merge_sql()
     # streaming twins produce the rows of their batch forms
-    for name in ("visitor_flag_repair", "unique_visit", "user_jump", "user_jump_long", "order_wide",
+    for name in ("visitor_flag_repair", "unique_visit", "user_jump", "user_jump_long", "order_wide", "payment_wide",
                  "visitor_stats_10s"):
         q[f"stream_{name}"] = q[name]
     return q

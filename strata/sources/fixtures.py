@@ -134,10 +134,10 @@ def _sql_literal(v) -> str:
     return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def routing_rules(spark: SparkSession) -> DataFrame:
-    """The rule rows as an inline VALUES relation: no Python in the executed plan,
+def routing_rules(spark: SparkSession, rules: list[tuple] | None = None) -> DataFrame:
+    """The rule rows (``ROUTING_RULES`` unless others are given) as an inline VALUES relation: no Python in the executed plan,
     and the planner knows its exact size."""
-    rows = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in ROUTING_RULES)
+    rows = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rules or ROUTING_RULES)
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(RULE_COLUMNS)})")
 
 
@@ -155,7 +155,7 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     money = F.col("o_totalprice").cast(C_MONEY)
     none = F.lit(None)
     out = o.select(
-        F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 25).alias("province_id"),
+        F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 26).alias("province_id"),
         F.col("o_orderstatus").alias("order_status"), F.col("o_custkey").alias("user_id"),
         money.alias("total_amount"), none.cast(C_MONEY).alias("activity_reduce_amount"),
         none.cast(C_MONEY).alias("coupon_reduce_amount"), money.alias("original_total_amount"),
@@ -174,10 +174,11 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     ts = _order_ms() + (F.col("l_linenumber") - 4) * 5
     price = F.col("l_extendedprice").cast(C_MONEY)
+    sku = F.when(F.col("l_partkey") % 50 == 0, -F.col("l_partkey")).otherwise(F.col("l_partkey"))  # ids no sku has
     none = F.lit(None).cast(C_MONEY)
     return j.select(
         (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("id"),
-        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),
+        F.col("l_orderkey").alias("order_id"), sku.alias("sku_id"),
         price.alias("order_price"), F.col("l_quantity").cast("bigint").alias("sku_num"),
         F.concat(F.lit("line sku "), F.col("l_partkey").cast("string")).alias("sku_name"),
         format_ms(ts).alias("create_time"), price.alias("split_total_amount"),
@@ -201,7 +202,7 @@ def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         format_ms(cb - 30_000).alias("create_time"), format_ms(cb).alias("callback_time"))
 
 
-# --- dimensions (all-text rows keyed by ``id``) -----------------------------
+# --- dimensions (all-text rows keyed by ``id``): whole tables; misses come from keys that no row has ---
 
 def dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = table(spark, sf_dir, "customer").select("c_custkey")
@@ -215,7 +216,7 @@ def dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_province(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") < 24)
+    n = table(spark, sf_dir, "nation")
     k = F.col("n_nationkey").cast("string")
     return n.select(k.alias("id"), F.col("n_name").alias("name"),
                     F.col("n_regionkey").cast("string").alias("area_code"),
@@ -225,22 +226,23 @@ def dim_province(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
-    p = p.filter(F.col("p_partkey") % 50 != 0)
+    tm = F.substring("p_brand", 7, 16)
+    c3 = F.when(F.col("p_size") % 9 == 0, F.col("p_size") + 1000).otherwise(F.col("p_size"))
     return p.select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("sku_name"),
-                    (F.col("p_partkey") % 64).cast("string").alias("spu_id"),
-                    F.substring("p_brand", 7, 16).alias("tm_id"),
-                    F.col("p_size").cast("string").alias("category3_id"))
+                    (F.col("p_partkey") % 66).cast("string").alias("spu_id"),
+                    F.when(tm.cast("int") % 7 == 3, F.concat(F.lit("9"), tm)).otherwise(tm).alias("tm_id"),
+                    c3.cast("string").alias("category3_id"))
 
 
 def dim_spu(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = (F.col("p_partkey") % 64)
-    p = table(spark, sf_dir, "part").select(k.alias("k")).filter(F.col("k") % 13 != 0).distinct()
+    p = table(spark, sf_dir, "part").select(k.alias("k")).distinct()
     return p.select(F.col("k").cast("string").alias("id"),
                     F.concat(F.lit("SPU-"), F.col("k").cast("string")).alias("spu_name"))
 
 
 def dim_category3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").select("p_size", "p_type").filter(F.col("p_size") % 9 != 0)
+    p = table(spark, sf_dir, "part").select("p_size", "p_type")
     g = p.groupBy("p_size").agg(F.min("p_type").alias("t"))
     return g.select(F.col("p_size").cast("string").alias("id"),
                     F.concat(F.lit("CAT-"), F.col("p_size").cast("string"), F.lit("-"), F.col("t")).alias("name"))
@@ -248,5 +250,4 @@ def dim_category3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_trademark(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_brand").distinct()
-    p = p.filter(F.substring("p_brand", 7, 16).cast("int") % 7 != 3)
     return p.select(F.substring("p_brand", 7, 16).alias("id"), F.upper("p_brand").alias("tm_name"))

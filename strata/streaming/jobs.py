@@ -5,7 +5,7 @@ job                  flow                                         state / time
 ===================  ===========================================  ==============================
 base_log             ods_base_log → K1 → start | page | display    ValueState per device
 base_db              ods_base_db → ETL → route(rules) → facts+dims  rules re-read per micro-batch
-unique_visit         dwd_page_log → K2 → dwm_unique_visit          ValueState, 1-day TTL
+unique_visit         dwd_page_log → K2 → dwm_unique_visit          days per device, 1-day TTL when live
 user_jump            dwd_page_log → K3 → dwm_user_jump_detail      event-time timers, 0 s watermark
 order_wide           order ⋈ line (±5 ms) → 6 lookups → wide       watermark 3 s both sides
 payment_wide         payment ⋈ wide (−1800 s … 0)                  watermark 3 s both sides
@@ -30,7 +30,7 @@ from strata.functions.columns import day_of_ms, event_time, is_entry_page, parse
 from strata.operators import cdc, logs, orders, traffic
 from strata.operators.joins import enrich
 from strata.streaming.state import OUT_SCHEMA, BounceDetector, FlagRepair, UniqueVisit
-from strata.streaming.topics import read_fanout, read_topic, write_topic, write_topics
+from strata.streaming.topics import read_layer, read_topic, write_batch, write_topic, write_topics
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # A live job commits a micro-batch (offsets + state checkpoint) every 5 s, like the original.
@@ -51,67 +51,95 @@ def _use_rocksdb(spark: SparkSession) -> None:
 
 
 def _keyed(raw: DataFrame) -> DataFrame:
-    """Extract the keys the processors need; the JSON text itself stays as is."""
+    """Extract the keys the processors need; the JSON text itself stays as is.
+    A record without a sequence number takes its position in the topic."""
     j = lambda p: F.get_json_object("value", p)
-    ts = j("$.ts").cast("bigint")
+    ts = j("$.ts").try_cast("bigint")
+    seq = j("$.event_id").try_cast("bigint")
     return raw.select("value", j("$.common.mid").alias("mid"), ts.alias("ts"),
-                      j("$.event_id").cast("bigint").alias("event_id"),
+                      (F.coalesce(seq, F.col("pos")) if "pos" in raw.columns else seq).alias("event_id"),
                       j("$.common.is_new").alias("is_new"), day_of_ms(ts).alias("day"),
                       is_entry_page(j("$.page.last_page_id")).alias("entry"))
 
 
-def _with_flag(out: DataFrame) -> DataFrame:
-    """Re-attach the processor's flag to the parsed row."""
-    r = out.select(F.from_json("value", S.LOG).alias("r"), "is_new").select("r.*", F.col("is_new").alias("_f"))
-    return r.withColumn("common", F.col("common").withField("is_new", F.col("_f"))).drop("_f")
+# --- base_log: K1 + R1/R2 as one tagged output --------------------------------
 
+def with_flag(out: DataFrame) -> DataFrame:
+    """The record's text after K1: where the flag changed it is rewritten, with every
+    other field as it came; any other text stays untouched."""
+    fields = F.from_json("value", "map<string,variant>")
+    common = F.from_json("value", "common map<string,variant>")["common"]
+    flag = F.create_map(F.lit("is_new"), F.col("is_new").cast("variant"))
+    common = F.map_concat(F.map_filter(common, lambda k, v: k != "is_new"), flag)
+    whole = F.map_concat(F.map_filter(fields, lambda k, v: k != "common"),
+                         F.create_map(F.lit("common"), F.to_variant_object(common)))
+    same = F.get_json_object("value", "$.common.is_new").eqNullSafe(F.col("is_new"))
+    return out.select(F.when(same, F.col("value")).otherwise(F.to_json(whole)).alias("value"))
 
-# --- base_log: K1 + R1/R2 as one tagged output --------------------------------
 
 def fan_out_log(log: DataFrame) -> DataFrame:
-    """R1 + R2 in one pass: (topic, value) rows — the log to the start or page
-    topic, each display of a page log to the display topic."""
-    start = logs.is_start_log()
-    whole = F.struct(F.when(start, F.lit(C.TOPIC_START)).otherwise(F.lit(C.TOPIC_PAGE)).alias("topic"),
-                     F.to_json(F.struct(*[F.col(c) for c in log.columns])).alias("value"))
-    disp = F.transform(F.coalesce(F.col("displays"), F.array()),
+    """R1 + R2 in one pass over record texts: (topic, value) rows. A record goes
+    whole to the start topic (a non-empty ``start`` object) or the page topic; each
+    display of a page log goes to the display topic with all its fields and the
+    page's ``page_id``."""
+    start = F.coalesce(F.get_json_object("value", "$.start"), F.lit("{}")) != "{}"
+    whole = F.struct(F.when(start, F.lit(C.TOPIC_START)).otherwise(F.lit(C.TOPIC_PAGE)).alias("topic"), F.col("value"))
+    page_id = F.get_json_object("value", "$.page.page_id")
+    added = F.when(page_id.isNotNull(), F.create_map(F.lit("page_id"), page_id.cast("variant"))) \
+        .otherwise(F.from_json(F.lit("{}"), "map<string,variant>"))
+    shown = F.from_json("value", "displays array<map<string,variant>>")["displays"]
+    disp = F.transform(F.filter(shown, lambda d: d.isNotNull()),
                        lambda d: F.struct(F.lit(C.TOPIC_DISPLAY).alias("topic"),
-                                          F.to_json(d.withField("page_id", F.col("page.page_id"))).alias("value")))
-    rows = F.when(start, F.array(whole)).otherwise(F.concat(F.array(whole), disp))
+                                          F.to_json(F.map_concat(F.map_filter(d, lambda k, v: k != "page_id"), added))
+                                          .alias("value")))
+    rows = F.when(start | shown.isNull(), F.array(whole)).otherwise(F.concat(F.array(whole), disp))
     return log.select(F.explode(rows).alias("o")).select("o.topic", "o.value")
 
 
 def base_log(spark: SparkSession, root: str, checkpoint: str, mode: str = "same_day",
              trigger: dict | None = None, fmt: str = "parquet", kafka_options: dict | None = None,
              max_files_per_trigger: int | None = None):
+    """K1 + R1 + R2. Text that is no JSON or has no event time goes to the
+    ``C.TOPIC_BAD_LOG`` topic (P1); records without a device pass the repair by, as in the batch form."""
     _use_rocksdb(spark)
     raw = read_topic(spark, root, "ods_base_log", fmt, max_files_per_trigger, kafka_options)
-    fixed = (_keyed(raw).groupBy("mid")
+    keyed = _keyed(raw)
+    good = F.try_parse_json("value").isNotNull() & F.col("ts").isNotNull()
+    fixed = (keyed.filter(good & F.col("mid").isNotNull()).groupBy("mid")
              .transformWithStateInPandas(FlagRepair(mode), OUT_SCHEMA, "Append", "None"))
-    return write_topics(fan_out_log(_with_flag(fixed)), root, checkpoint, fmt, trigger, kafka_options)
+    loose = keyed.filter(good & F.col("mid").isNull()).select("value")
+    bad = keyed.filter(~good & F.col("value").isNotNull()).select(F.lit(C.TOPIC_BAD_LOG).alias("topic"), "value")
+    out = fan_out_log(with_flag(fixed).unionByName(loose)).unionByName(bad)
+    return write_topics(out, root, checkpoint, fmt, trigger, kafka_options)
 
 
 # --- unique_visit / user_jump ---------------------------------------------------
 
 def unique_visit(spark: SparkSession, root: str, checkpoint: str, trigger: dict | None = None,
-                 source: Callable[[], DataFrame] | None = None, ttl_ms: int | None = None):
+                 source: Callable[[], DataFrame] | None = None, ttl_ms: int | None = None,
+                 fmt: str = "parquet", kafka_options: dict | None = None):
+    """K2. A live trigger lets the state of a device's day expire after a day (W5); a
+    drained run (``availableNow``) keeps it, since a processing-time TTL would not let it end."""
     _use_rocksdb(spark)
-    page = source() if source else read_fanout(spark, root, C.TOPIC_PAGE)
+    if ttl_ms is None and "processingTime" in (trigger or {}):
+        ttl_ms = C.VISIT_STATE_TTL_MS
+    page = source() if source else read_layer(spark, root, C.TOPIC_PAGE, "fanout", fmt, kafka_options)
     out = (_keyed(page).groupBy("mid")
            .transformWithStateInPandas(UniqueVisit(ttl_ms), OUT_SCHEMA, "Append",
                                        "ProcessingTime" if ttl_ms else "None"))
-    return write_topic(out, root, C.TOPIC_UNIQUE_VISIT, f"{checkpoint}", trigger=trigger)
+    return write_topic(out, root, C.TOPIC_UNIQUE_VISIT, checkpoint, fmt, trigger, kafka_options)
 
 
 def user_jump(spark: SparkSession, root: str, checkpoint: str, within_ms: int = C.BOUNCE_WITHIN_MS,
-              trigger: dict | None = None, source: Callable[[], DataFrame] | None = None):
+              trigger: dict | None = None, source: Callable[[], DataFrame] | None = None,
+              fmt: str = "parquet", kafka_options: dict | None = None):
     """Monotonous event-time watermark, as the original pattern job: rows as new as the newest
     still count, and Spark drops rows at the watermark, hence one millisecond."""
     _use_rocksdb(spark)
-    page = source() if source else read_fanout(spark, root, C.TOPIC_PAGE)
-    k = _keyed(page).withColumn("et", event_time("ts")).withWatermark("et", "1 millisecond")
+    page = source() if source else read_layer(spark, root, C.TOPIC_PAGE, "fanout", fmt, kafka_options)
+    k = _keyed(page).filter("ts IS NOT NULL").withColumn("et", event_time("ts")).withWatermark("et", "1 millisecond")
     out = k.groupBy("mid").transformWithStateInPandas(BounceDetector(within_ms), OUT_SCHEMA, "Append", "EventTime")
-    return write_topic(out, root, C.TOPIC_USER_JUMP, checkpoint, trigger=trigger)
+    return write_topic(out, root, C.TOPIC_USER_JUMP, checkpoint, fmt, trigger, kafka_options)
 
 
 # --- visitor_stats ----------------------------------------------------------------
@@ -119,7 +147,8 @@ def user_jump(spark: SparkSession, root: str, checkpoint: str, within_ms: int =
 def visitor_stats(spark: SparkSession, root: str, checkpoint: str, out_path: str | None,
                   window: str = C.STATS_WINDOW, within_ms: int = C.BOUNCE_WITHIN_MS,
                   delay: str = C.WATERMARK_DELAY, trigger: dict | None = None,
-                  sources: dict[str, Callable[[], DataFrame]] | None = None, jdbc: dict | None = None):
+                  sources: dict[str, Callable[[], DataFrame]] | None = None, jdbc: dict | None = None,
+                  fmt: str = "parquet", kafka_options: dict | None = None):
     """U1 + A1 in append mode. Each leg gets its own watermark before the union
     (Q4): the bounce leg arrives ``within`` late by construction, so its delay
     is ``within + delay``; the query watermark is the minimum of the legs.
@@ -130,8 +159,8 @@ def visitor_stats(spark: SparkSession, root: str, checkpoint: str, out_path: str
     src = sources or {}
 
     def leg(name: str, topic: str, extra_ms: int = 0) -> DataFrame:
-        raw = src[name]() if name in src else read_fanout(spark, root, topic) if topic == C.TOPIC_PAGE \
-            else read_topic(spark, root, topic)
+        raw = src[name]() if name in src else read_layer(spark, root, topic, "fanout", fmt, kafka_options) \
+            if topic == C.TOPIC_PAGE else read_topic(spark, root, topic, fmt, None, kafka_options)
         log = raw.select(F.from_json("value", S.LOG).alias("r")).select("r.*")
         log = log.withColumn("_et", event_time("ts"))
         d = f"{int(_seconds(delay) * 1000) + extra_ms} milliseconds"
@@ -168,9 +197,11 @@ def base_db(spark: SparkSession, root: str, checkpoint: str, out_path: str,
     """R3 + R4 + S3 + S4: in each micro-batch the rules are re-read (added,
     changed and removed rules take effect), records are routed, and the batch
     is written once, tagged, under its batch id (a retried batch overwrites its
-    own folder, so the sink is idempotent)."""
+    own folder, so the sink is idempotent). Its facts then go to their detail
+    topics (``facts`` folder, or Kafka topics by name)."""
     raw = read_topic(spark, root, "ods_base_db", fmt, None, kafka_options)
-    recs = raw.select(F.from_json("value", S.CDC_TEXT).alias("r")).select("r.*")
+    recs = raw.select(F.from_json("value", S.CDC_TEXT).alias("r"), "pos").select("r.*", "pos")
+    recs = recs.withColumn("seq", F.coalesce("seq", "pos")).drop("pos")
     recs = cdc.parse_cdc(cdc.etl_filter(recs))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
@@ -180,6 +211,9 @@ def base_db(spark: SparkSession, root: str, checkpoint: str, out_path: str,
          .withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id", "route").parquet(out_path))
+        facts = routed_table(batch.sparkSession, out_path) \
+            .filter((F.col("batch_id") == batch_id) & (F.col("route") == cdc.ROUTE_FACT))
+        write_batch(cdc.fact_payload(facts), root, "facts", batch_id, fmt, kafka_options)
 
     return (recs.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
@@ -208,12 +242,13 @@ def dimension_tables(spark: SparkSession, out_path: str, layout: dict[str, list[
 
 def _typed(raw: DataFrame, ddl: str) -> DataFrame:
     """JSON text → typed row. Fields are read as text first and cast, so a
-    quoted number (as a routed change record carries it) types as well as a bare one."""
+    quoted number (as a routed change record carries it) types as well as a bare one;
+    a text that doesn't fit its type becomes null."""
     names = [f.split()[0] for f in logs._split_top(ddl)]
     types = [" ".join(f.split()[1:]) for f in logs._split_top(ddl)]
     text = ", ".join(f"{n} STRING" for n in names)
     r = raw.select(F.from_json("value", text).alias("r"))
-    return r.select(*[F.col(f"r.{n}").cast(t).alias(n) for n, t in zip(names, types)])
+    return r.select(*[F.col(f"r.{n}").try_cast(t).alias(n) for n, t in zip(names, types)])
 
 
 def order_lines_stream(info: DataFrame, detail: DataFrame, delay: str = C.WATERMARK_DELAY,
@@ -227,12 +262,15 @@ def order_lines_stream(info: DataFrame, detail: DataFrame, delay: str = C.WATERM
 
 def order_wide(spark: SparkSession, root: str, checkpoint: str, out_path: str,
                dims: Callable[[], dict[str, DataFrame]], now_ms: int | Callable[[], int], trigger: dict | None = None,
-               sources: dict[str, Callable[[], DataFrame]] | None = None):
-    """J1 (stream ⋈ stream) then J3 per micro-batch against freshly read dimensions."""
+               sources: dict[str, Callable[[], DataFrame]] | None = None, fmt: str = "parquet",
+               kafka_options: dict | None = None):
+    """J1 (stream ⋈ stream) then J3 per micro-batch against freshly read dimensions. The
+    wide rows are a table (``out_path``) and the ``dwm_order_wide`` topic (``wide`` folder in files)."""
     src = sources or {}
-    info = _typed(src["info"]() if "info" in src else read_topic(spark, root, "dwd_order_info"), S.ORDER_INFO)
-    det = _typed(src["detail"]() if "detail" in src else read_topic(spark, root, "dwd_order_detail"),
-                 S.ORDER_DETAIL)
+    info = _typed(src["info"]() if "info" in src else read_layer(spark, root, "dwd_order_info", "facts", fmt, kafka_options),
+                  S.ORDER_INFO)
+    det = _typed(src["detail"]() if "detail" in src
+                 else read_layer(spark, root, "dwd_order_detail", "facts", fmt, kafka_options), S.ORDER_DETAIL)
     wide = order_lines_stream(info, det)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
@@ -240,18 +278,22 @@ def order_wide(spark: SparkSession, root: str, checkpoint: str, out_path: str,
         out = enrich(batch, orders.order_dim_specs(dims(), now))
         out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path)
+        written = batch.sparkSession.read.parquet(out_path).filter(F.col("batch_id") == batch_id).drop("batch_id")
+        write_batch(logs.to_json_text(written).withColumn("topic", F.lit(C.TOPIC_ORDER_WIDE)), root, "wide", batch_id,
+                    fmt, kafka_options)
 
     return (wide.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
 def payment_wide(spark: SparkSession, root: str, checkpoint: str, out_path: str, delay: str = C.WATERMARK_DELAY,
-                 trigger: dict | None = None, sources: dict[str, Callable[[], DataFrame]] | None = None):
+                 trigger: dict | None = None, sources: dict[str, Callable[[], DataFrame]] | None = None,
+                 fmt: str = "parquet", kafka_options: dict | None = None):
     """J2 + P11 on two streams (payment event time = callback time)."""
     src = sources or {}
-    pay = _typed(src["payment"]() if "payment" in src else read_topic(spark, root, "dwd_payment_info"),
-                 S.PAYMENT_INFO)
-    wide = _typed(src["wide"]() if "wide" in src else read_topic(spark, root, C.TOPIC_ORDER_WIDE),
+    pay = _typed(src["payment"]() if "payment" in src
+                 else read_layer(spark, root, "dwd_payment_info", "facts", fmt, kafka_options), S.PAYMENT_INFO)
+    wide = _typed(src["wide"]() if "wide" in src else read_layer(spark, root, C.TOPIC_ORDER_WIDE, "wide", fmt, kafka_options),
                   S.ORDER_WIDE + ", create_ts BIGINT")
     pay = pay.withColumn("_pet", event_time(parse_time_ms("callback_time"))).withWatermark("_pet", delay)
     wide = wide.withColumn("_wet", event_time(parse_time_ms("create_time"))).withWatermark("_wet", delay)

@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from strata import config as C
 
 OUT_SCHEMA = "value STRING, mid STRING, ts BIGINT, event_id BIGINT, is_new STRING"
+_LAST = np.iinfo(np.int64).max
 OUT_COLS = ["value", "mid", "ts", "event_id", "is_new"]
 
 
@@ -69,30 +70,27 @@ class FlagRepair(StatefulProcessor):
 
 
 class UniqueVisit(StatefulProcessor):
-    """K2: emit an entry row when its day differs from the device's last emitted
-    day. The original lets this state expire after a day of processing time;
-    here it is one short value per device kept until replaced (pass ``ttl_ms``
-    with a processing-time trigger to expire it)."""
+    """K2: emit a device's first entry row of each day. The days already emitted
+    are a map in state, so days may come in any order; ``ttl_ms`` lets an entry
+    expire in processing time, as the original does after a day."""
 
     def __init__(self, ttl_ms: int | None = None):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last_day = handle.getValueState("last_day", "day STRING", self.ttl_ms)
+        self.days = handle.getMapState("days", "day STRING", "seen BOOLEAN", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _sorted(rows)
-        df = df[df["entry"].astype(bool)]
+        df = df[df["entry"].astype(bool)].drop_duplicates("day")
         if df.empty:
             return
-        last = self.last_day.get()[0] if self.last_day.exists() else None
-        prev = df["day"].shift(1)
-        if len(df):
-            prev.iat[0] = last
-        keep = (df["day"] != prev).to_numpy()
-        out = df[keep]
-        self.last_day.update((df["day"].iat[-1],))
-        yield out[OUT_COLS]
+        keys = [(d if isinstance(d, str) else "",) for d in df["day"]]
+        new = [not self.days.containsKey(k) for k in keys]
+        for k, first in zip(keys, new):
+            if first:
+                self.days.updateValue(k, (True,))
+        yield df[new][OUT_COLS]
 
     def close(self) -> None:
         pass
@@ -113,22 +111,24 @@ class BounceDetector(StatefulProcessor):
         self.handle = handle
         self.pending = handle.getListState("pending", self.PENDING)
 
-    def _resolve(self, cands: list[tuple], df: pd.DataFrame) -> list[tuple]:
-        """Drop candidates that have a successor (in ``df``) closer than ``within``."""
-        if df.empty or not cands:
-            return cands
+    def _still(self, old: list[tuple], df: pd.DataFrame) -> list[tuple]:
+        """Candidates, old and new, without a successor closer than ``within``.
+
+        A row's successor in its batch is the next row; an older candidate's is the
+        first one after (ts, event_id), where a row without an id counts as later."""
         ts = df["ts"].to_numpy(dtype=np.int64)
-        ids = df["event_id"].to_numpy(dtype=np.int64)
+        ids = np.array([_LAST if pd.isna(x) else int(x) for x in df["event_id"]], dtype=np.int64)
         keep = []
-        for c in cands:
-            cts, cid = int(c[0]), int(c[1])
+        for c in old:
+            cts, cid = int(c[0]), -1 if c[1] is None else int(c[1])
             lo = int(np.searchsorted(ts, cts, side="left"))
             hi = int(np.searchsorted(ts, cts, side="right"))
-            # first row strictly after (cts, cid): past equal-ts rows with smaller/equal ids
-            p = lo + int(np.searchsorted(ids[lo:hi], cid, side="right")) if hi > lo else lo
-            if p < len(ts) and ts[p] - cts < self.within:
-                continue
-            keep.append(c)
+            p = lo + int(np.searchsorted(ids[lo:hi], cid, side="right"))
+            if p == len(ts) or ts[p] - cts >= self.within:
+                keep.append(c)
+        alone = np.r_[np.diff(ts) >= self.within, True] & df["entry"].astype(bool).to_numpy()
+        for i in np.flatnonzero(alone):
+            keep.append((int(ts[i]), None if ids[i] == _LAST else int(ids[i]), df["is_new"].iat[i], df["value"].iat[i]))
         return keep
 
     def _store(self, cands: list[tuple]) -> None:
@@ -142,9 +142,7 @@ class BounceDetector(StatefulProcessor):
         if df.empty:
             return
         old = list(self.pending.get()) if self.pending.exists() else []
-        new = [(int(r.ts), int(r.event_id), r.is_new, r.value)
-               for r in df[df["entry"].astype(bool)].itertuples(index=False)]
-        still = self._resolve(old + new, df)
+        still = self._still(old, df)
         timers = set(self.handle.listTimers())
         want = {c[0] + self.within for c in still}
         for t in timers - want:

@@ -4,14 +4,31 @@ A topic is either a Kafka topic or a folder of parquet files holding one
 ``value STRING`` column (JSON text) — the same shape Kafka yields after
 ``CAST(value AS STRING)``. Fan-out writes carry a ``topic`` column: Kafka's sink
 routes each row by it, the file sink partitions by it.
+
+Rows come with ``pos``, their order in the topic: records need no sequence
+number of their own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOPIC_SCHEMA = "value STRING"
+#: File positions count milliseconds from 2020-01-01, so that a row index fits beside them.
+_POS_EPOCH_MS, _ROW_BITS, _PARTITION_BITS = 1_577_836_800_000, 24, 12
+
+
+def file_position() -> Column:
+    """Order of a file topic's rows: the file's time, then the row's place in it.
+    Files written in the same millisecond have no order among each other."""
+    ms = F.unix_millis("_metadata.file_modification_time") - _POS_EPOCH_MS
+    return F.shiftleft(ms, _ROW_BITS) + F.col("_metadata.row_index")
+
+
+def kafka_position() -> Column:
+    """Order of a Kafka topic's rows: the offset, then the partition (a key stays in one partition)."""
+    return F.shiftleft("offset", _PARTITION_BITS) + F.col("partition")
 
 
 def topic_path(root: str, topic: str) -> str:
@@ -20,7 +37,7 @@ def topic_path(root: str, topic: str) -> str:
 
 def read_topic(spark: SparkSession, root: str, topic: str, fmt: str = "parquet",
                max_files_per_trigger: int | None = None, kafka_options: dict | None = None) -> DataFrame:
-    """A streaming frame with a ``value`` text column.
+    """A streaming frame with a ``value`` text column and its position ``pos``.
 
     Offsets live in the query's checkpoint (Kafka) or its file-source log.
     """
@@ -28,11 +45,19 @@ def read_topic(spark: SparkSession, root: str, topic: str, fmt: str = "parquet",
         r = spark.readStream.format("kafka").option("subscribe", topic)
         for k, v in (kafka_options or {}).items():
             r = r.option(k, v)
-        return r.load().select(F.col("value").cast("string").alias("value"))
+        return r.load().select(F.col("value").cast("string").alias("value"), kafka_position().alias("pos"))
     r = spark.readStream.schema(TOPIC_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(topic_path(root, topic))
+    return r.parquet(topic_path(root, topic)).select("value", file_position().alias("pos"))
+
+
+def read_layer(spark: SparkSession, root: str, topic: str, folder: str, fmt: str = "parquet",
+               kafka_options: dict | None = None) -> DataFrame:
+    """S1 for a topic that a fan-out writes: by name in Kafka, by partition of ``folder`` in files."""
+    if fmt == "kafka":
+        return read_topic(spark, root, topic, fmt, None, kafka_options)
+    return read_fanout(spark, root, topic, folder)
 
 
 def read_topic_batch(spark: SparkSession, root: str, topic: str) -> DataFrame:
@@ -61,6 +86,17 @@ def write_topic(df: DataFrame, root: str, topic: str, checkpoint: str, fmt: str
     return w.format("parquet").start(topic_path(root, topic))
 
 
+def write_batch(df: DataFrame, root: str, folder: str, batch_id: int, fmt: str = "parquet",
+                kafka_options: dict | None = None) -> None:
+    """S2/S3 for one micro-batch of (topic, value) rows: a retried batch overwrites
+    its own file partitions; Kafka gets it at least once."""
+    if fmt == "kafka":
+        df.select("topic", "value").write.format("kafka").options(**(kafka_options or {})).save()
+        return
+    df.select("topic", "value", F.lit(batch_id).alias("batch_id")).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("topic", "batch_id").parquet(topic_path(root, folder))
+
+
 def write_topics(df: DataFrame, root: str, checkpoint: str, fmt: str = "parquet",
                  trigger: dict | None = None, kafka_options: dict | None = None, folder: str = "fanout"):
     """S3: each row goes to the topic named in its ``topic`` column."""
@@ -85,4 +121,4 @@ def read_fanout(spark: SparkSession, root: str, topic: str, folder: str = "fanou
         df = r.parquet(topic_path(root, folder))
     else:
         df = spark.read.schema(schema).parquet(topic_path(root, folder))
-    return df.filter(F.col("topic") == topic).select("value")
+    return df.filter(F.col("topic") == topic).select("value", file_position().alias("pos"))

@@ -1,5 +1,6 @@
 """Batch = stream on closed input, restarts from checkpoints, arrival order."""
 
+import json
 import random
 
 from pyspark.sql import functions as F
@@ -73,14 +74,15 @@ def test_order_and_payment_streams_equal_batch(spark):
     root = replay.scratch(spark, "t-orders")
     topics.publish(fx.order_info(spark, SF), root, "dwd_order_info")
     topics.publish(fx.order_detail(spark, SF), root, "dwd_order_detail")
+    src = {k: (lambda t=t: topics.read_topic(spark, root, t)) for k, t in
+           (("info", "dwd_order_info"), ("detail", "dwd_order_detail"), ("payment", "dwd_payment_info"))}
     jobs.order_wide(spark, root, f"{root}/_ck1", f"{root}/ow", lambda: batch.order_dims(spark, SF),
-                    batch.AGE_NOW_MS).awaitTermination()
+                    batch.AGE_NOW_MS, sources=src).awaitTermination()
     wide = batch.order_wide(spark, SF)
     got = spark.read.parquet(f"{root}/ow").drop("batch_id")
     assert _rows(got, wide.columns) == _rows(wide)
-    topics.publish(wide, root, C.TOPIC_ORDER_WIDE)
     topics.publish(fx.payment_info(spark, SF), root, "dwd_payment_info")
-    jobs.payment_wide(spark, root, f"{root}/_ck2", f"{root}/pw").awaitTermination()
+    jobs.payment_wide(spark, root, f"{root}/_ck2", f"{root}/pw", sources=src).awaitTermination()
     want = orders.payment_wide(fx.payment_info(spark, SF), wide)
     assert _rows(spark.read.parquet(f"{root}/pw"), want.columns) == _rows(want)
 
@@ -99,6 +101,10 @@ def test_routing_stream_rereads_rules(spark):
     jobs.base_db(spark, root, f"{root}/_ck", f"{root}/out", rules2).awaitTermination()
     again = jobs.routed_table(spark, f"{root}/out").filter("batch_id = 1")
     assert again.count() > 0 and again.filter(F.col("route") != "reject").count() == 0
+    # the first batch's facts are in their topic, ready for the order job
+    ids = topics.read_fanout(spark, root, "dwd_order_info", folder="facts", stream=False) \
+        .select(F.get_json_object("value", "$.id").cast("bigint").alias("id"))
+    assert _rows(ids) == _rows(want.filter("route = 'fact'").select(F.col("data")["id"].cast("bigint").alias("id")))
 
 
 def test_late_rows_are_dropped_and_counted(spark):
@@ -118,3 +124,50 @@ def test_late_rows_are_dropped_and_counted(spark):
     q = step(log_row(3, 150_000, vc="late"))  # behind every leg's watermark now
     assert jobs.late_rows(q) >= 1
     assert spark.read.parquet(f"{root}/out").filter(F.col("vc") == "late").count() == 0
+
+
+def test_records_without_sequence_and_with_other_fields(spark):
+    """Order comes from the topic; unknown fields survive; bad text is set apart; no device passes."""
+    day = 1_600_000_000_000
+    recs = [
+        {"common": {"mid": "a", "is_new": "1", "md": {"os": 7}}, "page": {"page_id": "p", "extra": [1, 2]}, "ts": day,
+         "displays": [{"item": "i", "deep": {"k": 1}, "page_id": "own"}, {"item": "j"}], "err": {"code": 5}},
+        {"common": {"mid": "a", "is_new": "1", "md": {"os": 8}}, "page": {"page_id": "q", "last_page_id": "p"}, "ts": day,
+         "more": 1.5},
+        {"common": {"is_new": "1"}, "page": {"page_id": "r"}, "ts": day + 1},
+        {"common": {"is_new": "1"}, "start": {"only": True}, "ts": day + 2},
+        {"common": {"mid": "b", "is_new": "0"}, "page": {"page_id": "r"}, "start": {}, "ts": day + 3},
+    ]
+    bad = ["not json", '{"common":{"mid":"a"},"ts":"x"}', '{"ts":']
+    root = replay.scratch(spark, "t-raw")
+    values = spark.createDataFrame([(json.dumps(r),) for r in recs] + [(b,) for b in bad], "value string").coalesce(1)
+    topics.publish(values, root, "ods_base_log", as_json=False)
+    jobs.base_log(spark, root, f"{root}/_ck").awaitTermination()
+
+    def out(topic):
+        return [json.loads(r.value) for r in topics.read_fanout(spark, root, topic, stream=False).collect()]
+    pages = {r["page"]["page_id"] + r["common"].get("mid", ""): r for r in out(C.TOPIC_PAGE)}
+    want = json.loads(json.dumps({"pa": recs[0], "qa": recs[1], "r": recs[2], "rb": recs[4]}))
+    want["qa"]["common"]["is_new"] = "0"
+    assert pages == want
+    assert out(C.TOPIC_START) == [recs[3]]
+    shown = sorted(out(C.TOPIC_DISPLAY), key=lambda d: d["item"])
+    assert shown == [{"item": "i", "deep": {"k": 1}, "page_id": "p"}, {"item": "j", "page_id": "p"}]
+    got = [r.value for r in topics.read_fanout(spark, root, C.TOPIC_BAD_LOG, stream=False).collect()]
+    assert sorted(got) == sorted(bad)
+    # the next jobs run on those records as they are: one visit of each device, a bounce once time has passed
+    jobs.unique_visit(spark, root, f"{root}/_ck2").awaitTermination()
+    uv = [json.loads(r.value)["page"]["page_id"] for r in topics.read_topic_batch(spark, root, C.TOPIC_UNIQUE_VISIT).collect()]
+    assert sorted(uv) == ["p", "r", "r"]
+    jobs.user_jump(spark, root, f"{root}/_ck3").awaitTermination()
+
+
+def test_unique_visit_days_may_interleave(spark):
+    root = replay.scratch(spark, "t-uv-days")
+    src = lambda: topics.read_topic(spark, root, "page_in")
+    day = 86_400_000
+    for i, ts in enumerate((day, 2 * day, day + 5, 2 * day + 5)):
+        topics.publish(log_df(spark, [log_row(i, ts)]), root, "page_in")
+        jobs.unique_visit(spark, root, f"{root}/_ck", source=src).awaitTermination()
+    out = _parsed(topics.read_topic_batch(spark, root, C.TOPIC_UNIQUE_VISIT))
+    assert _rows(out, ["event_id"]) == [(0,), (1,)]
