@@ -89,6 +89,13 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def gone_on_exit(spark: SparkSession, path: str) -> str:
+    """Have a folder of intermediate tables removed when the session ends; returns it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
 def use_utc(spark: SparkSession) -> None:
     """Day strings and time texts follow the session zone; fixtures are UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -118,9 +118,3 @@ def explode_displays(page: DataFrame) -> DataFrame:
     fields = [f.name for f in d.schema["_d"].dataType.fields]
     return d.select(*[F.col("_d").getField(f).alias(f) for f in fields if f != "page_id"],
                     F.col("_page_id").alias("page_id"))
-
-
-def tag_log_kind(log: DataFrame) -> DataFrame:
-    """One tagged output instead of three: ``log_kind`` = start | page (for a partitioned sink)."""
-    return log.withColumn("log_kind", F.when(is_start_log(), F.lit(LOG_KIND_START))
-                          .otherwise(F.lit(LOG_KIND_PAGE)))

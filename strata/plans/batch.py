@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from strata import config as C
-from strata.config import checkpoint_dir
+from strata.config import checkpoint_dir, gone_on_exit
 from strata.operators import cdc, logs, orders, traffic
 from strata.sources import fixtures as fx
 
@@ -29,9 +29,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage (a lost executor re-reads the table instead of
     recomputing the upstream shuffles) and lets each consumer prune columns.
+    The table goes when the session ends.
     """
     path = f"{checkpoint_dir(df.sparkSession)}/strata-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
+    gone_on_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

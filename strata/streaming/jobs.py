@@ -206,13 +206,12 @@ def base_db(spark: SparkSession, root: str, checkpoint: str, out_path: str,
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         routed = cdc.route(batch, rules())
-        (routed.select("seq", "table", "type", "route", "sink_type", "sink_table", "sink_pk", "key", "reason",
-                       F.to_json("data").alias("data"))
-         .withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id", "route").parquet(out_path))
-        facts = routed_table(batch.sparkSession, out_path) \
-            .filter((F.col("batch_id") == batch_id) & (F.col("route") == cdc.ROUTE_FACT))
+        rows = routed.select("seq", "table", "type", "route", "sink_type", "sink_table", "sink_pk", "key", "reason",
+                             F.to_json("data").alias("data")).withColumn("batch_id", F.lit(batch_id))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("batch_id", "route").parquet(out_path)
+        facts = cdc.parse_cdc(batch.sparkSession.read.schema(rows.schema).parquet(out_path)
+                              .filter((F.col("batch_id") == batch_id) & (F.col("route") == cdc.ROUTE_FACT)))
         write_batch(cdc.fact_payload(facts), root, "facts", batch_id, fmt, kafka_options)
 
     return (recs.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
@@ -275,10 +274,11 @@ def order_wide(spark: SparkSession, root: str, checkpoint: str, out_path: str,
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         now = now_ms() if callable(now_ms) else now_ms  # a live job passes the clock, read per micro-batch
-        out = enrich(batch, orders.order_dim_specs(dims(), now))
-        out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path)
-        written = batch.sparkSession.read.parquet(out_path).filter(F.col("batch_id") == batch_id).drop("batch_id")
+        out = enrich(batch, orders.order_dim_specs(dims(), now)).withColumn("batch_id", F.lit(batch_id))
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path)
+        # a batch without a match writes no file, so the schema is given
+        written = batch.sparkSession.read.schema(out.schema).parquet(out_path) \
+            .filter(F.col("batch_id") == batch_id).drop("batch_id")
         write_batch(logs.to_json_text(written).withColumn("topic", F.lit(C.TOPIC_ORDER_WIDE)), root, "wide", batch_id,
                     fmt, kafka_options)
 

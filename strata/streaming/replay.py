@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.config import checkpoint_dir
+from strata.config import checkpoint_dir, gone_on_exit
 from strata.streaming import topics
 
 MARKER = "__flush__"
@@ -25,7 +25,11 @@ FLUSH_GAP_MS = 10 ** 9
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark)}/strata-streams/{name}-{uuid.uuid4().hex}"
+    """A new folder for the topics and checkpoints of one replay; it goes when the session ends."""
+    root = f"{checkpoint_dir(spark)}/strata-streams/{name}-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(root)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)  # only an existing path can be marked
+    return gone_on_exit(spark, root)
 
 
 def flush_rows(log: DataFrame, max_ts: int, step: int, field: str = "mid") -> DataFrame:

@@ -171,3 +171,13 @@ def test_unique_visit_days_may_interleave(spark):
         jobs.unique_visit(spark, root, f"{root}/_ck", source=src).awaitTermination()
     out = _parsed(topics.read_topic_batch(spark, root, C.TOPIC_UNIQUE_VISIT))
     assert _rows(out, ["event_id"]) == [(0,), (1,)]
+
+
+def test_order_batch_without_a_match_writes_nothing(spark):
+    root = replay.scratch(spark, "t-nomatch")
+    topics.publish(fx.order_info(spark, SF).limit(3), root, "info_in")
+    topics.publish(fx.order_detail(spark, SF).limit(3).withColumn("order_id", F.lit(-1)), root, "detail_in")
+    src = {k: (lambda k=k: topics.read_topic(spark, root, f"{k}_in")) for k in ("info", "detail")}
+    jobs.order_wide(spark, root, f"{root}/_ck", f"{root}/ow", lambda: batch.order_dims(spark, SF),
+                    batch.AGE_NOW_MS, sources=src).awaitTermination()
+    assert spark.read.schema("order_id long").parquet(f"{root}/ow").count() == 0

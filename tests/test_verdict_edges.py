@@ -53,3 +53,14 @@ def test_key_is_read_before_pruning(spark):
     assert change.pk == "7" and change.data == {"name": "n"}
     assert cdc.fact_payload(parts["fact"]).first().value == '{"b":"2"}'
     assert cdc.dim_current(cdc.dim_changes(parts["dim"])).filter(F.col("pk") == "7").count() == 1
+
+
+def test_rules_without_an_order_are_refused(spark):
+    ddl = "rule_seq int, source_table string, operate_type string, sink_type string, sink_table string"
+    same = spark.createDataFrame([(0, "t", "insert", "kafka", "a")] * 2 + [(0, "u", "insert", "kafka", "b")], ddl)
+    assert cdc.reduce_rules(same).count() == 2  # a rule listed twice is one rule
+    later = spark.createDataFrame([(0, "t", "insert", "kafka", "a"), (1, "t", "insert", "kafka", "b")], ddl)
+    assert cdc.reduce_rules(later).first().sink_table == "b"
+    clash = spark.createDataFrame([(0, "t", "insert", "kafka", "a"), (0, "t", "insert", "kafka", "b")], ddl)
+    with pytest.raises(Exception, match="without an order for t:insert"):
+        cdc.reduce_rules(clash).collect()
