@@ -15,6 +15,17 @@ from strata.config import checkpoint_dir
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
 
+#: Bytes of one Arrow batch sent to a Python worker (a longer text makes a batch of its own),
+#: and rows of it turned into Python objects at a time.
+BATCH_BYTES, SLICE = 4 << 20, 256
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, not only by rows, unless the session has its own bound."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
@@ -24,6 +35,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     when the session ends.
     """
     spark = df.sparkSession
+    bounded_batches(spark)
     path = f"{checkpoint_dir(spark)}/strata-llm/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").option("compression", "zstd").parquet(path)
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -32,6 +44,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -60,11 +73,18 @@ def byte_words(text: bytes | str | None) -> list[bytes]:
 
 
 def rows_of(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple]:
-    """Rows of Arrow batches as tuples, one batch in memory at a time."""
-    for b in batches:
+    """Rows of Arrow batches as tuples; only ``SLICE`` rows at a time are Python objects."""
+    for b in slices(batches):
         yield from zip(*[b.column(b.schema.get_field_index(c)).to_pylist() for c in columns])
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``SLICE`` rows, without a copy."""
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE):
+            yield b.slice(at, SLICE)
+
+
 class Buffer:
     """Collects output columns and hands out bounded Arrow batches."""
 

@@ -52,7 +52,7 @@ MISS, MINIMA = 1e-9, 160
 SHARD = 1024
 #: DivideSkip's weight of a heap step against a look-up.
 MU = 0.0085
-WORD_CACHE = 500_000
+WORD_CACHE = 50_000
 
 _K1, _K2, _K3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 _WORDS: dict[bytes, int] = {}

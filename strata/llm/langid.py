@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Buffer, cut, held_out, rows_of
+from strata.llm.common import Buffer, cut, held_out, rows_of, slices
 
 UND = "und"
 BUCKETS, DIM = 1 << 14, 16
@@ -191,7 +191,7 @@ def keep_identified(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     model = train(docs, None, max_train)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(b.schema.get_field_index("text")).to_pylist()
             yield b.filter(pa.array([not model.predict(t)[2] for t in texts], pa.bool_()))
 

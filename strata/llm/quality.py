@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Buffer, cut, held_out, rows_of
+from strata.llm.common import Buffer, cut, held_out, rows_of, slices
 from strata.llm.rules import labels_of
 
 ACCEPT = 0.7
@@ -202,10 +202,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_C
     model = train(feature_table(docs), labels, None, max_per_class)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(b.schema.get_field_index("text")).to_pylist()
             f = np.array([features(t) for t in texts], np.float64).reshape(len(texts), len(NAMES))
             keep = model.score(f) >= ACCEPT
-            yield b.filter(pa.array(keep)) if len(texts) else b
+            yield b.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)
