@@ -34,11 +34,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Buffer, cut, rows_of
+from strata.llm.common import Buffer, cut, rows_of, slices
 
 CAPACITY, SEPARATOR = 4096, 1
-#: Distinct words (and chunks) a Python worker remembers, about 200 bytes each.
-CACHE = 800_000
+#: Distinct words (and chunks) a Python worker remembers in each of two generations, about 200 bytes each.
+CACHE = 150_000
 FAN_IN = 16
 #: A bin whose gap is at most this share of a sequence is final.
 TIGHT = 1 / 64
@@ -69,8 +69,11 @@ class Ids:
         pre = json.dumps(spec.get("pre_tokenizer") or {})
         self.by_word = (json.dumps(SPLIT)[1:-1] in pre and '"behavior": "Removed"' in pre and '"invert": true' in pre
                         and spec["model"]["type"] == "BPE")
+        # a full generation becomes the old one; what is asked for again moves on, so rare words fall out
         self.chunks: dict[bytes, bytes] = {}
+        self.old_chunks: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         self.find = regex.compile(SPLIT).findall
         self.model = self.tok.model
 
@@ -78,15 +81,21 @@ class Ids:
         got = self.words.get(w)
         if got is None:
             if len(self.words) >= CACHE:
-                self.words.clear()
-            shown = w if w.isascii() and w.isprintable() else "".join([_SHOWN[b] for b in w.encode("utf-8")])
-            got = np.asarray([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+                self.words, self.old_words = {}, self.words
+            got = self.old_words.get(w)
+            if got is None:
+                shown = w if w.isascii() and w.isprintable() else "".join([_SHOWN[b] for b in w.encode("utf-8")])
+                got = np.asarray([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
             self.words[w] = got
         return got
 
     def _chunk(self, c: bytes) -> bytes:
         if len(self.chunks) >= CACHE:
-            self.chunks.clear()
+            self.chunks, self.old_chunks = {}, self.chunks
+        got = self.old_chunks.get(c)
+        if got is not None:
+            self.chunks[c] = got
+            return got
         text = c.decode("utf-8", "surrogatepass")
         if max(text) < "\u0250" and "\u0130" not in text and "<|" not in text:
             got = b"".join([self._word(w) for w in self.find(text.lower())])
@@ -144,7 +153,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         ids, out = loaded(path), Buffer(schema, 4096)
-        for b in batches:
+        for b in slices(batches):
             doc, text = (b.column(b.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "text"))
             for doc_id, body in zip(doc, text):
                 raw, step = ids.of(body), 4 * capacity
