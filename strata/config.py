@@ -19,7 +19,8 @@ TOPIC_UNIQUE_VISIT = "dwm_unique_visit"
 TOPIC_USER_JUMP = "dwm_user_jump_detail"
 TOPIC_ORDER_WIDE = "dwm_order_wide"
 TOPIC_PAYMENT_WIDE = "dwm_payment_wide"
-TOPIC_BAD_LOG = "bad_base_log"  # own addition: records that can't be read
+TOPIC_BAD_LOG = "bad_base_log"  # own additions: records that can't be read
+TOPIC_BAD_DB = "bad_base_db"
 SINK_TYPE_HBASE = "hbase"
 SINK_TYPE_KAFKA = "kafka"
 SINK_TYPE_CLICKHOUSE = "clickhouse"

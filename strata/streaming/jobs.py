@@ -198,14 +198,17 @@ def base_db(spark: SparkSession, root: str, checkpoint: str, out_path: str,
     changed and removed rules take effect), records are routed, and the batch
     is written once, tagged, under its batch id (a retried batch overwrites its
     own folder, so the sink is idempotent). Its facts then go to their detail
-    topics (``facts`` folder, or Kafka topics by name)."""
+    topics (``facts`` folder, or Kafka topics by name). Text that is no JSON goes
+    to the ``C.TOPIC_BAD_DB`` topic (P1; ``bad`` folder)."""
     raw = read_topic(spark, root, "ods_base_db", fmt, None, kafka_options)
-    recs = raw.select(F.from_json("value", S.CDC_TEXT).alias("r"), "pos").select("r.*", "pos")
-    recs = recs.withColumn("seq", F.coalesce("seq", "pos")).drop("pos")
-    recs = cdc.parse_cdc(cdc.etl_filter(recs))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        routed = cdc.route(batch, rules())
+        unread = F.try_parse_json("value").isNull()
+        bad = batch.filter(unread & F.col("value").isNotNull())
+        write_batch(bad.withColumn("topic", F.lit(C.TOPIC_BAD_DB)), root, "bad", batch_id, fmt, kafka_options)
+        recs = batch.filter(~unread).select(F.from_json("value", S.CDC_TEXT).alias("r"), "pos").select("r.*", "pos")
+        recs = recs.withColumn("seq", F.coalesce("seq", "pos")).drop("pos")
+        routed = cdc.route(cdc.parse_cdc(cdc.etl_filter(recs)), rules())
         rows = routed.select("seq", "table", "type", "route", "sink_type", "sink_table", "sink_pk", "key", "reason",
                              F.to_json("data").alias("data")).withColumn("batch_id", F.lit(batch_id))
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
@@ -214,7 +217,7 @@ def base_db(spark: SparkSession, root: str, checkpoint: str, out_path: str,
                               .filter((F.col("batch_id") == batch_id) & (F.col("route") == cdc.ROUTE_FACT)))
         write_batch(cdc.fact_payload(facts), root, "facts", batch_id, fmt, kafka_options)
 
-    return (recs.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    return (raw.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 

@@ -107,6 +107,17 @@ def test_routing_stream_rereads_rules(spark):
     assert _rows(ids) == _rows(want.filter("route = 'fact'").select(F.col("data")["id"].cast("bigint").alias("id")))
 
 
+def test_unreadable_change_records_are_set_apart(spark):
+    good = '{"table":"order_info","type":"insert","data":{"id":7,"user_id":8}}'
+    bad = ["not json", '{"table":"order_info","data":']
+    root = replay.scratch(spark, "t-db-bad")
+    topics.publish(spark.createDataFrame([(v,) for v in [good, None, *bad]], "value string"), root, "ods_base_db", as_json=False)
+    jobs.base_db(spark, root, f"{root}/_ck", f"{root}/out", lambda: fx.routing_rules(spark)).awaitTermination()
+    got = topics.read_fanout(spark, root, C.TOPIC_BAD_DB, folder="bad", stream=False)
+    assert sorted(r.value for r in got.collect()) == sorted(bad)
+    assert jobs.routed_table(spark, f"{root}/out").filter("route = 'fact'").count() == 1
+
+
 def test_late_rows_are_dropped_and_counted(spark):
     """Once every leg's watermark has passed, a late row is dropped and counted.
     (A leg that never saw data holds the query watermark back: min policy.)"""
