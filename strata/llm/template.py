@@ -1,21 +1,29 @@
 """Main text of web pages by template deduction from equivalence classes.
 
-A page is read as a sequence of elements; a token is the path of an element
-(tag, class, id and role of it and its ancestors). For every host the occurrence
-vector of a token, its count on each of the host's pages, is summed up as an
-order-free digest, so tokens with equal vectors are found by one aggregation
-however many pages a host has. Tokens sharing a vector form an equivalence
-class. Classes that occur once on a page, on at least half of the host's pages
-(two at least), are valid; they nest by their paths into the host's template.
-What lies between template tokens are its slots.
-
-The article slot of a template is the deepest ``article`` or ``main`` element
-among its tokens, by the words below it; without one, the deepest token that
-holds ``SHARE`` of the words outside furniture. Furniture (menus, headers,
-footers, side bars, adverts, notices, forms, comments) is known by tag, role and
-class names, wherever it is nested. A page whose host has no template (a single
-page, or no common layout), or that lacks the slot, is read by the same rule on
-its own tokens.
+A page is read as a sequence of elements and texts. Tokens are the path of an
+element (tag, class, id and role of it and its ancestors) and the text of a block
+with its element's path. For every host the occurrence vector of a token, its
+count on each of the host's pages, is summed up as an order-free digest, so
+tokens with equal vectors are found by one aggregation however many pages a host
+has; pages of equal content count once. Tokens on at least half of the host's
+pages (two at least) that share a vector and the class around them form an
+equivalence class; classes nest by their paths into the host's template, optional
+parts and parts repeated on a page included.
+
+A text in the class of its own element comes wherever the element comes and
+belongs to the template. Other texts lie between template tokens, in its slots;
+a constant text among others in the same kind of element (a paragraph, an item)
+is one of them. The article slot is the deepest ``article`` or ``main`` element
+among the tokens that come once on a page, by the varying words below it; without
+one, the deepest such token that holds ``SHARE`` of the host's varying words. The
+article is what the slot holds, without texts of the template.
+
+A host has no template if it has a single page, no common layout, or no varying
+words in its article. Its pages, and pages that lack the slot, are read on their
+own: the article slot among a page's own tokens, without furniture (menus,
+headers, footers, side bars, adverts, notices, forms, comments), which is known by
+tag, role and class names. Names of furniture are used nowhere else. Text that
+browsers do not show is left out everywhere.
 
 Text is taken block by block: character references decoded, white space to one
 blank, blocks in page order joined by a newline.
@@ -34,6 +42,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +63,8 @@ FURNITURE_NAMES = frozenset(
     "navbar navigation newsletter notice notices notification overlay pager pagination popup promo promotion recommended "
     "related reply replies search share sharing sidebar signup skip social sponsor sponsored subscribe subscription "
     "teaser toolbar widget widgets".split())
+#: Elements whose text browsers do not show.
+UNSEEN = frozenset("head script style noscript template svg iframe object canvas audio video title".split())
 HEADER_NAMES = frozenset("header masthead topbar".split())
 MAIN_NAMES = frozenset("article main".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -69,10 +80,10 @@ _NAME = re.compile(r"[a-z]+")
 
 
 class _Open:
-    __slots__ = ("tag", "path", "bad", "article")
+    __slots__ = ("tag", "path", "bad", "article", "unseen")
 
-    def __init__(self, tag: str, path: str, bad: bool, article: bool):
-        self.tag, self.path, self.bad, self.article = tag, path, bad, article
+    def __init__(self, tag: str, path: str, bad: bool, article: bool, unseen: bool):
+        self.tag, self.path, self.bad, self.article, self.unseen = tag, path, bad, article, unseen
 
 
 def _element(tag: str, attrs: str, up: _Open) -> _Open:
@@ -83,23 +94,23 @@ def _element(tag: str, attrs: str, up: _Open) -> _Open:
     label = tag + "".join(["." + _DIGITS.sub("#", x.replace("/", "|")) for x in names])
     article = up.article or tag in MAIN_NAMES or "main" in names
     parts = {p for x in names for p in _NAME.findall(x)}
-    bad = (up.bad or tag in FURNITURE_TAGS or not parts.isdisjoint(FURNITURE_NAMES)
+    unseen = up.unseen or tag in UNSEEN or bool(attrs and _HIDDEN.search(attrs))
+    bad = (up.bad or unseen or tag in FURNITURE_TAGS or not parts.isdisjoint(FURNITURE_NAMES)
            # an article's own header holds its title
-           or (not up.article and (tag == "header" or not parts.isdisjoint(HEADER_NAMES)))
-           or bool(attrs and _HIDDEN.search(attrs)))
-    return _Open(tag, f"{up.path}/{label}" if up.path else label, bad, article)
+           or (not up.article and (tag == "header" or not parts.isdisjoint(HEADER_NAMES))))
+    return _Open(tag, f"{up.path}/{label}" if up.path else label, bad, article, unseen)
 
 
 def parse(page: str | None) -> tuple[list[str], list[tuple[str, bool, str]]]:
-    """(paths of all elements, blocks): a block is (path, furniture?, text) in page order."""
-    root = _Open("", "", False, False)
+    """(paths of all elements, blocks): a shown block is (path, furniture?, text) in page order."""
+    root = _Open("", "", False, False, False)
     stack, paths, blocks, buf = [root], [], [], []
     where: list[_Open] = [root]
 
     def end_block() -> None:
         if buf:
             text = " ".join("".join(buf).split())
-            if text:
+            if text and not where[0].unseen:
                 blocks.append((where[0].path, where[0].bad, text))
             buf.clear()
 
@@ -108,7 +119,7 @@ def parse(page: str | None) -> tuple[list[str], list[tuple[str, bool, str]]]:
             here = stack[-1]
             if not buf:
                 where[0] = here
-            elif here.bad != where[0].bad:  # inline furniture is a block of its own
+            elif (here.bad, here.unseen) != (where[0].bad, where[0].unseen):  # inline furniture is a block of its own
                 end_block()
                 where[0] = here
             buf.append(_html.unescape(raw) if "&" in raw else raw)
@@ -182,7 +193,7 @@ def _is_main(path: str) -> bool:
 
 
 def article_slot(tokens: dict[str, int]) -> str | None:
-    """The path of the article among template tokens with their words below (furniture left out)."""
+    """The path of the article among tokens with their words below."""
     full = {p: w for p, w in tokens.items() if w > 0}
     if not full:
         return None
@@ -197,27 +208,32 @@ def article_slot(tokens: dict[str, int]) -> str | None:
 
 
 def _below(blocks: list[tuple[str, bool, str]]) -> dict[str, int]:
-    """Words outside furniture below each path of a page."""
+    """Words below each path of a page."""
     out: dict[str, int] = {}
-    for path, bad, text in blocks:
-        if not bad:
-            n = len(text.split())
-            while path:
-                out[path] = out.get(path, 0) + n
-                path = path.rpartition("/")[0]
+    for path, _, text in blocks:
+        n = len(text.split())
+        while path:
+            out[path] = out.get(path, 0) + n
+            path = path.rpartition("/")[0]
     return out
 
 
-def main_text(page: str | None, slot: str | None) -> str:
-    """The article's text: blocks in the slot, or in the page's own slot where that one is missing."""
+def text_token(path: str, text: str) -> int:
+    """Digest of a block's text and its element's path."""
+    d = xxhash.xxh64_intdigest(f"{path}\n{text}".encode("utf-8", "surrogatepass"))
+    return d - (1 << 64) if d >> 63 else d
+
+
+def main_text(page: str | None, slot: str | None, fixed: frozenset[int] = frozenset()) -> str:
+    """The article's text: what the slot holds besides ``fixed`` texts, or the page's own slot where that one is missing."""
     _, blocks = parse(page)
-    good = [(p, t) for p, bad, t in blocks if not bad]
-    for s in (slot, article_slot(_below(blocks))):
-        if s:
-            inside = [t for p, t in good if p == s or p.startswith(s + "/")]
-            if inside:
-                return "\n".join(inside)
-    return "\n".join([t for _, t in good])
+    if slot:
+        inside = [(p, t) for p, _, t in blocks if p == slot or p.startswith(slot + "/")]
+        if inside:
+            return "\n".join([t for p, t in inside if text_token(p, t) not in fixed])
+    good = [b for b in blocks if not b[1]]
+    own = article_slot(_below(good))
+    return "\n".join([t for p, _, t in good if not own or p == own or p.startswith(own + "/")])
 
 
 def host_of(url: str = "url"):
@@ -225,59 +241,104 @@ def host_of(url: str = "url"):
     return F.coalesce(h, F.lit(""))
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, path, class_id, parent_class, pages, main): the valid tokens of every host."""
-    schema = pa.schema([("host", pa.string()), ("page", pa.int64()), ("path", pa.string()), ("n", pa.int64()),
-                        ("words", pa.int64())])
+def _tokens(pages: DataFrame) -> DataFrame:
+    """(host, path, text, pages, total, vec, words): every token of a host with its vector's digest; text is null for elements."""
+    schema = pa.schema([("host", pa.string()), ("page", pa.binary()), ("path", pa.list_(pa.string())),
+                        ("text", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("words", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Buffer(schema, 8192)
-        for host, page, body in rows_of(batches, ["host", "page", "html"]):
+        out = Buffer(schema, 256)
+        for host, body in rows_of(batches, ["host", "html"]):
             paths, blocks = parse(body)
             below = _below(blocks)
-            count: dict[str, int] = {"": 1}  # the page itself
+            below[""] = sum(len(t.split()) for _, _, t in blocks)
+            count: dict[tuple[str, int | None], int] = {("", None): 1}  # the page itself
+            words: dict[tuple[str, int | None], int] = {("", None): below[""]}
             for p in paths:
-                count[p] = count.get(p, 0) + 1
-            for p, n in count.items():
-                out.add(host, page, p, n, below.get(p, 0))
+                count[p, None] = count.get((p, None), 0) + 1
+                words[p, None] = below.get(p, 0)
+            for p, _, t in blocks:
+                k = p, text_token(p, t)
+                count[k] = count.get(k, 0) + 1
+                words[k] = words.get(k, 0) + len(t.split())
+            same = xxhash.xxh128()
+            for p, n in sorted((f"{p}\n{t}", n) for (p, t), n in count.items()):
+                same.update(f"{p}\n{n}\n".encode("utf-8", "surrogatepass"))
+            out.add(host, same.digest(), [p for p, _ in count], [t for _, t in count], list(count.values()),
+                    [words[k] for k in count])
             if out.full():
                 yield out.flush()
         yield out.flush()
 
-    occ = pages.select(host_of().alias("host"), F.xxhash64("page_id", "url").alias("page"),
-                       F.col("html").cast("string").alias("html")) \
-        .mapInArrow(run, "host string, page long, path string, n long, words long")
-    # equal occurrence vectors have equal digests; repeated pages would cancel in an exclusive or, so add as decimals
+    lists = ["path", "text", "n", "words"]
+    each = pages.select(host_of().alias("host"), F.col("html").cast("string").alias("html")) \
+        .mapInArrow(run, "host string, page binary, path array<string>, text array<long>, n array<long>, words array<long>") \
+        .groupBy("host", "page").agg(F.first(F.arrays_zip(*lists)).alias("tokens"))
+    occ = each.select("host", "page", F.explode("tokens").alias("t")).select("host", "page", "t.*")
+    # equal occurrence vectors have equal digests, summed as decimals
     vec = F.sum(F.xxhash64("page", "n").cast("decimal(20,0)"))
-    tok = cut(occ.groupBy("host", "path").agg(F.count("*").alias("pages"), F.sum("n").alias("total"),
-                                              vec.alias("vec"), F.sum("words").alias("words")), "page-tokens")
-    size = tok.filter("path = ''").select("host", F.col("pages").alias("host_pages"))
-    valid = tok.filter("path <> ''").join(size, "host") \
-        .filter("total = pages AND pages >= 2 AND 2 * pages >= host_pages")
-    out_schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("class_id", pa.int32()),
-                            ("parent_class", pa.int32()), ("pages", pa.int64()), ("main", pa.bool_())])
-
-    def nest(t: pa.Table) -> pa.Table:
-        rows = sorted(t.to_pylist(), key=lambda r: (-r["pages"], r["path"].count("/"), r["path"]))
-        ids: dict[tuple, int] = {}
-        cls = {r["path"]: ids.setdefault((r["pages"], r["total"], r["vec"]), len(ids)) for r in rows}
-        slot = article_slot({r["path"]: r["words"] for r in rows})
-        out = []
-        for r in rows:
-            up = r["path"].rpartition("/")[0]
-            while up and cls.get(up, cls[r["path"]]) == cls[r["path"]]:
-                up = up.rpartition("/")[0]
-            out.append((r["host"], r["path"], cls[r["path"]], cls.get(up), r["pages"], r["path"] == slot))
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), out_schema)], schema=out_schema)
+    return occ.groupBy("host", "path", "text").agg(F.count("*").alias("pages"), F.sum("n").alias("total"),
+                                                   vec.alias("vec"), F.sum("words").alias("words"))
+
+
+_TEMPLATE = pa.schema([("host", pa.string()), ("path", pa.string()), ("text", pa.int64()), ("class_id", pa.int32()),
+                       ("parent_class", pa.int32()), ("pages", pa.int64()), ("fixed", pa.bool_()), ("main", pa.bool_())])
+
+
+def _nest(t: pa.Table) -> pa.Table:
+    """Group function: the tokens of a host to its nested classes."""
+    rows = sorted(t.to_pylist(), key=lambda r: (r["path"] != "", r["path"].count("/"), r["path"], r["text"] is not None,
+                                                r["text"] or 0))
+    at: dict[str, tuple[int, int | None, tuple]] = {}  # of elements: class, class around it, vector
+    ids: dict[tuple, int] = {}
+    varying = {r["path"]: r["words"] for r in rows if r["text"] is None}
+    out = []
+    for r in rows:
+        path, text, vec = r["path"], r["text"], (r["pages"], r["total"], r["vec"])
+        up = path.rpartition("/")[0] if text is None else path
+        while up and up not in at:
+            up = up.rpartition("/")[0]
+        near = at.get(up)
+        if near and near[2] == vec:
+            found = near
+        else:
+            around = near[0] if near else None
+            found = ids.setdefault((around, vec), len(ids)), around, vec
+        if text is None:
+            at[path] = found
+        else:
+            varying[""] -= r["words"]
+            while path:
+                varying[path] -= r["words"]
+                path = path.rpartition("/")[0]
+        out.append([r["host"], r["path"], text, found[0], found[1], r["pages"], text is not None and found is near])
+    once = {r["path"]: varying[r["path"]] for r in rows if r["text"] is None and r["path"] and r["total"] == r["pages"]}
+    slot = article_slot(once)
+    if slot and not _is_main(slot) and any(map(_is_main, once)):
+        slot = None  # the articles do not differ
+    out = [(*x, x[2] is None and x[1] == slot) for x in out]
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _TEMPLATE)], schema=_TEMPLATE)
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """(host, path, text, class_id, parent_class, pages, fixed, main): the valid tokens of every host.
 
+    ``fixed`` marks texts of the template, ``main`` the element that is the article slot.
+    """
+    tok = cut(_tokens(pages), "page-tokens")
+    size = tok.filter("path = '' AND text IS NULL").select("host", F.col("pages").alias("host_pages"))
+    valid = tok.join(size.filter("host_pages >= 2"), "host").filter("pages >= 2 AND 2 * pages >= host_pages")
     return cut(valid.groupBy("host").applyInArrow(
-        nest, "host string, path string, class_id int, parent_class int, pages long, main boolean"), "page-templates")
+        _nest, "host string, path string, text long, class_id int, parent_class int, pages long, fixed boolean, "
+               "main boolean"), "page-templates")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for every page."""
-    slots = cut(templates(pages).filter("main").select(F.col("host").alias("s_host"), F.col("path").alias("slot")),
-                "page-slots")
+    slots = templates(pages).groupBy(F.col("host").alias("s_host")) \
+        .agg(F.max(F.when(F.col("main"), F.col("path"))).alias("slot"),
+             F.collect_list(F.when(F.col("fixed"), F.col("text"))).alias("fixed"))
+    slots = cut(slots.filter("slot IS NOT NULL"), "page-slots")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"), host_of().alias("host")) \
         .join(slots, F.col("host") == F.col("s_host"), "left")
@@ -285,11 +346,12 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Buffer(schema, 512)
-        for page_id, url, body, slot in rows_of(batches, ["page_id", "url", "html", "slot"]):
-            text = main_text(body, slot)
+        for page_id, url, body, slot, fixed in rows_of(batches, ["page_id", "url", "html", "slot", "fixed"]):
+            text = main_text(body, slot, frozenset(fixed or ()))
             out.add(page_id, url, text, len(text))
             if out.full():
                 yield out.flush()
         yield out.flush()
 
-    return rows.select("page_id", "url", "html", "slot").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return rows.select("page_id", "url", "html", "slot", "fixed") \
+        .mapInArrow(run, "page_id long, url string, text string, n_chars long")

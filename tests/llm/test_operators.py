@@ -295,6 +295,27 @@ def test_templates_and_extraction(spark):
     assert template.extract(d.limit(0)).count() == 0
 
 
+def test_slots_come_from_classes_not_from_names(spark):
+    page = ("<html><body><div class=xa><a>Home</a></div><div class=xb><h1>Head {0}</h1><div class=share>{1}</div>"
+            "<div class=xc>Written by our staff</div><p>text {1} of {0}</p>{2}</div><div class=xd>All rights</div></body></html>")
+    more = "".join("<div class=q><i>Q:</i><p>said {0} %d</p></div>" % k for k in range(3))
+    data = [(i, f"http://h.example/{i}", page.format(i, f"word{i} " * 9, more.format(i) if i % 2 else "<p>end</p>"))
+            for i in range(6)]
+    data += [(10 + i, f"http://c.example/?u={i}", page.format(1, "same", "")) for i in range(3)]
+    d = spark.createDataFrame(data, "page_id long, url string, html string")
+    by = {r.page_id: r.text for r in template.extract(d).collect()}
+    w = ("word4 " * 9).strip()
+    assert by[4] == f"Head 4\n{w}\ntext {w} of 4\nend"
+    # a label that comes with every item of a list belongs to the template
+    assert by[5].split("\n")[3:] == ["said 5 0", "said 5 1", "said 5 2"]
+    # copies of one page are no template
+    assert by[10] == by[12] and "text same of 1" in by[10]
+    t = {(r.path.rpartition("/")[2], r.fixed): r for r in template.templates(d).filter("host = 'h.example'").collect()}
+    assert t["div.xc", True].class_id == t["html", False].class_id and t["div.xb", False].main
+    assert t["div.q", False].parent_class == t["html", False].class_id == t["i", True].parent_class
+    assert t["i", True].class_id == t["div.q", False].class_id
+
+
 # --- 7: chats ---------------------------------------------------------------
 
 def test_chat_round_trip():
