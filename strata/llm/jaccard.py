@@ -4,12 +4,13 @@ A document is the set of its distinct lower-case word n-grams (64-bit hashes).
 Equal sets are collapsed first, by a 128-bit digest, so a group of copies is one
 node however large it is.
 
-The inverted index is sharded: sets that could reach the threshold must meet in
-a shard. Each set draws keys, each of a few minima of its hashes; sets sharing a
-key are chained to the smallest id with that key (a line per set, not per pair),
-and the connected parts of those chains are the shards. Two sets at the
+The inverted index is sharded by keys: sets that reach the threshold must share
+one. Each set draws keys, each of a few minima of its hashes. Two sets at the
 threshold share no key with probability ``MISS`` or less (0.9: 24 keys of 5
-minima), and only then could a link be missed. Every text goes to one shard at most.
+minima), and only then could a link be missed. First the sets of a key are compared
+with its smallest id (a line per set, not per pair). A key whose sets are connected
+by that needs no more; the sets of the others are the shards, each group of sets
+once. Chains over several keys are never gathered.
 
 Inside a shard the search is exact. For a query set of size n at least
 ``T = ceil(t * n)`` of its lists must name a partner, as the common part is at
@@ -19,13 +20,12 @@ a heap, or one sort once they are long) and ids that occur often enough are
 looked up in the long lists by binary search. Partners already connected need
 no look-up, since the result is the components.
 
-A shard of more than ``SHARD`` sets is split by hash, one pivot going to every
-part; sets that still stand outside their shard's largest component are
-then searched against all parts, which restores every link between components.
+A shard of more than ``SHARD`` sets or ``SHARD_BYTES`` is split in blocks by hash, and
+each pair of blocks is a task: a task holds two blocks, however common a key is.
 
 Defined cases: null and blank texts have no n-grams and stay alone; texts
 shorter than n words are one n-gram; a null doc_id gets a null component; rows
-with the same doc_id count as one document in links; an empty table gives an
+with the same doc_id and different texts are linked each by its own text; an empty table gives an
 empty result; columns other than doc_id and text are ignored.
 """
 
@@ -49,7 +49,8 @@ from strata.llm.components import components
 N, PERCENT = 3, 90
 #: Chance that a pair at the threshold shares no key; minima drawn for it at most.
 MISS, MINIMA = 1e-9, 160
-SHARD = 1024
+#: Sets of a block, and bytes of them with what a set costs besides its hashes.
+SHARD, SHARD_BYTES, SET_BYTES = 1024, 8 << 20, 256
 #: DivideSkip's weight of a heap step against a look-up.
 MU = 0.0085
 WORD_CACHE = 50_000
@@ -122,8 +123,7 @@ def signatures(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame
         out = Buffer(schema)
         for doc_id, text in rows_of(batches, ["doc_id", "text"]):
             s = shingles(text, n)
-            k = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
-            out.add(doc_id, len(s), *((int(k[0]), int(k[1])) if len(s) else (None, None)), band_keys(s, percent))
+            out.add(doc_id, len(s), *(_digest(s) if len(s) else (None, None)), band_keys(s, percent))
             if out.full():
                 yield out.flush()
         yield out.flush()
@@ -218,108 +218,139 @@ _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _search(percent: int):
-    """Group function: the rows of a shard part to edges (member, smallest connected member)."""
+    """Group function: a block or a pair of blocks of a shard to edges (member, smallest connected member)."""
 
     def run(t: pa.Table) -> pa.Table:
-        ids = t.column("rep").to_pylist()
+        ids, block = t.column("node").to_pylist(), t.column("block").to_pylist()
+        two = t.column("i")[0].as_py() != t.column("j")[0].as_py()
+        if len(ids) < 2 or two and len(set(block)) < 2:
+            return _EDGE.empty_table()
         sets = [np.frombuffer(b, np.uint64) for b in t.column("s").to_pylist()]
-        ask, group = t.column("ask").to_pylist(), t.column("known").to_pylist()
+        known, first = t.column("known").to_pylist(), min(block)
         order = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
-        later = any(g is not None for g in group)
-        uf = divide_skip([sets[i] for i in order], percent, [ask[i] for i in order] if later else None,
-                         [group[i] for i in order] if later else None)
+        uf = divide_skip([sets[i] for i in order], percent, [block[i] == first for i in order] if two else None,
+                         [known[i] for i in order])
         members: dict[int, list[int]] = {}
         for k, i in enumerate(order):
-            members.setdefault(uf.find(k), []).append(ids[i])
-        a, b = [], []
-        for m in members.values():
-            low = min(m)
-            a.extend(x for x in m if x != low)
-            b.extend(low for x in m if x != low)
+            members.setdefault(uf.find(k), []).append(i)
+        new = [m for m in members.values() if len({known[i] for i in m}) > 1]
+        a = [known[i] for m in new for i in m]
+        b = [low for m in new for low in [min(known[i] for i in m)] * len(m)]
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_EDGE)
 
     return run
 
 
-def _with_sets(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
-    """The sets of the sharded documents only: (rep, shard, parts, part, s)."""
-    schema = pa.schema([("rep", pa.int64()), ("shard", pa.int64()), ("parts", pa.int64()), ("part", pa.int64()),
-                        ("s", pa.binary())])
+def _digest(s: np.ndarray) -> tuple[int, int]:
+    k = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
+    return int(k[0]), int(k[1])
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """(node, s): the sets of ``nodes`` (node, rep, k1, k2) only."""
+    schema = pa.schema([("node", pa.int64()), ("s", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Buffer(schema, 512)
-        for *row, text in rows_of(batches, ["rep", "shard", "parts", "part", "text"]):
-            out.add(*row, shingles(text, n).tobytes())
+        for node, k1, k2, text in rows_of(batches, ["node", "k1", "k2", "text"]):
+            s = shingles(text, n)
+            if _digest(s) == (k1, k2):  # else another text with this id
+                out.add(node, s.tobytes())
             if out.full():
                 yield out.flush()
         yield out.flush()
 
     d = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
-    return d.join(members, "rep").select("rep", "shard", "parts", "part", "text") \
-        .mapInArrow(run, "rep long, shard long, parts long, part long, s binary")
+    return d.join(nodes, "rep").select("node", "k1", "k2", "text").mapInArrow(run, "node long, s binary") \
+        .groupBy("node").agg(F.first("s").alias("s"))
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Buffer(_EDGE)
+        for a, b, x, y in rows_of(batches, ["a", "b", "x", "y"]):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            if percent * max(len(x), len(y)) > 100 * min(len(x), len(y)):
+                continue
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * both >= percent * (len(x) + len(y) - both):
+                out.add(a, b)
+                if out.full():
+                    yield out.flush()
+        yield out.flush()
+
+    x = sets.select(F.col("node").alias("a"), F.col("s").alias("x"))
+    y = sets.select(F.col("node").alias("b"), F.col("s").alias("y"))
+    return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _nodes(sig: DataFrame) -> DataFrame:
+    """(k1, k2, rep, size, bands, node): distinct sets; node is the smallest doc_id, or a hash where several sets have that one."""
+    reps = sig.filter("k1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("k1", "k2") \
+        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"))
+    reps = cut(reps, "jaccard-reps")
+    several = reps.groupBy("rep").agg(F.count("*").alias("sets"), F.min("k1").alias("first")).filter("sets > 1")
+    return reps.join(several.select("rep", "first"), "rep", "left") \
+        .withColumn("node", F.when(F.col("k1") != F.col("first"), F.xxhash64("rep", "k1", "k2")).otherwise(F.col("rep"))) \
+        .drop("first")
 
 
 def link(docs: DataFrame, n: int = N, percent: int = PERCENT, shard: int = SHARD) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
+    return _linked(docs, n, percent, shard).select("doc_id", "n_shingles", "component_id")
+
+
+def _linked(docs: DataFrame, n: int, percent: int, shard: int = SHARD) -> DataFrame:
+    """``link`` with the digest (k1, k2) of the row's set."""
     sig = cut(signatures(docs, n, percent), "jaccard-sets")
-    reps = cut(sig.filter("k1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("k1", "k2")
-               .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "jaccard-reps")
-    keys = reps.select("rep", F.explode("bands").alias("key"))
-    low = keys.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a <> z").select("key", "a")
-    chains = keys.join(low, "key").filter("rep <> a").select("a", F.col("rep").alias("b"))
-    parts_of = components(chains)
-    shards = parts_of.groupBy(F.col("component").alias("shard")).agg((F.count("*") + 1).alias("size"))
-    member = parts_of.select(F.col("node").alias("rep"), F.col("component").alias("shard")) \
-        .union(shards.select(F.col("shard").alias("rep"), "shard"))
-    member = member.join(shards, "shard").withColumn("parts", F.ceil(F.col("size") / shard)) \
-        .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts"))).select("rep", "shard", "parts", "part")
-    member = cut(member, "jaccard-shards")
-    sets = cut(_with_sets(docs, member, n), "jaccard-postings")
-    none = F.lit(None).cast("long")
-    edges = cut(_grouped(_spread(sets).withColumns({"ask": F.lit(True), "known": none}), percent), "jaccard-edges")
-    # a shard that is one part gives its components at once; parts of a split one have to be put together
-    split = cut(member.filter("parts > 1"), "jaccard-split")
-    comp = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    if not split.isEmpty():
-        inner = edges.join(split.select(F.col("rep").alias("a")), "a", "left_semi")
-        far = inner.union(_rest(sets.filter("parts > 1"), split, components(inner), percent))
-        comp = edges.join(split.select(F.col("rep").alias("a")), "a", "left_anti") \
-            .select(F.col("a").alias("node"), F.col("b").alias("component")).union(components(far))
-    found = reps.join(comp, reps.rep == comp.node, "left") \
-        .select("k1", "k2", F.coalesce("component", "rep").alias("component"))
-    out = sig.join(found, ["k1", "k2"], "left")
-    # an id that occurs with several texts may lie in several components: they are one document
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-
-
-def _spread(sets: DataFrame) -> DataFrame:
-    """Rows of each part, with the shard's pivot (its smallest hash) in every part."""
-    h = F.pmod(F.xxhash64("rep"), F.lit(1 << 40))
-    pivots = sets.filter("parts > 1").groupBy("shard").agg(F.min(F.struct(h.alias("h"), "rep")).alias("p"))
-    pivots = pivots.select(F.col("p.rep").alias("p_rep"), F.lit(True).alias("pivot"))
-    d = sets.join(pivots, F.col("rep") == F.col("p_rep"), "left")
-    where = F.when(F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array("part"))
-    return d.withColumn("at", F.explode(where)).select("rep", "shard", "at", "s")
-
-
-def _grouped(rows: DataFrame, percent: int) -> DataFrame:
-    return rows.groupBy("shard", "at").applyInArrow(_search(percent), "a long, b long")
-
-
-def _rest(sets: DataFrame, split: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
-    """Split shards, second round: sets outside the shard's largest component against every part."""
-    c = split.join(comp, split.rep == comp.node, "left") \
-        .select("rep", "shard", F.coalesce("component", "rep").alias("known"))
-    sizes = c.groupBy("shard", "known").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("shard").agg(F.max(F.struct("n", "known")).alias("m")) \
-        .select("shard", F.col("m.known").alias("largest"))
-    c = cut(c.join(largest, "shard").select("rep", "known", (F.col("known") != F.col("largest")).alias("ask")),
-            "jaccard-known")
-    d = sets.join(c, "rep")
-    asked = d.filter("ask").withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    stay = d.filter(~F.col("ask")).withColumn("at", F.col("part"))
-    cols = ["rep", "shard", "at", "s", "ask", "known"]
-    return cut(_grouped(asked.select(*cols).union(stay.select(*cols)), percent), "jaccard-edges")
+    nodes = cut(_nodes(sig), "jaccard-nodes")
+    keys = nodes.select("node", "size", F.explode("bands").alias("key"))
+    low = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.count("*").alias("n")) \
+        .filter("a <> z").select("key", "a", "n")
+    met = cut(keys.join(low, "key"), "jaccard-keys")
+    need = nodes.select("node", "rep", "k1", "k2").join(met.select("node").distinct(), "node")
+    sets = cut(_sets(docs, need, n), "jaccard-postings")
+    pairs = met.filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+    edges = cut(_verify(pairs, sets, percent), "jaccard-edges")
+    comp = components(edges)
+    # two sets of a key have been compared; of more, those in different components are left
+    left = met.filter("n > 2").join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left") \
+        .select("key", "node", "size", F.coalesce("component", "node").alias("known"))
+    left = cut(left, "jaccard-left")
+    far = cut(_rest(left, sets, percent, shard), "jaccard-edges")
+    if not far.isEmpty():
+        comp = components(far.union(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    both = nodes.join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left") \
+        .select("k1", "k2", "rep", F.coalesce("component", "node").alias("component"))
+    smallest = both.groupBy("component").agg(F.min("rep").alias("component_id"))
+    found = both.join(smallest, "component").select("k1", "k2", "component_id")
+    return sig.join(found, ["k1", "k2"], "left") \
+        .select("doc_id", "n_shingles", "k1", "k2", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _tasks(left: DataFrame, shard: int) -> DataFrame:
+    """(node, known, m): where the sets of keys in several components go; m is an array of (key, block, pairs of blocks)."""
+    h = F.xxhash64("node")
+    group = left.groupBy("key").agg(F.count("*").alias("n"), F.min("known").alias("c1"), F.max("known").alias("c2"),
+                                    F.sum(8 * F.col("size") + SET_BYTES).alias("bytes"),
+                                    F.sum(h.cast("decimal(20,0)")).alias("sum"), F.bit_xor(h).alias("xor")).filter("c1 <> c2")
+    # keys of the same sets are one shard
+    group = group.groupBy("n", "bytes", "sum", "xor").agg(F.min("key").alias("key"))
+    group = group.select("key", F.greatest(F.ceil(F.col("n") / shard), F.ceil(F.col("bytes") / SHARD_BYTES)).alias("blocks"))
+    at = left.join(group, "key").withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")))
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
+                        lambda j: F.struct(F.least(j, F.col("block")).alias("i"), F.greatest(j, F.col("block")).alias("j")))
+    return at.groupBy("node", "known").agg(F.collect_list(F.struct("key", "block", pairs.alias("pairs"))).alias("m"))
+
+
+def _rest(left: DataFrame, sets: DataFrame, percent: int, shard: int) -> DataFrame:
+    """Edges between the components of keys that hold several, by an exact search in pairs of blocks."""
+    d = _tasks(left, shard).join(sets, "node").select("node", "known", "s", F.explode("m").alias("m")) \
+        .select("node", "known", "s", "m.key", "m.block", F.explode("m.pairs").alias("p"))
+    return d.select("node", "known", "s", "key", "block", "p.i", "p.j").groupBy("key", "i", "j") \
+        .applyInArrow(_search(percent), "a long, b long").distinct()
 
 
 def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:

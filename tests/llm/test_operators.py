@@ -247,6 +247,35 @@ def test_jaccard_against_brute_force(spark, percent, n, shard):
     assert jaccard.link(d.limit(0)).count() == 0
 
 
+def test_jaccard_tasks_hold_two_blocks(spark, monkeypatch):
+    # a chain of keys through sets of which none link, and one key that all of them share
+    sizes, search = spark.sparkContext.accumulator(0), jaccard._search
+
+    def counted(percent):
+        run = search(percent)
+
+        def group(t):
+            sizes.add(int(t.num_rows > 2 * 16 + 24))
+            return run(t)
+        return group
+
+    monkeypatch.setattr(jaccard, "_search", counted)
+    rng = random.Random(9)
+    common = [f"c{k}" for k in range(80)]
+    texts = {i: " ".join(common + [f"u{rng.randrange(10**9)}" for _ in range(24)]) for i in range(150)}
+    texts |= {200 + i: texts[i] + " end" for i in range(0, 150, 10)}
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    comp, _ = brute_components(texts, 3, 90)
+    assert {r.doc_id: r.component_id for r in jaccard.link(d, 3, 90, 16).collect()} == comp
+    assert len(set(comp.values())) == 150 and sizes.value == 0
+
+
+def test_jaccard_splits_shards_by_bytes(spark):
+    left = spark.createDataFrame([(1, i, 100_000, i) for i in range(40)], "key long, node long, size long, known long")
+    m = [x for r in jaccard._tasks(left, 1024).collect() for x in r.m]
+    assert len({x.block for x in m}) > 1 and max(Counter(x.block for x in m).values()) < 30
+
+
 def test_divide_skip_merges_long_and_short_lists():
     rng = random.Random(8)
     base = [rng.randrange(2**60) for _ in range(400)]
