@@ -303,7 +303,7 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT, shard: int = SHARD
 
 
 def _linked(docs: DataFrame, n: int, percent: int, shard: int = SHARD) -> DataFrame:
-    """``link`` with the digest (k1, k2) of the row's set."""
+    """``link`` with the digest (k1, k2) of the row's set and a component of its own text (component_id: its smallest doc_id)."""
     sig = cut(signatures(docs, n, percent), "jaccard-sets")
     nodes = cut(_nodes(sig), "jaccard-nodes")
     keys = nodes.select("node", "size", F.explode("bands").alias("key"))
@@ -325,9 +325,9 @@ def _linked(docs: DataFrame, n: int, percent: int, shard: int = SHARD) -> DataFr
     both = nodes.join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left") \
         .select("k1", "k2", "rep", F.coalesce("component", "node").alias("component"))
     smallest = both.groupBy("component").agg(F.min("rep").alias("component_id"))
-    found = both.join(smallest, "component").select("k1", "k2", "component_id")
+    found = both.join(smallest, "component").select("k1", "k2", "component", "component_id")
     return sig.join(found, ["k1", "k2"], "left") \
-        .select("doc_id", "n_shingles", "k1", "k2", F.coalesce("component_id", "doc_id").alias("component_id"))
+        .select("doc_id", "n_shingles", "k1", "k2", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def _tasks(left: DataFrame, shard: int) -> DataFrame:
@@ -356,14 +356,27 @@ def _rest(left: DataFrame, sets: DataFrame, percent: int, shard: int) -> DataFra
 def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component; columns as given.
 
-    The row with the smallest doc_id stays; of several rows with that id, one.
+    A row with the smallest doc_id stays. Rows of one id go or stay each by its own text.
     """
-    found = link(docs, n, percent)
+    found = cut(_linked(docs, n, percent), "jaccard-found")
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
     often = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
     gone, often = cut(gone, "jaccard-gone"), cut(often, "jaccard-often")
-    rest = docs.join(gone, "doc_id", "left_anti")
     if often.isEmpty():
-        return rest.select(*docs.columns)
-    once = rest.join(often, "doc_id", "left_anti")
-    return once.unionByName(rest.join(often, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    once = docs.join(gone.union(often), "doc_id", "left_anti")
+    stay = found.filter("doc_id = component_id").join(often, "doc_id", "left_semi") \
+        .groupBy("doc_id", "component").agg(F.min(F.struct("k1", "k2")).alias("k"))
+    stay = cut(stay.select(F.col("doc_id").alias("id"), "k.k1", "k.k2"), "jaccard-stay")
+
+    @F.udf("struct<k1: bigint, k2: bigint>")
+    def digest(text):
+        s = shingles(text, n)
+        return _digest(s) if len(s) else (None, None)
+
+    rows = docs.join(often, "doc_id", "left_semi")
+    rows = rows.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"),
+                       digest(F.col("text").cast("string")).alias("k")) \
+        .select("row", "id", "k.k1", "k.k2").dropDuplicates(["id", "k1", "k2"])
+    same = (rows.id == stay.id) & rows.k1.eqNullSafe(stay.k1) & rows.k2.eqNullSafe(stay.k2)
+    return once.unionByName(rows.join(stay, same, "left_semi").select("row.*")).select(*docs.columns)

@@ -247,6 +247,18 @@ def test_jaccard_against_brute_force(spark, percent, n, shard):
     assert jaccard.link(d.limit(0)).count() == 0
 
 
+def test_texts_of_one_id_go_or_stay_by_themselves(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    data = [(3, a, 0), (7, a + " end", 0), (7, b, 1), (7, b, 1), (7, c, 2), (7, None, 3), (8, c, 4), (9, "", 5),
+            (3, a + " fin", 6), (None, "q", 7), (None, a, 8)]
+    d = spark.createDataFrame(data, "doc_id long, text string, k1 int")
+    got = jaccard.keep_one(d)
+    assert got.columns == d.columns
+    got = sorted((r.doc_id or 0, r.text or "", r.k1) for r in got.collect())
+    assert [x for x in got if x[0] not in (0, 3)] == [(7, "", 3), (7, b, 1), (7, c, 2), (9, "", 5)]
+    assert len([x for x in got if x[0] == 3]) == 1 and len([x for x in got if x[0] == 0]) == 2
+
+
 def test_jaccard_tasks_hold_two_blocks(spark, monkeypatch):
     # a chain of keys through sets of which none link, and one key that all of them share
     sizes, search = spark.sparkContext.accumulator(0), jaccard._search
