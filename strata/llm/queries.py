@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline bound to the driver tables."""
+"""The operators and the pipeline bound to the driver tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import chat, embed, hmm, jaccard, langid, mixing, packing, quality, rules, template
+from strata.llm import chat, embed, hmm, jaccard, langid, mixing, packing, quality, rules, template, urlrules
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op10_langid(spark: SparkSession, d: str) -> DataFrame:
     return langid.identify(table(spark, d, "documents"))
 
 
+def op11_urls(spark: SparkSession, d: str) -> DataFrame:
+    return urlrules.judge(table(spark, d, "pages"), urlrules.rules_frame(spark))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
@@ -66,6 +70,12 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_rules": op9_rules,
     "op10_langid": op10_langid,
+    "op11_urls": op11_urls,
+}
+
+#: Queries that SQL can express.
+ORACLES: dict[str, str] = {
+    "op11_urls": urlrules.ORACLE,
 }
 
 
