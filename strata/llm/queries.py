@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import chat, embed, hmm, jaccard, langid, mixing, packing, quality, rules, template, urlrules
+from strata.llm import chat, embed, hmm, jaccard, langid, mixing, packing, phrases, quality, rules, template, urlrules
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,10 @@ def op11_urls(spark: SparkSession, d: str) -> DataFrame:
     return urlrules.judge(table(spark, d, "pages"), urlrules.rules_frame(spark))
 
 
+def op12_phrases(spark: SparkSession, d: str) -> DataFrame:
+    return phrases.collocations(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
@@ -71,11 +75,13 @@ QUERIES: dict[str, Query] = {
     "op9_rules": op9_rules,
     "op10_langid": op10_langid,
     "op11_urls": op11_urls,
+    "op12_phrases": op12_phrases,
 }
 
 #: Queries that SQL can express.
 ORACLES: dict[str, str] = {
     "op11_urls": urlrules.ORACLE,
+    "op12_phrases": phrases.ORACLE,
 }
 
 
