@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import chat, embed, hmm, jaccard, langid, mixing, packing, phrases, quality, rules, template, urlrules
+from strata.llm import chat, embed, hmm, jaccard, langid, mixing, packing, periodic, phrases, quality, rules, template, urlrules
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op12_phrases(spark: SparkSession, d: str) -> DataFrame:
     return phrases.collocations(table(spark, d, "documents"))
 
 
+def op13_runs(spark: SparkSession, d: str) -> DataFrame:
+    return periodic.digest(periodic.scan(periodic.planted(table(spark, d, "documents"))))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op10_langid": op10_langid,
     "op11_urls": op11_urls,
     "op12_phrases": op12_phrases,
+    "op13_runs": op13_runs,
 }
 
 #: Queries that SQL can express.

@@ -24,7 +24,7 @@ def docs(spark):
 
 
 def test_every_operator_is_registered():
-    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 13))
+    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 14))
 
 
 # --- 1: mixing --------------------------------------------------------------
