@@ -16,7 +16,10 @@ a constant text among others in the same kind of element (a paragraph, an item)
 is one of them. The article slot is the deepest ``article`` or ``main`` element
 among the tokens that come once on a page, by the varying words below it; without
 one, the deepest such token that holds ``SHARE`` of the host's varying words. The
-article is what the slot holds, without texts of the template.
+article is what the slot holds, without texts of the template and without the
+slots nested in it that are furniture (menus, side bars, adverts, notices, forms,
+reader comments): varying text that no class can tell from the article's own, so
+the elements below the slot are known by tag, role and class names.
 
 A host has no template if it has a single page, no common layout, or no varying
 words in its article. Its pages, and pages that lack the slot, are read on their
@@ -40,6 +43,7 @@ from __future__ import annotations
 import html as _html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -82,7 +86,8 @@ _NAME = re.compile(r"[a-z]+")
 class _Open:
     __slots__ = ("tag", "path", "bad", "article", "unseen")
 
-    def __init__(self, tag: str, path: str, bad: bool, article: bool, unseen: bool):
+    def __init__(self, tag: str, path: str, bad: int, article: bool, unseen: bool):
+        # bad: how many of the element and those around it are furniture
         self.tag, self.path, self.bad, self.article, self.unseen = tag, path, bad, article, unseen
 
 
@@ -93,17 +98,18 @@ def _element(tag: str, attrs: str, up: _Open) -> _Open:
             names.extend((m[2] or m[3] or m[4] or "").lower().split())
     label = tag + "".join(["." + _DIGITS.sub("#", x.replace("/", "|")) for x in names])
     article = up.article or tag in MAIN_NAMES or "main" in names
-    parts = {p for x in names for p in _NAME.findall(x)}
+    # classes of the whole page say what kind of page it is
+    parts = {p for x in names for p in _NAME.findall(x)} if tag not in ("html", "body") else set()
     unseen = up.unseen or tag in UNSEEN or bool(attrs and _HIDDEN.search(attrs))
-    bad = (up.bad or unseen or tag in FURNITURE_TAGS or not parts.isdisjoint(FURNITURE_NAMES)
+    bad = (unseen or tag in FURNITURE_TAGS or not parts.isdisjoint(FURNITURE_NAMES)
            # an article's own header holds its title
            or (not up.article and (tag == "header" or not parts.isdisjoint(HEADER_NAMES))))
-    return _Open(tag, f"{up.path}/{label}" if up.path else label, bad, article, unseen)
+    return _Open(tag, f"{up.path}/{label}" if up.path else label, up.bad + bad, article, unseen)
 
 
 def parse(page: str | None) -> tuple[list[str], list[tuple[str, bool, str]]]:
     """(paths of all elements, blocks): a shown block is (path, furniture?, text) in page order."""
-    root = _Open("", "", False, False, False)
+    root = _Open("", "", 0, False, False)
     stack, paths, blocks, buf = [root], [], [], []
     where: list[_Open] = [root]
 
@@ -111,7 +117,7 @@ def parse(page: str | None) -> tuple[list[str], list[tuple[str, bool, str]]]:
         if buf:
             text = " ".join("".join(buf).split())
             if text and not where[0].unseen:
-                blocks.append((where[0].path, where[0].bad, text))
+                blocks.append((where[0].path, where[0].bad > 0, text))
             buf.clear()
 
     def say(raw: str) -> None:
@@ -224,13 +230,21 @@ def text_token(path: str, text: str) -> int:
     return d - (1 << 64) if d >> 63 else d
 
 
+@lru_cache(1 << 14)
+def is_furniture(label: str) -> bool:
+    """Whether an element (the last part of a path) is furniture inside an article."""
+    tag, *names = label.split(".")
+    return tag in FURNITURE_TAGS or any(x in FURNITURE_NAMES for name in names for x in _NAME.findall(name))
+
+
 def main_text(page: str | None, slot: str | None, fixed: frozenset[int] = frozenset()) -> str:
-    """The article's text: what the slot holds besides ``fixed`` texts, or the page's own slot where that one is missing."""
+    """The article's text: what the slot holds besides ``fixed`` texts and furniture, or the page's own slot where that one is missing."""
     _, blocks = parse(page)
     if slot:
         inside = [(p, t) for p, _, t in blocks if p == slot or p.startswith(slot + "/")]
         if inside:
-            return "\n".join([t for p, t in inside if text_token(p, t) not in fixed])
+            own = [(p, t) for p, t in inside if not any(map(is_furniture, p[len(slot) + 1:].split("/")))]
+            return "\n".join([t for p, t in own if text_token(p, t) not in fixed])
     good = [b for b in blocks if not b[1]]
     own = article_slot(_below(good))
     return "\n".join([t for p, _, t in good if not own or p == own or p.startswith(own + "/")])

@@ -337,7 +337,7 @@ def test_templates_and_extraction(spark):
 
 
 def test_slots_come_from_classes_not_from_names(spark):
-    page = ("<html><body><div class=xa><a>Home</a></div><div class=xb><h1>Head {0}</h1><div class=share>{1}</div>"
+    page = ("<html><body><div class=xa><a>Home</a></div><div class=xb><h1>Head {0}</h1><div class=xs>{1}</div>"
             "<div class=xc>Written by our staff</div><p>text {1} of {0}</p>{2}</div><div class=xd>All rights</div></body></html>")
     more = "".join("<div class=q><i>Q:</i><p>said {0} %d</p></div>" % k for k in range(3))
     data = [(i, f"http://h.example/{i}", page.format(i, f"word{i} " * 9, more.format(i) if i % 2 else "<p>end</p>"))
@@ -357,6 +357,25 @@ def test_slots_come_from_classes_not_from_names(spark):
     assert t["i", True].class_id == t["div.q", False].class_id
 
 
+def test_furniture_inside_the_article_slot(spark):
+    """Adverts, forms, notices and comments that differ from page to page are no template text, but furniture."""
+    page = ("<html><body class=comment-page><nav><a>Home {0}</a></nav><{2} class='post widget-{0}'><h1>Head {0}</h1><p>first {1}</p>"
+            "<aside class=box>Buy product {0} now</aside><div class='xx ad-slot'><p>Offer {0}</p></div><p>second {1} <span class=promo>deal {0}</span></p>"
+            "<form><label>Sign up {0}</label><input></form><div role=dialog>Cookies {0}</div><nav><ul><li>Page {0}</ul></nav>"
+            "<section id=comments-{0}><ul><li><p>user{0} says nice</p><li>reply {0}</ul></section><header>by author {0}</header>"
+            "</{2}><div class=foot>All rights {0}</div></body></html>")
+    for tag in ("article", "div"):
+        data = [(i, f"http://h.example/{i}", page.format(i, f"word{i} " * 60, tag)) for i in range(6)]
+        data.append((10, "http://alone.example/1", page.replace("widget-", "n").format(7, "lone words here " * 20, "article")))
+        d = spark.createDataFrame(data, "page_id long, url string, html string")
+        by = {r.page_id: r.text for r in template.extract(d).collect()}
+        w = ("word4 " * 60).strip()
+        assert by[4] == f"Head 4\nfirst {w}\nsecond {w}\nby author 4"
+        slot = template.templates(d).filter("main").collect()
+        assert [r.path.rpartition("/")[2] for r in slot] == [f"{tag}.post.widget-#"]
+        assert "product" not in by[10] and "first lone" in by[10]
+
+
 # --- 7: chats ---------------------------------------------------------------
 
 def test_chat_round_trip():
