@@ -3,17 +3,18 @@
 ===================  ===========================================  ==============================
 job                  flow                                         state / time
 ===================  ===========================================  ==============================
-base_log             ods_base_log → K1 → start | page | display    ValueState per device
-base_db              ods_base_db → ETL → route(rules) → facts+dims  rules re-read per micro-batch
-unique_visit         dwd_page_log → K2 → dwm_unique_visit          days per device, 1-day TTL when live
-user_jump            dwd_page_log → K3 → dwm_user_jump_detail      event-time timers, 0 s watermark
+base_log             ods_base_log → K1 → start | page | display    first flag per device
+base_db              ods_base_db → ETL → route(rules) → facts+dims  rule versions, dimension versions
+unique_visit         dwd_page_log → K2 → dwm_unique_visit          first row per device and day, 1 day
+user_jump            dwd_page_log → K3 → dwm_user_jump_detail      last row per device and bucket
 order_wide           order ⋈ line (±5 ms) → 6 lookups → wide       watermark 3 s both sides
 payment_wide         payment ⋈ wide (−1800 s … 0)                  watermark 3 s both sides
 visitor_stats        page ∪ uv ∪ uj → 10 s windows                 per-leg watermarks, append
 ===================  ===========================================  ==============================
 
 Every job takes a topic ``root`` (folder of file topics) or Kafka options, a
-checkpoint folder and a trigger; with ``{"availableNow": True}`` it drains what
+checkpoint folder, a trigger and a bound on what one micro-batch takes in
+(``max_files_per_trigger``; Kafka: the ``maxOffsetsPerTrigger`` option); with ``{"availableNow": True}`` it drains what
 is there and stops, which is how the tests compare each job with its batch form.
 """
 
@@ -26,11 +27,14 @@ from pyspark.sql import functions as F
 
 from strata import config as C
 from strata import schemas as S
-from strata.functions.columns import day_of_ms, event_time, is_entry_page, parse_time_ms
+from strata.functions.columns import event_time, parse_time_ms
 from strata.operators import cdc, logs, orders, traffic
 from strata.operators.joins import enrich
-from strata.streaming.state import OUT_SCHEMA, BounceDetector, FlagRepair, UniqueVisit
-from strata.streaming.topics import read_layer, read_topic, write_batch, write_topic, write_topics
+from strata.sources.rules import RuleHistory
+from strata.streaming import state
+from strata.streaming.dimstore import DimStore
+from strata.streaming.stats_table import EpochTable
+from strata.streaming.topics import read_layer, read_topic, topic_path, write_batch, write_rows, write_topic
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # A live job commits a micro-batch (offsets + state checkpoint) every 5 s, like the original.
@@ -50,18 +54,6 @@ def _use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
-def _keyed(raw: DataFrame) -> DataFrame:
-    """Extract the keys the processors need; the JSON text itself stays as is.
-    A record without a sequence number takes its position in the topic."""
-    j = lambda p: F.get_json_object("value", p)
-    ts = j("$.ts").try_cast("bigint")
-    seq = j("$.event_id").try_cast("bigint")
-    return raw.select("value", j("$.common.mid").alias("mid"), ts.alias("ts"),
-                      (F.coalesce(seq, F.col("pos")) if "pos" in raw.columns else seq).alias("event_id"),
-                      j("$.common.is_new").alias("is_new"), day_of_ms(ts).alias("day"),
-                      is_entry_page(j("$.page.last_page_id")).alias("entry"))
-
-
 # --- base_log: K1 + R1/R2 as one tagged output --------------------------------
 
 def with_flag(out: DataFrame) -> DataFrame:
@@ -100,45 +92,48 @@ def base_log(spark: SparkSession, root: str, checkpoint: str, mode: str = "same_
              trigger: dict | None = None, fmt: str = "parquet", kafka_options: dict | None = None,
              max_files_per_trigger: int | None = None):
     """K1 + R1 + R2. Text that is no JSON or has no event time goes to the
-    ``C.TOPIC_BAD_LOG`` topic (P1); records without a device pass the repair by, as in the batch form."""
+    ``C.TOPIC_BAD_LOG`` topic (P1); records without a device pass the repair by, as in the batch form.
+
+    A micro-batch, with the first flags of its devices, is staged once as a table; the repair
+    is a join on it, which Spark splits where a device is hot."""
     _use_rocksdb(spark)
     raw = read_topic(spark, root, "ods_base_log", fmt, max_files_per_trigger, kafka_options)
-    keyed = _keyed(raw)
     good = F.try_parse_json("value").isNotNull() & F.col("ts").isNotNull()
-    fixed = (keyed.filter(good & F.col("mid").isNotNull()).groupBy("mid")
-             .transformWithStateInPandas(FlagRepair(mode), OUT_SCHEMA, "Append", "None"))
-    loose = keyed.filter(good & F.col("mid").isNull()).select("value")
-    bad = keyed.filter(~good & F.col("value").isNotNull()).select(F.lit(C.TOPIC_BAD_LOG).alias("topic"), "value")
-    out = fan_out_log(with_flag(fixed).unionByName(loose)).unionByName(bad)
-    return write_topics(out, root, checkpoint, fmt, trigger, kafka_options)
+    rows = state.first_flags(state.keyed(raw).filter(F.col("value").isNotNull())
+                             .withColumn("is_new", F.when(good, F.col("is_new"))))
+    staged = topic_path(root, "_base_log_stage")
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(staged)
+        now = batch.sparkSession.read.schema(batch.schema).parquet(staged)
+        ok = F.try_parse_json("row.value").isNotNull() & F.col("row.mark.ts").isNotNull()
+        bad = now.filter(F.col("row").isNotNull() & ~ok).select(F.lit(C.TOPIC_BAD_LOG).alias("topic"), "row.value")
+        fixed = state.repair_flags(now.filter(F.col("row").isNull() | ok), mode)
+        write_batch(fan_out_log(with_flag(fixed)).unionByName(bad), root, "fanout", batch_id, fmt, kafka_options)
+
+    return (rows.writeStream.outputMode("update").foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
 
 
 # --- unique_visit / user_jump ---------------------------------------------------
 
 def unique_visit(spark: SparkSession, root: str, checkpoint: str, trigger: dict | None = None,
-                 source: Callable[[], DataFrame] | None = None, ttl_ms: int | None = None,
-                 fmt: str = "parquet", kafka_options: dict | None = None):
-    """K2. A live trigger lets the state of a device's day expire after a day (W5); a
-    drained run (``availableNow``) keeps it, since a processing-time TTL would not let it end."""
+                 source: Callable[[], DataFrame] | None = None, expiry_days: int = C.VISIT_STATE_TTL_MS // C.MS_PER_DAY,
+                 fmt: str = "parquet", kafka_options: dict | None = None, max_files_per_trigger: int | None = None):
+    """K2. The state of a device's day expires in event time, a day after that day."""
     _use_rocksdb(spark)
-    if ttl_ms is None and "processingTime" in (trigger or {}):
-        ttl_ms = C.VISIT_STATE_TTL_MS
-    page = source() if source else read_layer(spark, root, C.TOPIC_PAGE, "fanout", fmt, kafka_options)
-    out = (_keyed(page).groupBy("mid")
-           .transformWithStateInPandas(UniqueVisit(ttl_ms), OUT_SCHEMA, "Append",
-                                       "ProcessingTime" if ttl_ms else "None"))
-    return write_topic(out, root, C.TOPIC_UNIQUE_VISIT, checkpoint, fmt, trigger, kafka_options)
+    page = source() if source else read_layer(spark, root, C.TOPIC_PAGE, "fanout", fmt, kafka_options, max_files_per_trigger)
+    out = state.unique_visits(state.keyed(page), expiry_days)
+    return write_rows(out, root, C.TOPIC_UNIQUE_VISIT, checkpoint, fmt, trigger, kafka_options)
 
 
 def user_jump(spark: SparkSession, root: str, checkpoint: str, within_ms: int = C.BOUNCE_WITHIN_MS,
               trigger: dict | None = None, source: Callable[[], DataFrame] | None = None,
-              fmt: str = "parquet", kafka_options: dict | None = None):
-    """Monotonous event-time watermark, as the original pattern job: rows as new as the newest
-    still count, and Spark drops rows at the watermark, hence one millisecond."""
+              fmt: str = "parquet", kafka_options: dict | None = None, max_files_per_trigger: int | None = None):
+    """K3 on a monotonous event-time watermark, as the original pattern job."""
     _use_rocksdb(spark)
-    page = source() if source else read_layer(spark, root, C.TOPIC_PAGE, "fanout", fmt, kafka_options)
-    k = _keyed(page).filter("ts IS NOT NULL").withColumn("et", event_time("ts")).withWatermark("et", "1 millisecond")
-    out = k.groupBy("mid").transformWithStateInPandas(BounceDetector(within_ms), OUT_SCHEMA, "Append", "EventTime")
+    page = source() if source else read_layer(spark, root, C.TOPIC_PAGE, "fanout", fmt, kafka_options, max_files_per_trigger)
+    out = state.bounces(state.keyed(page), within_ms)
     return write_topic(out, root, C.TOPIC_USER_JUMP, checkpoint, fmt, trigger, kafka_options)
 
 
@@ -148,19 +143,22 @@ def visitor_stats(spark: SparkSession, root: str, checkpoint: str, out_path: str
                   window: str = C.STATS_WINDOW, within_ms: int = C.BOUNCE_WITHIN_MS,
                   delay: str = C.WATERMARK_DELAY, trigger: dict | None = None,
                   sources: dict[str, Callable[[], DataFrame]] | None = None, jdbc: dict | None = None,
-                  fmt: str = "parquet", kafka_options: dict | None = None):
+                  fmt: str = "parquet", kafka_options: dict | None = None, table_path: str | None = None,
+                  max_files_per_trigger: int | None = None):
     """U1 + A1 in append mode. Each leg gets its own watermark before the union
     (Q4): the bounce leg arrives ``within`` late by construction, so its delay
     is ``within + delay``; the query watermark is the minimum of the legs.
 
-    S7: rows go to a parquet file sink (exactly once), or with ``jdbc`` options
-    to an OLAP table per micro-batch (append; at least once — make the table
-    deduplicate on (stt, edt, vc, ch, ar, is_new))."""
+    S7: rows go to a parquet file sink (exactly once); or with ``table_path`` to an
+    ``EpochTable``, which takes each micro-batch once and replaces rows by key; or
+    with ``jdbc`` options to an OLAP table. A JDBC append can't be taken back, so there a micro-batch
+    that failed in the middle of its write is appended again: let that table replace rows by
+    ``STATS_KEY``, as the original's does."""
     src = sources or {}
 
     def leg(name: str, topic: str, extra_ms: int = 0) -> DataFrame:
-        raw = src[name]() if name in src else read_layer(spark, root, topic, "fanout", fmt, kafka_options) \
-            if topic == C.TOPIC_PAGE else read_topic(spark, root, topic, fmt, None, kafka_options)
+        raw = src[name]() if name in src else read_layer(spark, root, topic, "fanout", fmt, kafka_options, max_files_per_trigger) \
+            if topic == C.TOPIC_PAGE else read_topic(spark, root, topic, fmt, max_files_per_trigger, kafka_options)
         log = raw.select(F.from_json("value", S.LOG).alias("r")).select("r.*")
         log = log.withColumn("_et", event_time("ts"))
         d = f"{int(_seconds(delay) * 1000) + extra_ms} milliseconds"
@@ -178,6 +176,9 @@ def visitor_stats(spark: SparkSession, root: str, checkpoint: str, out_path: str
                    *traffic.STATS_DIMS, *traffic.MEASURES, "ts")
     w = (out.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})))
+    if table_path is not None:
+        table = EpochTable(spark, table_path)
+        return w.foreachBatch(lambda b, i: table.upsert(b, i) and None).start()
     if jdbc is not None:
         return w.foreachBatch(lambda b, _i: b.write.format("jdbc").options(**jdbc).mode("append").save()).start()
     return w.format("parquet").start(out_path)
@@ -193,34 +194,43 @@ def _seconds(text: str) -> float:
 
 def base_db(spark: SparkSession, root: str, checkpoint: str, out_path: str,
             rules: Callable[[], DataFrame], trigger: dict | None = None, fmt: str = "parquet",
-            kafka_options: dict | None = None):
+            kafka_options: dict | None = None, dims_path: str | None = None, rules_path: str | None = None,
+            max_files_per_trigger: int | None = None):
     """R3 + R4 + S3 + S4: in each micro-batch the rules are re-read (added,
     changed and removed rules take effect), records are routed, and the batch
     is written once, tagged, under its batch id (a retried batch overwrites its
-    own folder, so the sink is idempotent). Its facts then go to their detail
-    topics (``facts`` folder, or Kafka topics by name). Text that is no JSON goes
-    to the ``C.TOPIC_BAD_DB`` topic (P1; ``bad`` folder)."""
-    raw = read_topic(spark, root, "ods_base_db", fmt, None, kafka_options)
+    own folder, so the sink is idempotent). The version of the rules that a batch was
+    routed by is kept in ``rules_path``, so a retry routes as before. Its facts then go to their detail
+    topics (``facts`` folder, or Kafka topics by name), its dimension changes are folded into
+    the versioned tables in ``dims_path``. Text that is no JSON goes
+    to the ``C.TOPIC_BAD_DB`` topic (P1; ``bad`` folder). The paths lie beside ``out_path``
+    unless given; a checkpoint owns its tables."""
+    raw = read_topic(spark, root, "ods_base_db", fmt, max_files_per_trigger, kafka_options)
+    history = RuleHistory(spark, rules_path or f"{out_path}-rules")
+    store = DimStore(spark, dims_path or dims_beside(out_path))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         unread = F.try_parse_json("value").isNull()
         bad = batch.filter(unread & F.col("value").isNotNull())
         write_batch(bad.withColumn("topic", F.lit(C.TOPIC_BAD_DB)), root, "bad", batch_id, fmt, kafka_options)
         recs = batch.filter(~unread).select(F.from_json("value", S.CDC_TEXT).alias("r"), "pos").select("r.*", "pos")
-        recs = recs.withColumn("seq", F.coalesce("seq", "pos")).drop("pos")
-        routed = cdc.route(cdc.parse_cdc(cdc.etl_filter(recs)), rules())
-        rows = routed.select("seq", "table", "type", "route", "sink_type", "sink_table", "sink_pk", "key", "reason",
+        routed = cdc.route(cdc.parse_cdc(cdc.etl_filter(recs)), history.for_batch(batch_id, rules))
+        rows = routed.select("seq", "pos", "table", "type", "route", "sink_type", "sink_table", "sink_pk", "key", "reason",
                              F.to_json("data").alias("data")).withColumn("batch_id", F.lit(batch_id))
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("batch_id", "route").parquet(out_path)
-        facts = cdc.parse_cdc(batch.sparkSession.read.schema(rows.schema).parquet(out_path)
-                              .filter((F.col("batch_id") == batch_id) & (F.col("route") == cdc.ROUTE_FACT)))
-        write_batch(cdc.fact_payload(facts), root, "facts", batch_id, fmt, kafka_options)
+        mine = cdc.parse_cdc(batch.sparkSession.read.schema(rows.schema).parquet(out_path).filter(F.col("batch_id") == batch_id))
+        write_batch(cdc.fact_payload(mine.filter(F.col("route") == cdc.ROUTE_FACT)), root, "facts", batch_id, fmt, kafka_options)
+        store.fold(cdc.dim_changes(mine.filter(F.col("route") == cdc.ROUTE_DIM), "pos"), batch_id)
 
     return (raw.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def dims_beside(out_path: str) -> str:
+    return f"{out_path}-dims"
+
+
 def routed_table(spark: SparkSession, out_path: str) -> DataFrame:
     """The routed change log written by ``base_db`` (batch read; ``data`` back to a map)."""
     return cdc.parse_cdc(spark.read.parquet(out_path))
@@ -228,16 +238,11 @@ def routed_table(spark: SparkSession, out_path: str) -> DataFrame:
 
 def dimension_tables(spark: SparkSession, out_path: str, layout: dict[str, list[str]],
                      apply_deletes: bool = False) -> dict[str, DataFrame]:
-    """S4 read side: current dimension tables from the routed change log,
-    re-read on every call (so a per-batch lookup sees the newest upserts).
-    ``layout`` maps a dimension table to its columns; the rows keep ``pk`` → ``id``."""
-    routed = routed_table(spark, out_path).filter(F.col("route") == cdc.ROUTE_DIM)
-    cur = cdc.dim_current(cdc.dim_changes(routed), apply_deletes)
-    out = {}
-    for table, cols in layout.items():
-        v = cdc.dim_view(cur, table, cols)
-        out[table] = v.drop("id").withColumnRenamed("pk", "id") if "id" in cols else v.withColumnRenamed("pk", "id")
-    return out
+    """S4 read side: the dimension tables that ``base_db`` with this ``out_path`` keeps, in their newest version
+    (so a per-batch lookup sees the newest upserts). ``layout`` maps a dimension table to its
+    columns; rows are keyed by ``id``. No change is read or aggregated again."""
+    store = DimStore(spark, dims_beside(out_path))
+    return {table: store.table(table, cols, apply_deletes=apply_deletes) for table, cols in layout.items()}
 
 
 # --- order_wide / payment_wide -----------------------------------------------------
@@ -265,14 +270,14 @@ def order_lines_stream(info: DataFrame, detail: DataFrame, delay: str = C.WATERM
 def order_wide(spark: SparkSession, root: str, checkpoint: str, out_path: str,
                dims: Callable[[], dict[str, DataFrame]], now_ms: int | Callable[[], int], trigger: dict | None = None,
                sources: dict[str, Callable[[], DataFrame]] | None = None, fmt: str = "parquet",
-               kafka_options: dict | None = None):
+               kafka_options: dict | None = None, max_files_per_trigger: int | None = None):
     """J1 (stream ⋈ stream) then J3 per micro-batch against freshly read dimensions. The
     wide rows are a table (``out_path``) and the ``dwm_order_wide`` topic (``wide`` folder in files)."""
     src = sources or {}
-    info = _typed(src["info"]() if "info" in src else read_layer(spark, root, "dwd_order_info", "facts", fmt, kafka_options),
+    info = _typed(src["info"]() if "info" in src else read_layer(spark, root, "dwd_order_info", "facts", fmt, kafka_options, max_files_per_trigger),
                   S.ORDER_INFO)
     det = _typed(src["detail"]() if "detail" in src
-                 else read_layer(spark, root, "dwd_order_detail", "facts", fmt, kafka_options), S.ORDER_DETAIL)
+                 else read_layer(spark, root, "dwd_order_detail", "facts", fmt, kafka_options, max_files_per_trigger), S.ORDER_DETAIL)
     wide = order_lines_stream(info, det)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
@@ -291,12 +296,12 @@ def order_wide(spark: SparkSession, root: str, checkpoint: str, out_path: str,
 
 def payment_wide(spark: SparkSession, root: str, checkpoint: str, out_path: str, delay: str = C.WATERMARK_DELAY,
                  trigger: dict | None = None, sources: dict[str, Callable[[], DataFrame]] | None = None,
-                 fmt: str = "parquet", kafka_options: dict | None = None):
+                 fmt: str = "parquet", kafka_options: dict | None = None, max_files_per_trigger: int | None = None):
     """J2 + P11 on two streams (payment event time = callback time)."""
     src = sources or {}
     pay = _typed(src["payment"]() if "payment" in src
-                 else read_layer(spark, root, "dwd_payment_info", "facts", fmt, kafka_options), S.PAYMENT_INFO)
-    wide = _typed(src["wide"]() if "wide" in src else read_layer(spark, root, C.TOPIC_ORDER_WIDE, "wide", fmt, kafka_options),
+                 else read_layer(spark, root, "dwd_payment_info", "facts", fmt, kafka_options, max_files_per_trigger), S.PAYMENT_INFO)
+    wide = _typed(src["wide"]() if "wide" in src else read_layer(spark, root, C.TOPIC_ORDER_WIDE, "wide", fmt, kafka_options, max_files_per_trigger),
                   S.ORDER_WIDE + ", create_ts BIGINT")
     pay = pay.withColumn("_pet", event_time(parse_time_ms("callback_time"))).withWatermark("_pet", delay)
     wide = wide.withColumn("_wet", event_time(parse_time_ms("create_time"))).withWatermark("_wet", delay)

@@ -1,166 +1,98 @@
-"""Keyed-state processors for the streaming forms of K1, K2, K3.
+"""Streaming forms of K1, K2 and K3 as Spark aggregations over keyed state.
 
-Each processor receives one device's rows of a micro-batch (as pandas frames,
-Arrow-batched), orders them by (ts, event_id) and keeps the smallest state the
-rule needs. The raw JSON ``value`` rides along untouched, so the processors
-never parse or rebuild rows in Python. A device's rows per micro-batch are
-bounded by the trigger size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``),
-never by the device's total history.
+No row is handled in Python and no device's rows come together: rows are reduced
+before the shuffle, and the state store holds one value for each device (K1), device and
+day (K2) or device and bucket (K3). What a device sends, in one micro-batch or
+ever, is bounded by nothing and needs no bound.
 
-Input columns: ``value, mid, ts, event_id, is_new, day, entry`` (``entry``: the
-row is a session entry page). Output: ``value, mid, ts, event_id, is_new``.
+K1 and K2 need the first row of a key *to arrive*; of those in the same micro-batch, the
+earliest by (ts, id, place). The state keeps the minimum of (time of the
+micro-batch, ts, id, place), and in update mode a key comes out whenever it gets rows: it is
+new exactly when the minimum is of this micro-batch.
+
+Columns of the keyed frame: ``value, mid, ts, id, is_new, day, entry``; ``id`` is
+a struct that orders rows of the same time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from strata import config as C
-
-OUT_SCHEMA = "value STRING, mid STRING, ts BIGINT, event_id BIGINT, is_new STRING"
-_LAST = np.iinfo(np.int64).max
-OUT_COLS = ["value", "mid", "ts", "event_id", "is_new"]
-
-
-def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    frames = [f for f in rows if len(f)]
-    if not frames:
-        return pd.DataFrame(columns=["value", "mid", "ts", "event_id", "is_new", "day", "entry"])
-    df = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
-    return df.sort_values(["ts", "event_id"], kind="stable").reset_index(drop=True)
-
-
-class FlagRepair(StatefulProcessor):
-    """K1: the device's first new-flagged day is kept in state forever; later
-    new-flagged rows on that day (``same_day``) or on other days (``other_day``)
-    are reset to ``'0'``."""
-
-    def __init__(self, mode: str = "same_day"):
-        if mode not in ("same_day", "other_day"):
-            raise ValueError("mode must be 'same_day' or 'other_day'")
-        self.mode = mode
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first_day = handle.getValueState("first_day", "day STRING")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _sorted(rows)
-        if df.empty:
-            return
-        flagged = (df["is_new"] == "1").to_numpy()
-        first = self.first_day.get()[0] if self.first_day.exists() else None
-        is_first = np.zeros(len(df), dtype=bool)
-        if first is None and flagged.any():
-            i = int(np.argmax(flagged))
-            is_first[i] = True
-            first = df["day"].iat[i]
-            self.first_day.update((first,))
-        if first is not None:
-            same = (df["day"] == first).to_numpy()
-            reset = flagged & ~is_first & (same if self.mode == "same_day" else ~same)
-            df.loc[reset, "is_new"] = "0"
-        yield df[OUT_COLS]
-
-    def close(self) -> None:
-        pass
-
-
-class UniqueVisit(StatefulProcessor):
-    """K2: emit a device's first entry row of each day. The days already emitted
-    are a map in state, so days may come in any order; ``ttl_ms`` lets an entry
-    expire in processing time, as the original does after a day."""
-
-    def __init__(self, ttl_ms: int | None = None):
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.days = handle.getMapState("days", "day STRING", "seen BOOLEAN", self.ttl_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _sorted(rows)
-        df = df[df["entry"].astype(bool)].drop_duplicates("day")
-        if df.empty:
-            return
-        keys = [(d if isinstance(d, str) else "",) for d in df["day"]]
-        new = [not self.days.containsKey(k) for k in keys]
-        for k, first in zip(keys, new):
-            if first:
-                self.days.updateValue(k, (True,))
-        yield df[new][OUT_COLS]
-
-    def close(self) -> None:
-        pass
-
-
-class BounceDetector(StatefulProcessor):
-    """K3 (C1 + C2): an entry row is pending until either a later row of the
-    device arrives less than ``within_ms`` after it (never a bounce — dropped
-    from state at once) or the event-time watermark passes ``ts + within_ms``
-    (a bounce — emitted by the timer). Only pending entries are stored."""
-
-    PENDING = "ts BIGINT, event_id BIGINT, is_new STRING, value STRING"
-
-    def __init__(self, within_ms: int = C.BOUNCE_WITHIN_MS):
-        self.within = within_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.pending = handle.getListState("pending", self.PENDING)
-
-    def _still(self, old: list[tuple], df: pd.DataFrame) -> list[tuple]:
-        """Candidates, old and new, without a successor closer than ``within``.
-
-        A row's successor in its batch is the next row; an older candidate's is the
-        first one after (ts, event_id), where a row without an id counts as later."""
-        ts = df["ts"].to_numpy(dtype=np.int64)
-        ids = np.array([_LAST if pd.isna(x) else int(x) for x in df["event_id"]], dtype=np.int64)
-        keep = []
-        for c in old:
-            cts, cid = int(c[0]), -1 if c[1] is None else int(c[1])
-            lo = int(np.searchsorted(ts, cts, side="left"))
-            hi = int(np.searchsorted(ts, cts, side="right"))
-            p = lo + int(np.searchsorted(ids[lo:hi], cid, side="right"))
-            if p == len(ts) or ts[p] - cts >= self.within:
-                keep.append(c)
-        alone = np.r_[np.diff(ts) >= self.within, True] & df["entry"].astype(bool).to_numpy()
-        for i in np.flatnonzero(alone):
-            keep.append((int(ts[i]), None if ids[i] == _LAST else int(ids[i]), df["is_new"].iat[i], df["value"].iat[i]))
-        return keep
-
-    def _store(self, cands: list[tuple]) -> None:
-        if cands:
-            self.pending.put(cands)
-        else:
-            self.pending.clear()
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _sorted(rows)
-        if df.empty:
-            return
-        old = list(self.pending.get()) if self.pending.exists() else []
-        still = self._still(old, df)
-        timers = set(self.handle.listTimers())
-        want = {c[0] + self.within for c in still}
-        for t in timers - want:
-            self.handle.deleteTimer(t)
-        for t in want - timers:
-            self.handle.registerTimer(t)
-        self._store(still)
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        cands = list(self.pending.get()) if self.pending.exists() else []
-        fire = [c for c in cands if c[0] + self.within <= t]
-        self._store([c for c in cands if c[0] + self.within > t])
-        if fire:
-            yield pd.DataFrame({"value": [c[3] for c in fire], "mid": [key[0]] * len(fire),
-                                "ts": [c[0] for c in fire], "event_id": [c[1] for c in fire],
-                                "is_new": [c[2] for c in fire]})
-
-    def close(self) -> None:
-        pass
+from strata.functions.columns import day_of_ms, event_time, is_entry_page
+
+_NO_ID = (1 << 63) - 1
+
+
+def keyed(raw: DataFrame) -> DataFrame:
+    """The keys the operators need; the JSON text itself stays as is. Rows of the same
+    time are ordered by the record's sequence number (those without come last), then by their position in the topic."""
+    j = lambda p: F.get_json_object("value", p)
+    ts = j("$.ts").try_cast("bigint")
+    seq = F.coalesce(j("$.event_id").try_cast("bigint"), F.lit(_NO_ID)).alias("seq")
+    place = [F.col(f"pos.{c}") for c in ("at", "source", "row")] if "pos" in raw.columns else []
+    return raw.select("value", j("$.common.mid").alias("mid"), ts.alias("ts"), F.struct(seq, *place).alias("id"),
+                      j("$.common.is_new").alias("is_new"), day_of_ms(ts).alias("day"),
+                      is_entry_page(j("$.page.last_page_id")).alias("entry"))
+
+
+def _now() -> Column:
+    """The micro-batch's own time: one value per batch, the same when it is retried."""
+    return F.current_timestamp()
+
+
+def first_flags(k: DataFrame) -> DataFrame:
+    """K1, update mode: the rows of the micro-batch as they come (``row``), and for
+    every device with a new-flagged row in it the first one ever (``first``)."""
+    k = k.withColumn("born", _now())
+    mark = F.struct("born", "ts", "id", "day")
+    flagged = k.filter((F.col("is_new") == "1") & F.col("mid").isNotNull())
+    first = flagged.groupBy("mid").agg(F.min(mark).alias("first"))
+    row = F.struct(mark.alias("mark"), F.col("is_new"), F.col("value"))
+    return k.select("mid", row.alias("row"), F.lit(None).cast(first.schema["first"].dataType).alias("first")) \
+        .union(first.select("mid", F.lit(None).cast(k.select(row.alias("r")).schema["r"].dataType), "first"))
+
+
+def repair_flags(rows: DataFrame, mode: str = "same_day") -> DataFrame:
+    """K1 on one micro-batch of ``first_flags``, as a table: (value, is_new) with later new-flagged rows on the
+    device's first day (``same_day``) or on other days (``other_day``) reset to ``'0'``."""
+    if mode not in ("same_day", "other_day"):
+        raise ValueError("mode must be 'same_day' or 'other_day'")
+    first = rows.filter("first IS NOT NULL").select(F.col("mid").alias("_mid"), F.col("first").alias("_first"))
+    new = F.col("row.is_new") == "1"
+    flagged = rows.filter(F.col("row").isNotNull() & new & F.col("mid").isNotNull())
+    others = rows.filter(F.col("row").isNotNull() & F.coalesce(~new | F.col("mid").isNull(), F.lit(True)))
+    j = flagged.join(first, F.col("mid") == F.col("_mid"))
+    same = F.col("row.mark.day").eqNullSafe(F.col("_first.day"))
+    reset = ~F.col("row.mark").eqNullSafe(F.col("_first")) & (same if mode == "same_day" else ~same)
+    return j.select("row.value", F.when(reset, F.lit("0")).otherwise(F.col("row.is_new")).alias("is_new")) \
+        .unionByName(others.select("row.value", "row.is_new"))
+
+
+def unique_visits(k: DataFrame, expiry_days: int = 1) -> DataFrame:
+    """K2, update mode: ``value, mid`` of the first entry row of each device and day.
+
+    State of a day goes ``expiry_days`` of event time after the day has ended (W5); rows of days that are
+    gone are late and dropped, so a visit is never counted twice."""
+    end = F.date_trunc("day", event_time("ts")) + F.expr("INTERVAL 1 DAY")
+    e = k.filter(F.col("entry") & F.col("ts").isNotNull()).withColumn("born", _now()).withColumn("day_end", end) \
+        .withWatermark("day_end", f"{expiry_days + 1} days")
+    g = e.groupBy("mid", "day_end").agg(F.min(F.struct("born", "ts", "id", "value")).alias("first"))
+    return g.filter(F.col("first.born") == _now()).select("first.value", "mid")
+
+
+def bounces(k: DataFrame, within_ms: int = C.BOUNCE_WITHIN_MS) -> DataFrame:
+    """K3, append mode: ``value, mid`` of the entry rows no row of the device follows within ``within_ms``.
+
+    Time is cut into buckets of ``within_ms``: only the last row of a bucket can bounce, and its
+    successor is the first row of the next one. So a row counts in its bucket, and its time is told to the bucket
+    before. Both come under the next bucket's window, which closes when the watermark, the newest time, has passed it."""
+    last = F.struct("ts", "id", "entry", F.when(F.col("entry"), F.col("value")).alias("value"))
+    both = F.array(F.struct(event_time(F.col("ts") + within_ms).alias("et"), last.alias("last"), F.lit(None).cast("bigint").alias("next")),
+                   F.struct(event_time("ts").alias("et"), F.when(F.lit(False), last).alias("last"), F.col("ts").alias("next")))
+    told = k.filter("ts IS NOT NULL").select("mid", F.explode(both).alias("x")).select("mid", "x.*") \
+        .withWatermark("et", f"{within_ms + 1} milliseconds")
+    g = told.groupBy("mid", F.window("et", f"{within_ms} milliseconds")).agg(F.max("last").alias("last"), F.min("next").alias("next"))
+    alone = F.col("next").isNull() | (F.col("next") - F.col("last.ts") >= within_ms)
+    return g.filter(F.col("last.entry") & alone).select("last.value", "mid")

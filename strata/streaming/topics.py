@@ -6,7 +6,8 @@ A topic is either a Kafka topic or a folder of parquet files holding one
 routes each row by it, the file sink partitions by it.
 
 Rows come with ``pos``, their order in the topic: records need no sequence
-number of their own.
+number of their own. It is a struct (at, source, row) that sorts as one value and
+has no bounds on rows, partitions or times.
 """
 
 from __future__ import annotations
@@ -15,20 +16,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOPIC_SCHEMA = "value STRING"
-#: File positions count milliseconds from 2020-01-01, so that a row index fits beside them.
-_POS_EPOCH_MS, _ROW_BITS, _PARTITION_BITS = 1_577_836_800_000, 24, 12
 
 
 def file_position() -> Column:
-    """Order of a file topic's rows: the file's time, then the row's place in it.
-    Files written in the same millisecond have no order among each other."""
-    ms = F.unix_millis("_metadata.file_modification_time") - _POS_EPOCH_MS
-    return F.shiftleft(ms, _ROW_BITS) + F.col("_metadata.row_index")
+    """Order of a file topic's rows: the file's time, its path, the row's place in it.
+    Files written in the same millisecond are ordered by their paths."""
+    return F.struct(F.unix_millis("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("source"),
+                    F.col("_metadata.row_index").cast("bigint").alias("row"))
 
 
 def kafka_position() -> Column:
     """Order of a Kafka topic's rows: the offset, then the partition (a key stays in one partition)."""
-    return F.shiftleft("offset", _PARTITION_BITS) + F.col("partition")
+    return F.struct(F.col("offset").alias("at"), F.lpad(F.col("partition").cast("string"), 10, "0").alias("source"),
+                    F.lit(0).cast("bigint").alias("row"))
 
 
 def topic_path(root: str, topic: str) -> str:
@@ -53,11 +53,11 @@ def read_topic(spark: SparkSession, root: str, topic: str, fmt: str = "parquet",
 
 
 def read_layer(spark: SparkSession, root: str, topic: str, folder: str, fmt: str = "parquet",
-               kafka_options: dict | None = None) -> DataFrame:
+               kafka_options: dict | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """S1 for a topic that a fan-out writes: by name in Kafka, by partition of ``folder`` in files."""
     if fmt == "kafka":
         return read_topic(spark, root, topic, fmt, None, kafka_options)
-    return read_fanout(spark, root, topic, folder)
+    return read_fanout(spark, root, topic, folder, max_files_per_trigger=max_files_per_trigger)
 
 
 def read_topic_batch(spark: SparkSession, root: str, topic: str) -> DataFrame:
@@ -97,17 +97,19 @@ def write_batch(df: DataFrame, root: str, folder: str, batch_id: int, fmt: str =
         .option("partitionOverwriteMode", "dynamic").partitionBy("topic", "batch_id").parquet(topic_path(root, folder))
 
 
-def write_topics(df: DataFrame, root: str, checkpoint: str, fmt: str = "parquet",
-                 trigger: dict | None = None, kafka_options: dict | None = None, folder: str = "fanout"):
-    """S3: each row goes to the topic named in its ``topic`` column."""
-    w = df.select("topic", "value").writeStream.option("checkpointLocation", checkpoint).outputMode("append")
+def write_rows(df: DataFrame, root: str, topic: str, checkpoint: str, fmt: str = "parquet",
+               trigger: dict | None = None, kafka_options: dict | None = None):
+    """S2 for rows of an update-mode query: each is written once, a retried batch overwrites its own files."""
+    w = df.select("value").writeStream.option("checkpointLocation", checkpoint).outputMode("update")
     w = w.trigger(**(trigger or {"availableNow": True}))
     if fmt == "kafka":
-        w = w.format("kafka")
-        for k, v in (kafka_options or {}).items():
-            w = w.option(k, v)
-        return w.start()
-    return w.format("parquet").partitionBy("topic").start(topic_path(root, folder))
+        return w.format("kafka").option("topic", topic).options(**(kafka_options or {})).start()
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(topic_path(root, topic))
+
+    return w.foreachBatch(per_batch).start()
 
 
 def read_fanout(spark: SparkSession, root: str, topic: str, folder: str = "fanout", stream: bool = True,
