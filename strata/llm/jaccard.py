@@ -7,9 +7,12 @@ node however large it is.
 The inverted index is sharded by keys: sets that reach the threshold must share
 one. Each set draws keys, each of a few minima of its hashes. Two sets at the
 threshold share no key with probability ``MISS`` or less (0.9: 24 keys of 5
-minima), and only then could a link be missed. First the sets of a key are compared
-with its smallest id (a line per set, not per pair). A key whose sets are connected
-by that needs no more; the sets of the others are the shards, each group of sets
+minima), and only then could a link be missed. Keys are written and shuffled once, for
+distinct sets only. Sets whose sizes are too far apart can't link: sizes are cut into
+bands in which linked sets are equal or next, and a set with no other one of its key in
+its band or the next is done. First the sets of a key and band are compared
+with the smallest id there (a line per set, not per pair). Sets still in another component
+than one of their key in a near band are the shards, each group of sets
 once. Chains over several keys are never gathered.
 
 Inside a shard the search is exact. For a query set of size n at least
@@ -42,8 +45,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from strata.llm.common import Buffer, cut, rows_of
+from strata.llm.common import Buffer, cut, rows_of, slices
 from strata.llm.components import components
 
 N, PERCENT = 3, 90
@@ -115,7 +119,7 @@ def band_keys(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, k1, k2, bands): size, digest and shard keys of every row's set."""
+    """(doc_id, n_shingles, k1, k2, bands): size, digest and shard keys of every row's set; ``_linked`` numbers the rows."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()),
                         ("bands", pa.list_(pa.int64()))])
 
@@ -246,23 +250,25 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(k[0]), int(k[1])
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """(node, s): the sets of ``nodes`` (node, rep, k1, k2) only."""
-    schema = pa.schema([("node", pa.int64()), ("s", pa.binary())])
+def _sets(docs: DataFrame, need: DataFrame, n: int) -> DataFrame:
+    """(node, s): the sets of ``need`` (node, rep, k1, k2, many) only; ``many``: rep is the id of several rows."""
+    schema = pa.schema([("node", pa.int64()), ("many", pa.bool_()), ("s", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Buffer(schema, 512)
-        for node, k1, k2, text in rows_of(batches, ["node", "k1", "k2", "text"]):
+        for node, many, k1, k2, text in rows_of(batches, ["node", "many", "k1", "k2", "text"]):
             s = shingles(text, n)
             if _digest(s) == (k1, k2):  # else another text with this id
-                out.add(node, s.tobytes())
+                out.add(node, many, s.tobytes())
             if out.full():
                 yield out.flush()
         yield out.flush()
 
     d = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
-    return d.join(nodes, "rep").select("node", "k1", "k2", "text").mapInArrow(run, "node long, s binary") \
-        .groupBy("node").agg(F.first("s").alias("s"))
+    sets = cut(d.join(need, "rep").select("node", "many", "k1", "k2", "text")
+               .mapInArrow(run, "node long, many boolean, s binary"), "jaccard-postings")
+    several = sets.filter("many").groupBy("node").agg(F.first("s").alias("s"))
+    return sets.filter("NOT many").select("node", "s").union(several)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -287,14 +293,23 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _nodes(sig: DataFrame) -> DataFrame:
-    """(k1, k2, rep, size, bands, node): distinct sets; node is the smallest doc_id, or a hash where several sets have that one."""
-    reps = sig.filter("k1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("k1", "k2") \
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"))
-    reps = cut(reps, "jaccard-reps")
-    several = reps.groupBy("rep").agg(F.count("*").alias("sets"), F.min("k1").alias("first")).filter("sets > 1")
-    return reps.join(several.select("rep", "first"), "rep", "left") \
-        .withColumn("node", F.when(F.col("k1") != F.col("first"), F.xxhash64("rep", "k1", "k2")).otherwise(F.col("rep"))) \
-        .drop("first")
+    """(k1, k2, node, rep): distinct sets; node is the number of one of its rows, rep its smallest doc_id."""
+    return sig.filter("k1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("k1", "k2") \
+        .agg(F.min("row").alias("node"), F.min("doc_id").alias("rep"))
+
+
+def _keys(sig: DataFrame) -> DataFrame:
+    """(key, node, size): the keys of every distinct set, dealt out by key."""
+    one = sig.filter("k1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("k1", "k2") \
+        .agg(F.min("row").alias("node"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"))
+    return one.select(F.explode("bands").alias("key"), "node", "size").repartition("key")
+
+
+def _near(rows: DataFrame, what: str) -> DataFrame:
+    """(key, band, lo, hi, around): least and greatest ``what`` of a key's sets in a band and the two next to it, and their number."""
+    per = rows.groupBy("key", "band").agg(F.min(what).alias("lo"), F.max(what).alias("hi"), F.count("*").alias("n"))
+    return per.select("key", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "lo", "hi", "n") \
+        .groupBy("key", "band").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("around"))
 
 
 def link(docs: DataFrame, n: int = N, percent: int = PERCENT, shard: int = SHARD) -> DataFrame:
@@ -304,21 +319,32 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT, shard: int = SHARD
 
 def _linked(docs: DataFrame, n: int, percent: int, shard: int = SHARD) -> DataFrame:
     """``link`` with the digest (k1, k2) of the row's set and a component of its own text (component_id: its smallest doc_id)."""
-    sig = cut(signatures(docs, n, percent), "jaccard-sets")
+    sig = signatures(docs, n, percent).withColumn("row", F.monotonically_increasing_id())
+    sig = cut(sig, "jaccard-sets")
     nodes = cut(_nodes(sig), "jaccard-nodes")
-    keys = nodes.select("node", "size", F.explode("bands").alias("key"))
-    low = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.count("*").alias("n")) \
-        .filter("a <> z").select("key", "a", "n")
-    met = cut(keys.join(low, "key"), "jaccard-keys")
-    need = nodes.select("node", "rep", "k1", "k2").join(met.select("node").distinct(), "node")
-    sets = cut(_sets(docs, need, n), "jaccard-postings")
+    keys = _keys(sig)
+    # sizes are looked at here as well so that both uses of the keys read the same columns, and so one exchange
+    shared = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.max("size").alias("size")) \
+        .filter("a <> z AND size > 0").select("key")
+    # a linked set is at most 100/percent times as large, so its band is the same or the next
+    width = math.log(100 / percent) * 1.000001 if percent < 100 else 1.0
+    met = cut(keys.join(shared, "key").withColumn("band", F.floor(F.log("size") / width)), "jaccard-keys")
+    met = met.join(_near(met, "node").filter("lo <> hi"), ["key", "band"])
+    low = met.groupBy("key", "band").agg(F.min("node").alias("a"), F.count("*").alias("n"))
+    met = cut(met.drop("lo", "hi").join(low, ["key", "band"]), "jaccard-met")
+    many = sig.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("rep"), F.lit(True).alias("many"))
+    need = nodes.join(met.select("node").distinct(), "node").join(many, "rep", "left") \
+        .withColumn("many", F.coalesce("many", F.lit(False)))
+    sets = _sets(docs, need, n)
     pairs = met.filter("node <> a").select("a", F.col("node").alias("b")).distinct()
     edges = cut(_verify(pairs, sets, percent), "jaccard-edges")
     comp = components(edges)
-    # two sets of a key have been compared; of more, those in different components are left
-    left = met.filter("n > 2").join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left") \
-        .select("key", "node", "size", F.coalesce("component", "node").alias("known"))
+    # two sets alone in a band have been compared; of more, those near one of another component are left
+    left = met.filter("around > 2 OR n < around").join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left") \
+        .select("key", "band", "node", "size", F.coalesce("component", "node").alias("known"))
     left = cut(left, "jaccard-left")
+    apart = _near(left, "known").filter("lo <> hi").select("key", "band")
+    left = cut(left.join(apart, ["key", "band"], "left_semi"), "jaccard-left")
     far = cut(_rest(left, sets, percent, shard), "jaccard-edges")
     if not far.isEmpty():
         comp = components(far.union(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
@@ -369,14 +395,16 @@ def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
         .groupBy("doc_id", "component").agg(F.min(F.struct("k1", "k2")).alias("k"))
     stay = cut(stay.select(F.col("doc_id").alias("id"), "k.k1", "k.k2"), "jaccard-stay")
 
-    @F.udf("struct<k1: bigint, k2: bigint>")
-    def digest(text):
-        s = shingles(text, n)
-        return _digest(s) if len(s) else (None, None)
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            sets = [shingles(t, n) for t in b.column(2).to_pylist()]
+            k = [_digest(x) if len(x) else (None, None) for x in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, pa.int64()) for c in zip(*k))],
+                                             names=["row", "id", "k1", "k2"])
 
     rows = docs.join(often, "doc_id", "left_semi")
-    rows = rows.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"),
-                       digest(F.col("text").cast("string")).alias("k")) \
-        .select("row", "id", "k.k1", "k.k2").dropDuplicates(["id", "k1", "k2"])
+    rows = rows.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
+    whole = StructType([rows.schema["row"], rows.schema["id"], StructField("k1", LongType()), StructField("k2", LongType())])
+    rows = rows.mapInArrow(digests, whole).dropDuplicates(["id", "k1", "k2"])
     same = (rows.id == stay.id) & rows.k1.eqNullSafe(stay.k1) & rows.k2.eqNullSafe(stay.k2)
     return once.unionByName(rows.join(stay, same, "left_semi").select("row.*")).select(*docs.columns)
