@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 from strata import schemas as S
 from strata.functions.columns import day_of_ms, non_empty_struct
@@ -93,11 +94,25 @@ def repair_new_flag(log: DataFrame, mode: str = "same_day", tiebreak: str = "eve
     if mode == "other_day":  # rows tied for the first place share its day
         return with_flag(j, reset).unionByName(rest)
     tied = F.coalesce(is_first & (F.col("_f.f_n") > 1), F.lit(False))
-    fixed = with_flag(j.filter(~tied), reset)
-    # rows tied for one device's first place: a record delivered again, so a handful
-    again = j.filter(tied).groupBy("_mid").agg(F.collect_list(F.struct(*log.columns)).alias("_rows"))
-    again = again.select(F.posexplode("_rows").alias("_at", "_row")).select("_at", "_row.*")
-    return fixed.unionByName(with_flag(again, F.col("_at") > 0)).unionByName(rest)
+    return with_flag(j.filter(~tied), reset).unionByName(with_flag(_one_of_each(new_rows, first, tiebreak), F.col("_later"))) \
+        .unionByName(rest)
+
+
+def _one_of_each(new_rows: DataFrame, first: DataFrame, tiebreak: str) -> DataFrame:
+    """Rows tied for their device's first place (a record delivered again), ``_later`` on all but one of a device.
+
+    Equal rows are counted and the one with the least hash is first, so however many rows a device ties,
+    they are reduced before the shuffle and never come together."""
+    cols = new_rows.columns
+    few = first.filter("_f.f_n > 1").select(F.col("_mid").alias("_t_mid"), "_f.f_ts", "_f.f_tb")
+    t = new_rows.join(few, (F.col("common.mid") == F.col("_t_mid")) & F.col("ts").eqNullSafe(F.col("f_ts"))
+                      & F.col(tiebreak).eqNullSafe(F.col("f_tb")))
+    same = t.groupBy("_t_mid", F.sha2(F.to_json(F.struct(*cols)), 256).alias("_h")) \
+        .agg(F.count("*").alias("_n"), F.first(F.struct(*cols)).alias("_row"))
+    least = same.groupBy("_t_mid").agg(F.min("_h").alias("_least")).withColumnRenamed("_t_mid", "_l_mid")
+    each = same.join(least, F.col("_t_mid") == F.col("_l_mid")) \
+        .select("_row", "_h", "_least", F.explode(F.sequence(F.lit(1).cast("long"), "_n")).alias("_at"))
+    return each.select("_row.*", ((F.col("_h") != F.col("_least")) | (F.col("_at") > 1)).alias("_later"))
 
 
 def split_log(log: DataFrame) -> dict[str, DataFrame]:
@@ -106,14 +121,29 @@ def split_log(log: DataFrame) -> dict[str, DataFrame]:
     Start logs go only to ``start`` (their displays are dropped); every other
     log goes to ``page``. A display row holds the element's own fields plus the
     page's ``page_id`` (a ``page_id`` field inside the element is overwritten).
+
+    Where ``start`` and ``displays`` are ``VARIANT`` (``S.LOG_WHOLE``) any non-empty ``start``
+    object makes a start log, and displays keep all their fields, as in the streaming form.
     """
-    start = is_start_log()
+    start = is_start_object() if isinstance(log.schema["start"].dataType, VariantType) else is_start_log()
     page = log.filter(~start)
     return {LOG_KIND_START: log.filter(start), LOG_KIND_PAGE: page, "display": explode_displays(page)}
 
 
+def is_start_object(start: str = "start") -> Column:
+    """The log carries a ``start`` object with any field at all."""
+    return F.coalesce(F.to_json(start), F.lit("null")).isin("null", "{}") == F.lit(False)
+
+
 def explode_displays(page: DataFrame) -> DataFrame:
-    """R2 on page rows."""
+    """R2 on page rows. ``VARIANT`` displays come out as ``value`` (JSON text of all fields) and ``page_id``."""
+    if isinstance(page.schema["displays"].dataType, VariantType):
+        shown = page.select(F.explode(F.try_variant_get("displays", "$", "array<variant>")).alias("_d"), F.col("page.page_id").alias("page_id"))
+        fields = F.try_variant_get("_d", "$", "map<string,variant>")
+        added = F.when(F.col("page_id").isNotNull(), F.create_map(F.lit("page_id"), F.col("page_id").cast("variant"))) \
+            .otherwise(F.from_json(F.lit("{}"), "map<string,variant>"))
+        return shown.filter(fields.isNotNull()).select(
+            F.to_json(F.map_concat(F.map_filter(fields, lambda k, v: k != "page_id"), added)).alias("value"), "page_id")
     d = page.select(F.explode("displays").alias("_d"), F.col("page.page_id").alias("_page_id"))
     fields = [f.name for f in d.schema["_d"].dataType.fields]
     return d.select(*[F.col("_d").getField(f).alias(f) for f in fields if f != "page_id"],

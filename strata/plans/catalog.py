@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from strata import config as C
 from strata import schemas as S
 from strata.config import use_utc
-from strata.functions.columns import day_of_ms, format_ms
+from strata.functions.columns import day_of_ms, format_ms, gender_label
 from strata.operators import cdc, logs, orders, traffic
+from strata.operators.joins import AsOfSpec, DimSpec, asof_lookup, enrich
 from strata.plans import batch
 from strata.sources import fixtures as fx
+from strata.sources.rules import RuleHistory
 
 Query = Callable[[SparkSession, str], DataFrame]
 LONG_WITHIN_MS = 3_600_000
@@ -50,8 +52,8 @@ def flat_start(df: DataFrame) -> DataFrame:
                      F.col("start.entry").alias("entry"), F.col("start.loading_time").alias("loading_time"))
 
 
-def flat_route(df: DataFrame) -> DataFrame:
-    return df.select("seq", F.col("table").alias("source_table"), F.col("type").alias("op_type"),
+def flat_route(df: DataFrame, *more: str) -> DataFrame:
+    return df.select(*more, "seq", F.col("table").alias("source_table"), F.col("type").alias("op_type"),
                      "sink_type", "sink_table", F.array_join(F.map_keys("data"), ",").alias("kept_keys"))
 
 
@@ -152,9 +154,44 @@ def q_dim_user_current(spark, d):
 
 
 def q_dim_schemas(spark, d):
-    # The rule set is configuration; the layout is derived from it by Spark.
-    return cdc.dim_schemas(fx.routing_rules(spark)).join(
-        batch.dimension_current(spark, d).select("dim_table").distinct(), "dim_table", "left_semi")
+    dims = cdc.split_routes(batch.routed_cdc(spark, d))[cdc.ROUTE_DIM]
+    return cdc.dim_schemas(cdc.dim_changes(dims), fx.routing_rules(spark))
+
+
+def q_rules_scan(spark, d):
+    """The rules read from files, each with the records that it routes."""
+    from strata.sources.rules import read_rules
+    from strata.streaming import replay
+    path = f"{replay.scratch(spark, 'rules')}/table_process"
+    fx.routing_rules(spark).write.parquet(path)
+    rules = cdc.reduce_rules(read_rules(spark, path))
+    recs = cdc.etl_filter(fx.cdc_records(spark, d)).select(F.col("table").alias("source_table"), cdc.normalize_op("type").alias("operate_type")) \
+        .groupBy("source_table", "operate_type").agg(F.count("*").alias("records"))
+    return rules.join(recs, ["source_table", "operate_type"], "left").select(
+        "source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk", F.coalesce("records", F.lit(0)).alias("records"))
+
+
+def q_record_account(spark, d):
+    """P1 + P5: what became of every record of a topic with broken records in it."""
+    return cdc.account(fx.cdc_topic(spark, d), fx.routing_rules(spark)).groupBy("outcome", "table", "type").agg(F.count("*").alias("records"))
+
+
+def q_dim_lookup_composite(spark, d):
+    """S6 + F12: a key of two columns, several rows of a key, nulls that match (``partner``) and that don't (``strict``)."""
+    tier = F.when(F.col("c_custkey") % 5 == 4, F.lit(None).cast("bigint")).otherwise(F.col("c_custkey") % 5)
+    facts = fx.table(spark, d, "customer").select("c_custkey", "c_nationkey", tier.alias("tier"))
+    keys, dim = (["c_nationkey", "tier"], ["s_nationkey", "tier"]), fx.dim_partner(spark, d)
+    specs = [DimSpec("partner", dim, keys[0], {"partner_id": F.col("s_suppkey"), "partner_name": F.col("s_name")}, keys[1],
+                     first_by=("s_suppkey",), null_safe=True),
+             DimSpec("strict", dim, keys[0], {"strict_id": F.col("s_suppkey")}, keys[1], first_by=("s_suppkey",))]
+    return enrich(facts, specs)
+
+
+def q_order_dim_asof(spark, d):
+    """J3 replayed: every order with its user as known when it was placed."""
+    spec = AsOfSpec("user", fx.user_changes(spark, d), "user_id", "create_ts", ("level", "gender"),
+                    {"user_level": F.col("level"), "user_gender": gender_label("gender"), "user_known": F.lit(True)})
+    return asof_lookup(fx.order_info(spark, d).select("id", "user_id", "create_ts"), spec)
 
 
 # --- orders -----------------------------------------------------------------
@@ -229,6 +266,10 @@ QUERIES: dict[str, Query] = {
     "dim_current_deletes": lambda s, d: q_dim_current(s, d, True),
     "dim_user_current": q_dim_user_current,
     "dim_schemas": q_dim_schemas,
+    "rules_scan": q_rules_scan,
+    "record_account": q_record_account,
+    "dim_lookup_composite": q_dim_lookup_composite,
+    "order_dim_asof": q_order_dim_asof,
     "order_detail_interval": q_order_detail_interval,
     "order_dim_user": q_order_dim(("user",)),
     "order_dim_region": q_order_dim(("province",)),
@@ -349,7 +390,98 @@ def q_stream_visitor_stats_10s(spark, d):
     return spark.read.parquet(f"{stats_root}/out").filter(~F.col("vc").eqNullSafe(replay.MARKER))
 
 
+def _publish_changes(spark, recs, root, topic="ods_base_db"):
+    """Records without a sequence number, those of one key in their order in one file."""
+    from strata.streaming import topics as T
+    rows = recs.select("seq", F.get_json_object("data", "$.id").alias("id"), "table", F.to_json(F.struct("table", "type", "data")).alias("value"))
+    T.publish(rows.repartition(F.col("table"), F.col("id")).sortWithinPartitions("seq").select("value"), root, topic, as_json=False)
+
+
+def q_stream_dim_current(spark, d):
+    """S4 by change: three micro-batches of records without sequence numbers folded into versioned tables, a restart before each."""
+    from strata.streaming import jobs, replay
+    from strata.streaming.dimstore import DimStore
+    root = replay.scratch(spark, "dims")
+    recs = fx.cdc_records(spark, d)
+    lo, hi = recs.agg(F.min("seq"), F.max("seq")).first()
+    part = F.least(F.floor((F.col("seq") - lo) * 3 / F.lit(max(hi - lo, 1))), F.lit(2))
+    for i in range(3):
+        _publish_changes(spark, recs.filter(part == i), root)
+        jobs.base_db(spark, root, f"{root}/_ck", f"{root}/routed", lambda: fx.routing_rules(spark)).awaitTermination()
+    return DimStore(spark, jobs.dims_beside(f"{root}/routed")).current()
+
+
+#: Rules before the second micro-batch of ``stream_route_refresh``: one changed, one removed, one added.
+CHANGED_RULES = [(5, "sku_info", "update", "hbase", "dim_sku_info", "id,tm_id", None, None) if r[0] == 5 else r
+                 for r in fx.ROUTING_RULES if r[0] != 8] + \
+                [(9, "user_info", "update", "kafka", "dwd_user_info", "id,seg", None, None)]
+
+
+def q_stream_route_refresh(spark, d):
+    """Rules that change between micro-batches take effect from the next one on; each batch keeps its version."""
+    from strata.streaming import jobs, replay, topics as T
+    root = replay.scratch(spark, "refresh")
+    for i, rules in enumerate((None, CHANGED_RULES, CHANGED_RULES)):
+        T.publish(fx.cdc_records(spark, d).filter(F.col("seq") % 3 == i), root, "ods_base_db")
+        jobs.base_db(spark, root, f"{root}/_ck", f"{root}/routed", lambda r=rules: fx.routing_rules(spark, r)).awaitTermination()
+    versions = RuleHistory(spark, f"{root}/routed-rules").versions()
+    from_batch = F.element_at(F.create_map(*[F.lit(x) for kv in versions.items() for x in kv]), F.col("batch_id"))
+    routed = jobs.routed_table(spark, f"{root}/routed")
+    return flat_route(routed.withColumn("rules_from", from_batch), "route", "rules_from")
+
+
+def q_stats_sink_retry(spark, d):
+    """Day statistics upserted in three epochs. The first brings outdated rows of one version, the second fails
+    between write and commit and is done again, the third brings the outdated rows anew; then the first is tried again."""
+    from strata.streaming import replay
+    from strata.streaming.stats_table import EpochTable
+    stats = batch.materialize(q_visitor_stats_1d(spark, d), "stats-retry")
+    table = EpochTable(spark, f"{replay.scratch(spark, 'stats')}/table")
+    late = F.pmod(F.xxhash64("stt", "ar", "ch"), F.lit(2)) == 1
+    first = stats.filter(~late).withColumn("pv_ct", F.when(F.col("vc") == "v0", F.col("pv_ct") + 1000).otherwise(F.col("pv_ct")))
+    table.upsert(first, 0)
+    table.stage(stats.filter(late).limit(1), 1)  # the attempt that failed
+    table.upsert(stats.filter(late), 1)
+    table.upsert(stats.filter(~late & (F.col("vc") == "v0")), 2)
+    table.upsert(first, 0)
+    return table.read()
+
+
+def q_stream_late_rows(spark, d):
+    """Every row of three micro-batches, with those told apart whose window had closed."""
+    from strata.streaming import late, replay, topics as T
+    root = replay.scratch(spark, "late")
+    for i in range(3):
+        T.publish(fx.ods_log(spark, d).filter(F.col("event_id") % 3 == i), root, "ods_base_log")
+        ts = F.get_json_object("value", "$.ts").try_cast("bigint")
+        late.split_late(T.read_topic(spark, root, "ods_base_log"), root, "log", f"{root}/_ck", ts, 3_000, 10_000).awaitTermination()
+    rows = [_parsed_topic(spark, late.read_split(spark, root, "log", p)).select("event_id", "ts", F.lit(p == late.LATE).alias("late"))
+            for p in (late.ON_TIME, late.LATE)]
+    return rows[0].union(rows[1])
+
+
+def q_state_audit(spark, d):
+    """The state of K2 read from its checkpoint after a stop and a restart: one entry per device and day."""
+    from strata.streaming import jobs, replay, topics as T
+    root = replay.scratch(spark, "audit")
+    page = batch.materialize(batch.page_log(spark, d), "audit-pages")
+    cut = page.agg(F.expr("cast(avg(ts) AS bigint)")).first()[0] or 0
+    src = lambda: T.read_topic(spark, root, "page_in")
+    for rows in (page.filter(F.col("ts") < cut), page.filter(F.col("ts") >= cut)):
+        replay.replay_logs(spark, {"page_in": rows},
+                           lambda r: jobs.unique_visit(spark, r, f"{r}/_ck", source=src, expiry_days=100_000), root)
+    held = spark.read.format("statestore").load(f"{root}/_ck")
+    first = held.schema["value"].dataType.fieldNames()[0]
+    return held.select("key.mid", F.date_format(F.expr("key.day_end - INTERVAL 1 DAY"), C.DAY_FORMAT).alias("day"),
+                       F.col(f"value.{first}.ts").alias("ts"), F.col(f"value.{first}.id.seq").alias("event_id"))
+
+
 QUERIES.update({
+    "stream_dim_current": q_stream_dim_current,
+    "stream_route_refresh": q_stream_route_refresh,
+    "stats_sink_retry": q_stats_sink_retry,
+    "stream_late_rows": q_stream_late_rows,
+    "state_audit": q_state_audit,
     "stream_visitor_stats_10s": q_stream_visitor_stats_10s,
     "stream_visitor_flag_repair": q_stream_visitor_flag_repair,
     "stream_unique_visit": q_stream_unique_visit,

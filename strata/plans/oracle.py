@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from strata import schemas as S
 from strata.plans.batch import AGE_NOW_MS
-from strata.plans.catalog import LONG_WITHIN_MS
+from strata.plans.catalog import CHANGED_RULES, LONG_WITHIN_MS
 from strata.sources.fixtures import ROUTING_RULES
 
 _TF = "'%Y-%m-%d %H:%M:%S'"
@@ -96,7 +96,11 @@ def _sqlv(v) -> str:
     return "'" + str(v).replace("'", "''") + "'"
 
 
-_RULE_ROWS = ",\n    ".join("(" + ", ".join(_sqlv(v) for v in r) + ")" for r in ROUTING_RULES)
+def _rule_rows(rules: list[tuple]) -> str:
+    return ",\n    ".join("(" + ", ".join(_sqlv(v) for v in r) + ")" for r in rules)
+
+
+_RULE_ROWS = _rule_rows(ROUTING_RULES)
 
 FX_CDC = """fx_cdc AS (
   SELECT c_custkey * 3 AS seq, 'user_info' AS "table",
@@ -347,8 +351,43 @@ cols AS (SELECT upper(sink_table) AS dim_table, coalesce(sink_pk, 'id') AS pk, c
          FROM rules1 WHERE sink_type = 'hbase' AND operate_type = 'insert' AND coalesce(sink_columns, '') <> ''),
 g AS (SELECT dim_table, "column", CAST(min(position) AS INTEGER) AS position, first(pk) AS pk, first(extend) AS extend
       FROM cols GROUP BY dim_table, "column")
-SELECT dim_table, "column", position, ("column" = pk) AS is_pk, extend FROM g
-WHERE dim_table IN (SELECT DISTINCT dim_table FROM dim_cur)"""
+SELECT h.dim_table, h."column", g.position, coalesce(h."column" = g.pk, false) AS is_pk, g.extend
+FROM (SELECT DISTINCT dim_table, "column" FROM dim_cur) h LEFT JOIN g ON g.dim_table = h.dim_table AND g."column" = h."column\""""
+    q["rules_scan"] = f"""WITH {ROUTED}
+SELECT r.source_table, r.operate_type, r.sink_type, r.sink_table, r.sink_columns, r.sink_pk,
+  (SELECT count(*) FROM etl e WHERE e."table" = r.source_table AND e.type = r.operate_type) AS records FROM rules1 r"""
+    q["record_account"] = f"""WITH {ROUTED},
+a AS (SELECT CASE WHEN c.seq % 97 IN (1, 6) THEN 'malformed' WHEN c.seq % 97 IN (2, 4) THEN 'wrong type' WHEN c.seq % 97 = 3 THEN 'no text'
+        WHEN c.seq % 97 = 5 THEN 'no table' WHEN c.seq % 97 = 7 OR coalesce(c.data, '{{}}') = '{{}}' THEN 'no data' END AS broken,
+        r.rt, r.sink_type, c."table", CASE WHEN c.type = 'bootstrap-insert' THEN 'insert' ELSE c.type END AS type
+      FROM fx_cdc c LEFT JOIN routed r ON r.seq = c.seq)
+SELECT coalesce(broken, CASE WHEN rt IS NULL THEN 'no rule' WHEN sink_type = 'kafka' THEN 'fact' WHEN sink_type = 'hbase' THEN 'dim'
+         ELSE 'unknown sink type' END) AS outcome,
+  CASE WHEN broken IS NULL THEN "table" END AS "table", CASE WHEN broken IS NULL THEN type END AS type, count(*) AS records
+FROM a GROUP BY ALL"""
+    q["dim_lookup_composite"] = """WITH f AS (SELECT c_custkey, c_nationkey, CASE WHEN c_custkey % 5 < 4 THEN c_custkey % 5 END AS tier FROM customer),
+s AS (SELECT *, row_number() OVER (PARTITION BY s_nationkey, tier ORDER BY s_suppkey) AS rn
+      FROM (SELECT s_nationkey, s_suppkey, s_name, CASE WHEN s_suppkey % 4 < 3 THEN s_suppkey % 4 END AS tier FROM supplier))
+SELECT f.*, p.s_suppkey AS partner_id, p.s_name AS partner_name, CASE WHEN f.tier IS NOT NULL THEN p.s_suppkey END AS strict_id
+FROM f LEFT JOIN (SELECT * FROM s WHERE rn = 1) p ON p.s_nationkey = f.c_nationkey AND p.tier IS NOT DISTINCT FROM f.tier"""
+    q["order_dim_asof"] = """WITH o AS (SELECT o_orderkey AS id, o_custkey AS user_id,
+    (epoch_us(o_orderdate) // 1000) + (o_orderkey % 86400) * 1000 AS create_ts, o_orderpriority FROM orders),
+ch AS (SELECT user_id, create_ts + (id % 7 - 3) * 3600000 AS ts, id AS seq, id % 5 > 0 AS has_level, id % 5 IN (0, 3, 4) AS has_gender,
+    o_orderpriority AS level, CASE WHEN id % 10 = 9 THEN NULL WHEN id % 2 = 0 THEN '男' ELSE '女' END AS gender FROM o WHERE id % 3 > 0),
+l AS (SELECT * FROM ch WHERE has_level QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY seq DESC) = 1),
+g AS (SELECT * FROM ch WHERE has_gender QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY seq DESC) = 1)
+SELECT o.id, o.user_id, o.create_ts, l.level AS user_level, g.gender AS user_gender,
+  CASE WHEN l.ts IS NOT NULL OR g.ts IS NOT NULL THEN true END AS user_known
+FROM o ASOF LEFT JOIN l ON o.user_id = l.user_id AND o.create_ts >= l.ts
+ASOF LEFT JOIN g ON o.user_id = g.user_id AND o.create_ts >= g.ts"""
+    steps = [ROUTED.replace(_RULE_ROWS, _rule_rows(r)) for r in (ROUTING_RULES, CHANGED_RULES, CHANGED_RULES)]
+    q["stream_route_refresh"] = " UNION ALL ".join(f"""SELECT * FROM (WITH {w}
+SELECT seq, "table" AS source_table, type AS op_type, sink_type, sink_table, array_to_string(keys, ',') AS kept_keys, route,
+  {min(i, 1)} AS rules_from FROM routed WHERE seq % 3 = {i})""" for i, w in enumerate(steps))
+    q["stats_sink_retry"] = q["visitor_stats_1d"]
+    q["stream_late_rows"] = f"""WITH {FX_LOG}, n AS (SELECT event_id % 3 AS i, max(ts) AS m FROM fx_log GROUP BY 1)
+SELECT event_id, ts, coalesce(ts - ts % 10000 + 10000 <= (SELECT max(m) FROM n WHERE n.i < event_id % 3) - 3000, false) AS late FROM fx_log"""
+    q["state_audit"] = tp() + "SELECT mid, day, ts, event_id FROM uv_rows"
     q["order_detail_interval"] = f"WITH {FX_ORDERS},\n{_j1()}\nSELECT * FROM j1"
     q["order_dim_user"] = order_sql(("user",))
     q["order_dim_region"] = order_sql(("province",))
@@ -360,6 +399,6 @@ WHERE dim_table IN (SELECT DISTINCT dim_table FROM dim_cur)"""
     q["order_wide_merge"] = merge_sql()
     # streaming twins produce the rows of their batch forms
     for name in ("visitor_flag_repair", "unique_visit", "user_jump", "user_jump_long", "order_wide", "payment_wide",
-                 "visitor_stats_10s"):
+                 "visitor_stats_10s", "dim_current"):
         q[f"stream_{name}"] = q[name]
     return q

@@ -12,6 +12,9 @@ PAGE = "page_id STRING, last_page_id STRING, during_time BIGINT"
 # Raw app log (ods_base_log). ``event_id`` is the arrival sequence, used as tiebreak.
 LOG = (f"event_id BIGINT, common STRUCT<{COMMON}>, start STRUCT<{START}>, "
        f"page STRUCT<{PAGE}>, displays ARRAY<STRUCT<{DISPLAY}>>, ts BIGINT")
+# The same with whole objects where the source may add fields.
+LOG_WHOLE = (f"event_id BIGINT, common STRUCT<{COMMON}>, start VARIANT, "
+             f"page STRUCT<{PAGE}>, displays VARIANT, ts BIGINT")
 START_FIELDS = ("entry", "loading_time")
 
 # Change record (ods_base_db_maxwell) once parsed; ``data`` stays an untyped object.

@@ -141,6 +141,18 @@ def routing_rules(spark: SparkSession, rules: list[tuple] | None = None) -> Data
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(RULE_COLUMNS)})")
 
 
+def cdc_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change records as a topic carries them (``value`` JSON text beside ``seq``), some of them broken:
+    cut off, no object, ``data`` of another type or absent, no table."""
+    r = cdc_records(spark, sf_dir)
+    text = F.concat(F.lit('{"table":'), _q("table"), F.lit(',"type":'), _q("type"), F.lit(',"data":'), F.coalesce("data", F.lit("null")), F.lit("}"))
+    s = F.col("seq")
+    return r.select("seq", F.when(s % 97 == 1, F.substring(text, 1, 25)).when(s % 97 == 2, F.lit("[1]")).when(s % 97 == 3, F.lit(None).cast("string"))
+                    .when(s % 97 == 4, F.concat(F.lit('{"table":'), _q("table"), F.lit(',"type":"insert","data":5}')))
+                    .when(s % 97 == 5, F.lit('{"type":"insert","data":{"id":"1"}}')).when(s % 97 == 6, F.lit("not json"))
+                    .when(s % 97 == 7, F.concat(F.lit('{"table":'), _q("table"), F.lit(',"type":"insert"}'))).otherwise(text).alias("value"))
+
+
 # --- orders, lines, payments -----------------------------------------------
 
 def _order_ms() -> F.Column:
@@ -202,6 +214,26 @@ def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         format_ms(cb - 30_000).alias("create_time"), format_ms(cb).alias("callback_time"))
 
 
+def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change log of a user dimension with times (pk, ts, seq, data): two of three orders change their customer a while
+    before or after they are placed; changes set one column or both, some to null."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority").filter("o_orderkey % 3 > 0")
+    k = F.col("o_orderkey")
+    gender = F.when(k % 10 == 9, F.lit(None).cast("string")).when(k % 2 == 0, "M").otherwise("F")
+    both = F.map_from_arrays(F.array(F.lit("level"), F.lit("gender")), F.array(F.col("o_orderpriority"), gender))
+    data = F.when(k % 5 == 0, F.map_filter(both, lambda c, _: c == "gender")) \
+        .when(k % 5 < 3, F.map_filter(both, lambda c, _: c == "level")).otherwise(both)
+    return o.select(F.col("o_custkey").cast("string").alias("pk"), (_order_ms() + (k % 7 - 3) * 3_600_000).alias("ts"),
+                    k.alias("seq"), data.alias("data"))
+
+
+def dim_partner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension with several rows per (nation, tier) and null tiers: the suppliers."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_name")
+    tier = F.when(F.col("s_suppkey") % 4 == 3, F.lit(None).cast("bigint")).otherwise(F.col("s_suppkey") % 4)
+    return s.select("s_nationkey", tier.alias("tier"), "s_suppkey", "s_name")
+
+
 # --- dimensions (all-text rows keyed by ``id``): whole tables; misses come from keys that no row has ---
 
 def dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
