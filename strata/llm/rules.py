@@ -1,23 +1,26 @@
-"""Quality rules with risk-controlled cutoffs.
+"""Quality rules with risk-controlled thresholds.
 
 Every document gets counts over its whole text. A rule rejects a document whose
-metric lies above a cutoff. Cutoffs are chosen on labelled documents so that,
-per stratum and rule, the share of good documents rejected is below ``limit``
-with confidence: the candidate cutoffs of a rule form a fixed ladder, walked
-from loose to strict; a cutoff stands while the exact binomial tail
-``P(Bin(n, limit) <= k)`` of its k rejected among n good documents is at most
-``delta`` divided by the number of (stratum, rule) pairs. Walking in a fixed
-order needs no further correction inside a rule (the walk ends at the first
-failure), the division corrects for the pairs. Every cutoff that stands is
-safe, so the choice among them may look at the data: it takes the one with the
-best balance of bad documents caught to good ones lost, the loosest on ties.
-
-DataFrame operations only. The tail needs no table: k grows with n, and its
-largest allowed value comes from one running sum per stratum.
+metric lies above a cutoff. Cutoffs are chosen on labelled documents so that, in
+every stratum, the share of good documents that the rules reject *together* is below
+``limit``, with confidence 1 - ``delta`` for all strata at once.
+
+The labelled documents are split in two halves by a hash. On the first half each rule
+proposes the cutoff with the best balance of bad documents caught to good
+ones lost, among those that lose at most half of ``limit`` there, of equal neighbours the middle one; the
+proposals are put in order of that balance. The second half is a holdout that
+the proposals have not seen: it is walked along that order, adding one rule at a time. The rules so far
+stand while the exact binomial tail ``P(Bin(n, limit) <= k)`` of the k good documents
+that any of them rejects among n is at most ``delta`` divided by the number of strata. The
+order is fixed before the holdout is looked at and the walk ends at the first failure, so
+the steps need no further correction; the division corrects for the strata.
+
+DataFrame operations only. The tail needs no table: its largest allowed k comes from one
+running sum per stratum, over a stretch that grows with the root of n * limit.
 
 Defined cases: null and blank texts have no words and fail the base rule; a
-null stratum is a stratum of its own; a stratum with too few good labels gets no
-cutoff and rejects nothing; documents with contradicting labels teach nothing;
+null stratum is a stratum of its own; a stratum with too few good labels in the holdout gets no
+cutoff and rejects nothing; rows of one id are in the same half; documents with contradicting labels teach nothing;
 repeated rows are judged each; empty tables give empty results. Windows are
 compared by a 64-bit hash of their eight words.
 """
@@ -108,67 +111,100 @@ def _passed(rule: str) -> Column:
     return F.size(F.filter(F.array(*[F.lit(float(x)) for x in _ladder(rule)]), lambda c: c >= metric))
 
 
+def _log_factorial(x: Column) -> Column:
+    """Stirling's series, exact to rounding from 20 on."""
+    return x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x) + 1 / (12 * x) - 1 / (360 * x * x * x)
+
+
 def allowed(n: Column, limit: float, delta: Column) -> Column:
     """Largest k with P(Bin(n, limit) <= k) <= delta, or -1: a running sum in logarithms.
 
-    The tail at k above n * limit exceeds a half, so the sum stops there.
+    It starts 40 standard deviations below the mean, where the tail is below 1e-300, or at 0, and
+    ends at the mean, above which the tail exceeds a half.
     """
     odds = math.log(limit / (1 - limit))
-    first = F.struct((n * math.log1p(-limit)).cast("double").alias("term"), F.lit(0.0).alias("tail"),
-                     F.lit(-1).cast("long").alias("k"), F.lit(True).alias("on"))
+    mean = n * limit
+    low = F.greatest(F.lit(0), F.floor(mean - 40 * F.sqrt(mean))).cast("long")
+    low = F.when(low < 20, F.lit(0).cast("long")).otherwise(low)
+    x, top = low.cast("double"), n.cast("double")
+    ways = F.when(low == 0, F.lit(0.0)).otherwise(_log_factorial(top) - _log_factorial(x) - _log_factorial(top - x))
+    begin = ways + x * math.log(limit) + (top - x) * math.log1p(-limit)
+    first = F.struct(begin.alias("term"), F.lit(0.0).alias("tail"), (low - 1).alias("k"), F.lit(True).alias("on"))
 
     def step(a, i):
         tail = a["tail"] + F.exp(a["term"])
         on = a["on"] & (tail <= delta)
         term = a["term"] + F.log((n - i).cast("double") / (i + 1)) + odds
         return F.struct(F.when(n > i, term).otherwise(F.lit(float("-inf"))).alias("term"), tail.alias("tail"),
-                        F.when(on, i.cast("long")).otherwise(a["k"]).alias("k"), on.alias("on"))
-
-    top = F.ceil(n * limit).cast("int")
-    return F.aggregate(F.sequence(F.lit(0), top), first, step, lambda a: a["k"])
+                        F.when(on, i).otherwise(a["k"]).alias("k"), on.alias("on"))
 
+    return F.aggregate(F.sequence(low, F.greatest(low, F.ceil(mean)).cast("long")), first, step, lambda a: a["k"])
 
-def cutoffs(labelled: DataFrame, limit: float = LIMIT, delta: float = DELTA,
-            loss_weight: float = LOSS_WEIGHT) -> DataFrame:
-    """(stratum, rule, cutoff, n_good, k, allowed): the chosen cutoff per stratum and rule.
 
-    ``labelled``: stratum, quality and the counts of documents that pass the base rule.
-    """
+def _proposed(d: DataFrame, limit: float, loss_weight: float) -> DataFrame:
+    """(stratum, rule, cutoff, j, gain) from labelled documents (stratum, quality, rung): null cutoffs where none gains."""
     # rung j rejects metrics above ladder[j]: a document's first rejecting rung is the number of cutoffs it passes
-    rungs = F.array(*[F.struct(F.lit(r).alias("rule"), _passed(r).alias("rung")) for r in RULES])
-    per = (labelled.select("stratum", "quality", F.explode(rungs).alias("x"))
-           .groupBy("stratum", "x.rule", "x.rung")
+    per = (d.select("stratum", "quality", F.explode("rung").alias("rule", "rung")).groupBy("stratum", "rule", "rung")
            .agg(F.count(F.when(F.col("quality") == 1, 1)).alias("good"),
                 F.count(F.when(F.col("quality") == 0, 1)).alias("bad")))
     # a row per (stratum, rule) with the counts of its rungs: at most a ladder long
     tab = per.groupBy("stratum", "rule").agg(
         F.map_from_entries(F.collect_list(F.struct("rung", F.struct("good", "bad")))).alias("m"),
         F.sum("good").alias("n_good"))
-    pairs = F.count("*").over(W.partitionBy())
-    tab = tab.withColumn("allowed", allowed(F.col("n_good"), limit, F.lit(delta) / pairs))
     ladders = F.create_map(*[x for r in RULES for x in
                              (F.lit(r), F.array(*[F.lit(float(c)) for c in _ladder(r)]))])
     tab = tab.withColumn("ladder", F.element_at(ladders, F.col("rule")))
     zero = F.struct(F.lit(0).cast("long").alias("good"), F.lit(0).cast("long").alias("bad"))
-    best0 = F.struct(F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("caught"), F.lit(True).alias("on"),
-                     F.lit(0.0).alias("gain"), F.lit(None).cast("double").alias("cutoff"),
-                     F.lit(0).cast("long").alias("best_k"))
+    best0 = F.struct(F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("caught"),
+                     F.lit(0.0).alias("gain"), F.lit(None).cast("int").alias("lo"), F.lit(None).cast("int").alias("hi"))
 
     def step(a, j):
         # cutoff j rejects every document whose number of rungs at or above its metric is <= j
         here = F.coalesce(F.try_element_at(F.col("m"), j), zero)
         k, caught = a["k"] + here["good"], a["caught"] + here["bad"]
-        on = a["on"] & (k <= F.col("allowed"))
         gain = caught - loss_weight * k
-        better = on & (gain > a["gain"])
-        return F.struct(k.alias("k"), caught.alias("caught"), on.alias("on"),
-                        F.when(better, gain).otherwise(a["gain"]).alias("gain"),
-                        F.when(better, F.get(F.col("ladder"), j)).otherwise(a["cutoff"]).alias("cutoff"),
-                        F.when(better, k).otherwise(a["best_k"]).alias("best_k"))
+        better = (2 * k <= limit * F.col("n_good")) & (gain > a["gain"])
+        same = (gain == a["gain"]) & (a["hi"] == j - 1)
+        return F.struct(k.alias("k"), caught.alias("caught"), F.when(better, gain).otherwise(a["gain"]).alias("gain"),
+                        F.when(better, j).otherwise(a["lo"]).alias("lo"),
+                        F.when(better | same, j).otherwise(a["hi"]).alias("hi"))
 
     pick = F.aggregate(F.sequence(F.lit(0), F.size("ladder") - 1), best0, step)
-    return tab.withColumn("p", pick).select("stratum", "rule", F.col("p.cutoff").alias("cutoff"), "n_good",
-                                            F.col("p.best_k").alias("k"), "allowed")
+    return tab.withColumn("p", pick).withColumn("j", F.expr("cast((p.lo + p.hi) div 2 AS int)")) \
+        .select("stratum", "rule", F.get("ladder", F.col("j")).alias("cutoff"), "j", "p.gain")
+
+
+def cutoffs(labelled: DataFrame, limit: float = LIMIT, delta: float = DELTA,
+            loss_weight: float = LOSS_WEIGHT) -> DataFrame:
+    """(stratum, rule, cutoff, n_good, k, allowed): the cutoff per stratum and rule, null where the rule does not stand;
+    k of the n_good good documents in the holdout are rejected by the rule or one before it.
+
+    ``labelled``: stratum, quality and the counts of documents that pass the base rule, and ``half`` (0 or 1) if the
+    caller splits them (else a hash of the row does).
+    """
+    half = F.col("half") if "half" in labelled.columns else F.pmod(F.xxhash64(*labelled.columns), F.lit(2))
+    rung = F.create_map(*[x for r in RULES for x in (F.lit(r), _passed(r))])
+    d = labelled.select("stratum", "quality", rung.alias("rung"), half.alias("half"))
+    proposed = cut(_proposed(d.filter("half = 0"), limit, loss_weight), "rule-proposals")
+    # at most as many entries as there are rules
+    paths = proposed.filter("cutoff IS NOT NULL").groupBy("stratum") \
+        .agg(F.array_sort(F.collect_list(F.struct((-F.col("gain")).alias("order"), "rule", "j"))).alias("path"))
+    held = d.filter("half = 1 AND quality = 1").join(paths.withColumnRenamed("stratum", "p_stratum"),
+                                                     F.col("stratum").eqNullSafe(F.col("p_stratum")), "left")
+    first = F.array_min(F.transform("path", lambda p, i: F.when(F.element_at(F.col("rung"), p["rule"]) <= p["j"], i)))
+    seen = held.select("stratum", F.coalesce(first, F.lit(-1)).alias("at")).groupBy("stratum", "at").agg(F.count("*").alias("n")) \
+        .groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("at", "n"))).alias("m"), F.sum("n").alias("n_good"))
+    strata = F.count("*").over(W.partitionBy())
+    seen = seen.withColumn("allowed", allowed(F.col("n_good"), limit, F.lit(delta) / strata)).withColumnRenamed("stratum", "s_stratum")
+    steps = paths.select("stratum", F.posexplode("path").alias("at", "p")).select("stratum", "at", "p.rule") \
+        .join(seen, F.col("stratum").eqNullSafe(F.col("s_stratum")))
+    k = F.aggregate(F.sequence(F.lit(0), F.col("at")), F.lit(0).cast("long"),
+                    lambda a, i: a + F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0).cast("long")))
+    steps = steps.select("s_stratum", F.col("rule").alias("s_rule"), "n_good", k.alias("k"), "allowed")
+    # k only grows along the path, so a rule that stands follows on rules that do
+    j = proposed.join(steps, F.col("stratum").eqNullSafe(F.col("s_stratum")) & (F.col("rule") == F.col("s_rule")), "left")
+    return j.select("stratum", "rule", F.when(F.col("k") <= F.col("allowed"), F.col("cutoff")).alias("cutoff"),
+                    "n_good", "k", "allowed")
 
 
 def labels_of(labels: DataFrame, column: str = "quality") -> DataFrame:
@@ -184,7 +220,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", limit
     slim = counts(docs.select("doc_id", F.col(stratum).cast("string").alias("stratum"), "text")).drop("text")
     slim = cut(slim.withColumn("base_failed", base_failed()), "rule-counts")
     lab = labels_of(labels)
-    good = slim.filter(~F.col("base_failed")).join(lab, "doc_id")
+    good = slim.filter(~F.col("base_failed")).join(lab, "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2)))
     cuts = cutoffs(good, limit, delta)
     wide = cut(cuts.groupBy(F.col("stratum").alias("c_stratum"))
                .agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"c_{r}") for r in RULES]), "rule-cutoffs")
