@@ -167,9 +167,12 @@ def train(table: DataFrame, labels: DataFrame, learn=None, max_per_class: int =
     if learn is not None:
         lab = lab.filter(learn)
     x = table.join(lab, "doc_id")
-    sides = []
+    sides, size = [], {r.quality: r["count"] for r in x.groupBy("quality").count().collect()}
     for q in (1, 0):
-        rows = (x.filter(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id")
+        # only hashes low enough for the sample are sent, however many rows and partitions there are
+        share = min(1.0, (max_per_class + 6 * max_per_class ** 0.5) / max(size.get(q, 0), 1))
+        low = F.xxhash64("doc_id") <= F.lit(min(int(share * 2**64) - 2**63, 2**63 - 1))
+        rows = (x.filter((F.col("quality") == q) & low).orderBy(F.xxhash64("doc_id"), "doc_id")
                 .limit(max_per_class).select("f").collect())
         sides.append(np.array([r[0] for r in rows], np.float64).reshape(len(rows), len(NAMES)))
     return fit(*sides)
