@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from strata.llm.common import Buffer, cut
 from strata.llm.components import components
@@ -90,8 +91,8 @@ def project(x: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
     return code.view(np.int64), y[:, :, -1]
 
 
-def unit(raw: list[bytes]) -> np.ndarray:
-    x = np.stack([np.frombuffer(b, np.float64) for b in raw])
+def unit(raw: list[bytes], dtype: str = "f8") -> np.ndarray:
+    x = np.stack([np.frombuffer(b, dtype) for b in raw]).astype(np.float64)
     x = x / np.abs(x).max(1, keepdims=True)  # no overflow in the norm of large components
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
@@ -103,8 +104,14 @@ def _usable(v) -> np.ndarray | None:
     return x if np.isfinite(x).all() and x.any() else None
 
 
+def _stored(rows: DataFrame, column: str) -> str:
+    """How components are stored: single floats stay single, which loses nothing and halves what is shuffled."""
+    return "f4" if rows.schema[column].dataType == ArrayType(FloatType(), rows.schema[column].dataType.containsNull) else "f8"
+
+
 def vectors(rows: DataFrame, column: str = "embedding") -> DataFrame:
-    """(vec_id, dim, k1, k2, v): the digest and the doubles of usable vectors, nulls for the others."""
+    """(vec_id, dim, k1, k2, v): the digest and the components of usable vectors, nulls for the others."""
+    kind = _stored(rows, column)
     schema = pa.schema([("vec_id", pa.int64()), ("dim", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()),
                         ("v", pa.binary())])
 
@@ -118,7 +125,7 @@ def vectors(rows: DataFrame, column: str = "embedding") -> DataFrame:
                 else:
                     x = x + 0.0  # one zero
                     k = np.frombuffer(hashlib.blake2b(x.tobytes(), digest_size=16).digest(), np.int64)
-                    out.add(vec_id, len(x), int(k[0]), int(k[1]), x.tobytes())
+                    out.add(vec_id, len(x), int(k[0]), int(k[1]), x.astype(kind).tobytes())
                 if out.full():
                     yield out.flush()
         yield out.flush()
@@ -127,7 +134,7 @@ def vectors(rows: DataFrame, column: str = "embedding") -> DataFrame:
         .mapInArrow(run, "vec_id long, dim int, k1 long, k2 long, v binary")
 
 
-def _keyed(reps: DataFrame, plan: Plan) -> DataFrame:
+def _keyed(reps: DataFrame, plan: Plan, kind: str) -> DataFrame:
     """(rep, dim, cells array<long>) of every node."""
     schema = pa.schema([("rep", pa.int64()), ("dim", pa.int32()), ("cells", pa.list_(pa.int64()))])
 
@@ -142,7 +149,7 @@ def _keyed(reps: DataFrame, plan: Plan) -> DataFrame:
             for d, pos in by_dim.items():
                 for at in range(0, len(pos), 4096):
                     part = pos[at:at + 4096]
-                    code, _ = project(unit([raw[i] for i in part]), plan)
+                    code, _ = project(unit([raw[i] for i in part], kind), plan)
                     for i, c in zip(part, code):
                         out.add(ids[i], d, c)
                     yield out.flush()
@@ -153,8 +160,12 @@ def _keyed(reps: DataFrame, plan: Plan) -> DataFrame:
 _OUT = pa.schema([("rep", pa.int64()), ("links", pa.int64()), ("low", pa.int64())])
 
 
-def _search(plan: Plan):
-    """Group function: rows of one cell (or of a pair of its blocks) to links per vector."""
+def _search(plan: Plan, kind: str):
+    """Group function: rows of one cell (or of a pair of its blocks) to links per vector.
+
+    Collisions come first: of a vector's window mates those are candidates that share a cell in ``need`` tables
+    or more; their collisions are then counted with the windows of all tables, and only pairs with
+    ``need`` of them that this table is the first to meet are verified by their cosine."""
 
     def run(t: pa.Table) -> pa.Table:
         ids = t.column("rep").to_numpy()
@@ -162,10 +173,12 @@ def _search(plan: Plan):
             return _OUT.empty_table()
         table = t.column("tab")[0].as_py()
         mult, block = t.column("mult").to_numpy(), t.column("block").to_numpy()
-        x = unit(t.column("v").to_pylist())
+        x = unit(t.column("v").to_pylist(), kind)
         code, num = project(x, plan)
+        short = np.ascontiguousarray(code.T.astype(np.uint16))  # equal codes have equal ends
         order = np.argsort(num[:, table], kind="stable")
         ids, mult, block, x, code, num = (z[order] for z in (ids, mult, block, x, code, num))
+        short = np.ascontiguousarray(short[:, order])
         line = num[:, table]
         end = np.searchsorted(line, line + plan.window, side="right")
         two = block.min() != block.max()
@@ -174,8 +187,10 @@ def _search(plan: Plan):
         for at in range(0, len(ids), 256):
             hi = min(at + 256, len(ids))
             stop = int(end[at:hi].max())
-            sim = x[at:hi] @ x[at:stop].T
-            i, j = np.nonzero(sim >= plan.cosine)
+            shared = np.zeros((hi - at, stop - at), np.uint8)
+            for cells in short:
+                shared += cells[at:hi, None] == cells[None, at:stop]
+            i, j = np.nonzero(shared >= plan.need)
             i, j = i + at, j + at
             ok = (j > i) & (j < end[i])
             if two:  # pairs inside a block belong to that block's own task
@@ -186,6 +201,8 @@ def _search(plan: Plan):
                 hit = (code[p] == code[q]) & (np.abs(num[p] - num[q]) <= plan.window)
                 own = (hit.sum(1) >= plan.need) & (hit.argmax(1) == table)
                 p, q = p[own], q[own]
+                true = np.einsum("ij,ij->i", x[p], x[q]) >= plan.cosine
+                p, q = p[true], q[true]
                 links += np.bincount(p, weights=mult[q], minlength=len(ids)).astype(np.int64)
                 links += np.bincount(q, weights=mult[p], minlength=len(ids)).astype(np.int64)
                 if uf.parts > 1:
@@ -204,12 +221,12 @@ def _search(plan: Plan):
 
 def near_duplicates(rows: DataFrame, column: str = "embedding", cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
-    vec = cut(vectors(rows, column), "vectors")
+    vec, kind = cut(vectors(rows, column), "vectors"), _stored(rows, column)
     reps = cut(vec.filter("v IS NOT NULL AND vec_id IS NOT NULL").groupBy("k1", "k2")
                .agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult"), F.first("dim").alias("dim"),
                     F.first("v").alias("v")), "vector-nodes")
     plan = calibrate(reps.count(), cosine, recall)
-    keyed = cut(_keyed(reps, plan).select("rep", "dim", F.posexplode("cells").alias("tab", "cell")), "vector-cells")
+    keyed = cut(_keyed(reps, plan, kind).select("rep", "dim", F.posexplode("cells").alias("tab", "cell")), "vector-cells")
     size = keyed.groupBy("dim", "tab", "cell").agg(F.count("*").alias("n")).filter("n > 1") \
         .withColumn("blocks", F.ceil(F.col("n") / BLOCK)).drop("n")
     met = keyed.join(size, ["dim", "tab", "cell"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
@@ -220,7 +237,7 @@ def near_duplicates(rows: DataFrame, column: str = "embedding", cosine: float =
     payload = places.join(reps.select("rep", "mult", "v"), "rep").select("rep", "mult", "v", F.explode("m").alias("m"))
     payload = payload.select("rep", "mult", "v", "m.dim", "m.tab", "m.cell", "m.block", F.explode("m.tasks").alias("t"))
     found = payload.select("rep", "mult", "v", "dim", "tab", "cell", "block", "t.i", "t.j") \
-        .groupBy("dim", "tab", "cell", "i", "j").applyInArrow(_search(plan), "rep long, links long, low long")
+        .groupBy("dim", "tab", "cell", "i", "j").applyInArrow(_search(plan, kind), "rep long, links long, low long")
     found = cut(found, "vector-links")
     comp = components(found.select(F.col("rep").alias("a"), F.col("low").alias("b")))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
