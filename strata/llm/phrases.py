@@ -47,7 +47,7 @@ MOST, LEAST, TOP, PERCENT = 5, 100, 2000, 100
 UNKNOWN = "und"
 #: Words sorted in one go; characters of text whose n-grams make a prefix range; sampled n-grams
 #: a range; part look-ups answered by one task.
-SHARD_WORDS, RANGE_CHARS, SAMPLE, QUERY_ROWS = 1 << 21, 12 << 20, 64, 1 << 18
+SHARD_WORDS, RANGE_CHARS, SAMPLE, QUERY_ROWS = 1 << 20, 8 << 20, 64, 1 << 18
 
 _BREAK, _BLANK = rb".,;:!?" + bytes(range(0x0A, 0x0E)), b" \t"
 _IS_WORD = np.ones(256, bool)
