@@ -168,21 +168,24 @@ class Model:
         return Model(flat, flat.copy(), move, e / e.sum(0))
 
 
-def segments(texts: list[np.ndarray]) -> tuple[list[np.ndarray], list[bool]]:
+def segments(texts: list[np.ndarray], starts: list[bool] | None = None) -> tuple[list[np.ndarray], list[bool]]:
+    """Parts of at most ``SEGMENT`` tokens; a part that begins no text begins with the token before it, so that
+    the step over the border is seen. ``starts``: which of the sequences begin a text (all by default)."""
     parts, first = [], []
-    for t in texts:
-        for at in range(0, len(t), SEGMENT):
-            parts.append(t[at:at + SEGMENT])
-            first.append(at == 0)
+    for t, head in zip(texts, starts or [True] * len(texts)):
+        at = 0 if head else 1
+        for k in range(at, len(t), SEGMENT):
+            parts.append(t[max(k - 1, 0):k + SEGMENT])
+            first.append(head and k == 0)
     return parts, first
 
 
-def expected(model: Model, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, float]:
+def expected(model: Model, texts: list[np.ndarray], starts: list[bool] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, float]:
     """Expected counts (emit, move, start, occupancy) and the log likelihood of segments of texts.
 
     Arrays run states x segments, so each step works along contiguous rows.
     """
-    parts, first = segments(texts)
+    parts, first = segments(texts, starts)
     order = np.argsort([-len(p) for p in parts], kind="stable")
     lens = np.array([len(parts[i]) for i in order])
     head = np.array(first)[order]
@@ -218,6 +221,7 @@ def expected(model: Model, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndar
             beta[:, :j] = back @ w
         gamma[t, :, :k] *= beta[:, :k]
     seen = np.arange(steps)[:, None] < lens[None, :]
+    seen[0] &= head  # a border's token is counted where it belongs
     flat = obs[seen]
     emit = np.empty((N_CLASSES, STATES))
     for k in range(STATES):
@@ -235,10 +239,10 @@ def _e_step(enc: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.nd
     total = N_CLASSES + STATES + 3
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        acc, held, size = np.zeros((total, STATES)), [], 0
+        acc, held, starts, size = np.zeros((total, STATES)), [], [], 0
 
         def add() -> None:
-            emit, move, start, occ, ll = expected(model, held)
+            emit, move, start, occ, ll = expected(model, held, starts)
             acc[:N_CLASSES] += emit
             acc[base["move"]:base["start"]] += move
             acc[base["start"]] += start
@@ -249,11 +253,12 @@ def _e_step(enc: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.nd
             for raw in b.column(0).to_pylist():
                 seq = np.frombuffer(raw, np.uint16)
                 for at in range(0, len(seq), CHUNK):
-                    held.append(seq[at:at + CHUNK])
+                    held.append(seq[max(at - 1, 0):at + CHUNK])
+                    starts.append(at == 0)
                     size += len(held[-1])
                     if size >= CHUNK:
                         add()
-                        held, size = [], 0
+                        held, starts, size = [], [], 0
         if held:
             add()
         k = np.flatnonzero(acc.any(1))
@@ -304,13 +309,26 @@ def forward(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def frequent(counts: DataFrame) -> DataFrame:
+    """The ``TOP`` most frequent words. A histogram of the counts' magnitudes (64 rows at most) says from which
+    count on, so that about as many rows are sent and sorted, whatever the number of partitions."""
+    words = counts.filter(F.length("word") > 0)
+    size = F.floor(F.log2("c")).cast("int")
+    least, found = 0, 0
+    for r in sorted(words.groupBy(size.alias("b")).count().collect(), key=lambda r: -r.b):
+        least, found = r.b, found + r["count"]
+        if found >= TOP:
+            break
+    return words.filter(F.col("c") >= F.lit(1 << least)).orderBy(F.col("c").desc(), "word").limit(TOP)
+
+
 def score(docs: DataFrame, modulus: int = 7, remainder: int = 2, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                     held_out("doc_id", modulus, remainder).alias("held_out"))
     counts = cut(word_counts(d.filter("NOT held_out")), "hmm-counts")
     n_train, n_types = (x or 0 for x in counts.agg(F.sum("c"), F.count("*")).first())
-    rows = counts.filter(F.length("word") > 0).orderBy(F.col("c").desc(), "word").limit(TOP).collect()
+    rows = frequent(counts).collect()
     top = {END: 0} | {bytes(r.word): i + 1 for i, r in enumerate(rows)}
     n_class, v_class = class_totals(counts, top)
     enc = cut(encode(d, top), "hmm-encoded")

@@ -133,6 +133,29 @@ def test_expected_counts_match_brute_force():
     assert np.allclose(one, joint / joint.sum(), rtol=1e-3, atol=1e-6)
 
 
+def test_steps_over_segment_borders_are_counted():
+    rng = np.random.default_rng(3)
+    m = hmm.Model.initial(rng.integers(0, 50, hmm.N_CLASSES))
+    seq = rng.integers(0, 30, 5 * hmm.SEGMENT + 7).astype(np.uint16)
+    emit, move, start, occ, _ = hmm.expected(m, [seq])
+    assert move.sum() == pytest.approx(len(seq) - 1, rel=1e-4) and start.sum() == pytest.approx(1, rel=1e-4)
+    assert occ.sum() == pytest.approx(len(seq), rel=1e-4)
+    assert np.allclose(emit.sum(1), np.bincount(seq, minlength=hmm.N_CLASSES), rtol=1e-3, atol=1e-3)
+    # a chunk that begins inside a text brings the token before it along
+    cut = 2 * hmm.SEGMENT + 3
+    _, move, start, occ, _ = hmm.expected(m, [seq[:cut], seq[cut - 1:]], [True, False])
+    assert move.sum() == pytest.approx(len(seq) - 1, rel=1e-4) and start.sum() == pytest.approx(1, rel=1e-4)
+    assert occ.sum() == pytest.approx(len(seq), rel=1e-4)
+
+
+def test_frequent_words_are_the_top_ones(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "TOP", 5)
+    c = {f"w{i:02d}": n for i, n in enumerate([900, 700, 700, 64, 63, 63, 63, 8, 1, 1])}
+    d = spark.createDataFrame([(w.encode(), n) for w, n in c.items()] + [(b"", 10**6)], "word binary, c long")
+    assert [bytes(r.word).decode() for r in hmm.frequent(d).collect()] == ["w00", "w01", "w02", "w03", "w04"]
+    assert hmm.frequent(d.limit(0)).count() == 0
+
+
 def test_language_model(spark, docs):
     got = rows(queries.op3_hmm(spark, SF))
     n = Counter()
