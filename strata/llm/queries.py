@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import chat, embed, hmm, jaccard, langid, mixing, packing, periodic, phrases, quality, rules, template, urlrules
 from strata.llm.common import table
+from strata.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,12 +84,8 @@ QUERIES: dict[str, Query] = {
     "op13_runs": op13_runs,
 }
 
-#: Queries that SQL can express.
-ORACLES: dict[str, str] = {
-    "op11_urls": urlrules.ORACLE,
-    "op12_phrases": phrases.ORACLE,
-}
-
-
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
+
+
+__all__ = ["ORACLES", "QUERIES", "queries"]
