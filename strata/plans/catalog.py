@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from strata import config as C
 from strata import schemas as S
 from strata.config import use_utc
-from strata.functions.columns import day_of_ms, format_ms, gender_label
+from strata.functions.columns import day_of_ms, format_ms, gender_label, has_page
 from strata.operators import cdc, logs, orders, traffic
 from strata.operators.joins import AsOfSpec, DimSpec, asof_lookup, enrich
 from strata.plans import batch
 from strata.sources import fixtures as fx
-from strata.sources.rules import RuleHistory
+from strata.sources.rules import RuleHistory, read_rules, rules_camel
 
 Query = Callable[[SparkSession, str], DataFrame]
 LONG_WITHIN_MS = 3_600_000
@@ -160,15 +160,21 @@ def q_dim_schemas(spark, d):
 
 def q_rules_scan(spark, d):
     """The rules read from files, each with the records that it routes."""
-    from strata.sources.rules import read_rules
     from strata.streaming import replay
     path = f"{replay.scratch(spark, 'rules')}/table_process"
     fx.routing_rules(spark).write.parquet(path)
     rules = cdc.reduce_rules(read_rules(spark, path))
     recs = cdc.etl_filter(fx.cdc_records(spark, d)).select(F.col("table").alias("source_table"), cdc.normalize_op("type").alias("operate_type")) \
         .groupBy("source_table", "operate_type").agg(F.count("*").alias("records"))
-    return rules.join(recs, ["source_table", "operate_type"], "left").select(
-        "source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk", F.coalesce("records", F.lit(0)).alias("records"))
+    return rules_camel(rules.join(recs, ["source_table", "operate_type"], "left").select(
+        "source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk", F.coalesce("records", F.lit(0)).alias("records")))
+
+
+def q_page_named(spark, d):
+    """Events that name a page; some of the log's page names are taken away or emptied."""
+    k = F.col("event_id") % 13
+    page_id = F.when(k == 1, F.lit("")).when(k != 0, F.col("page.page_id")).alias("page_id")
+    return fx.ods_log(spark, d).select("event_id", page_id).filter(has_page("page_id"))
 
 
 def q_record_account(spark, d):
@@ -267,6 +273,7 @@ QUERIES: dict[str, Query] = {
     "dim_user_current": q_dim_user_current,
     "dim_schemas": q_dim_schemas,
     "rules_scan": q_rules_scan,
+    "page_named": q_page_named,
     "record_account": q_record_account,
     "dim_lookup_composite": q_dim_lookup_composite,
     "order_dim_asof": q_order_dim_asof,

@@ -354,8 +354,11 @@ g AS (SELECT dim_table, "column", CAST(min(position) AS INTEGER) AS position, fi
 SELECT h.dim_table, h."column", g.position, coalesce(h."column" = g.pk, false) AS is_pk, g.extend
 FROM (SELECT DISTINCT dim_table, "column" FROM dim_cur) h LEFT JOIN g ON g.dim_table = h.dim_table AND g."column" = h."column\""""
     q["rules_scan"] = f"""WITH {ROUTED}
-SELECT r.source_table, r.operate_type, r.sink_type, r.sink_table, r.sink_columns, r.sink_pk,
+SELECT r.source_table AS "sourceTable", r.operate_type AS "operateType", r.sink_type AS "sinkType", r.sink_table AS "sinkTable",
+  r.sink_columns AS "sinkColumns", r.sink_pk AS "sinkPk",
   (SELECT count(*) FROM etl e WHERE e."table" = r.source_table AND e.type = r.operate_type) AS records FROM rules1 r"""
+    q["page_named"] = f"""WITH {FX_LOG} SELECT * FROM (SELECT event_id, CASE event_id % 13 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE page_id END AS page_id
+FROM fx_log) WHERE coalesce(page_id, '') <> ''"""
     q["record_account"] = f"""WITH {ROUTED},
 a AS (SELECT CASE WHEN c.seq % 97 IN (1, 6) THEN 'malformed' WHEN c.seq % 97 IN (2, 4) THEN 'wrong type' WHEN c.seq % 97 = 3 THEN 'no text'
         WHEN c.seq % 97 = 5 THEN 'no table' WHEN c.seq % 97 = 7 OR coalesce(c.data, '{{}}') = '{{}}' THEN 'no data' END AS broken,
