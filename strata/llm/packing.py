@@ -10,7 +10,9 @@ one has room. Ids only meet their own document: placement needs lengths alone.
 Every task packs the pieces of its own partition, so no piece is shuffled and
 memory is bounded by a partition's slim rows. Bins that a task leaves with a
 larger gap are taken apart and packed again by fewer tasks, 16 partitions to
-one, until one is left; each level is written before the next reads it.
+one, until one is left or a task would get more than ``TASK_PIECES`` pieces: so
+many pack as well as all would, and where most bins can't be closed (texts of more than half a sequence
+each) more levels would not close them. Each level is written before the next reads it.
 
 Tokenising splits at ASCII white space, which the vocabulary drops anyway, and
 keeps the ids of words already seen.
@@ -40,6 +42,8 @@ CAPACITY, SEPARATOR = 4096, 1
 #: Distinct words (and chunks) a Python worker remembers in each of two generations, about 200 bytes each.
 CACHE = 150_000
 FAN_IN = 16
+#: Pieces that a task packs again at most, about 50 bytes each.
+TASK_PIECES = 1 << 20
 #: A bin whose gap is at most this share of a sequence is final.
 TIGHT = 1 / 64
 
@@ -222,16 +226,17 @@ def _level(rows: DataFrame, level: int, last: bool, capacity: int) -> DataFrame:
 def assign(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Give every piece a sequence and an offset."""
     parts = max(1, rows.rdd.getNumPartitions())
-    done, level = None, 0
+    done, level, last = None, 0, parts == 1
     while True:
-        last = parts == 1
         got = cut(_level(rows, level, last, capacity), f"packed-{level}")
         closed = got.filter(~F.col("open")).drop("open")
         done = closed if done is None else done.unionByName(closed)
         if last:
             return done
-        parts = -(-parts // FAN_IN)
-        rows = got.filter("open").select("doc_id", "piece", "start", "length", "ids_crc32").coalesce(parts)
+        rows = got.filter("open").select("doc_id", "piece", "start", "length", "ids_crc32")
+        fewer = max(-(-parts // FAN_IN), -(-rows.count() // TASK_PIECES))
+        parts, last = min(fewer, parts), fewer == 1 or fewer >= parts
+        rows = rows.repartition(parts) if last and parts > 1 else rows.coalesce(parts)
         level += 1
 
 
