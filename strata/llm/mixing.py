@@ -165,29 +165,35 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple =
 
 
 def _deal(slim: DataFrame, cells: DataFrame, goals: DataFrame) -> DataFrame:
-    """Give each cell's copies to its documents: everyone the same, the smallest hashes one more."""
+    """Give each cell's copies to its documents: everyone the same, the smallest hashes one more.
+
+    Rows of one id are counted first and dealt with as one entry, so a repeated id is no group of rows."""
     c = cells.select(F.col("source").alias("c_source"), F.col("size").alias("c_size"), "n",
                      F.floor(F.col("m") / F.col("n")).alias("each"),
                      (F.col("m") % F.col("n")).alias("extra"))
     h = F.xxhash64(F.lit(17), F.col("doc_id").cast("string"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.lit(1))
-    d = slim.join(c, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("size") == F.col("c_size")))
+    ids = slim.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows"))
+    d = ids.join(c, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("size") == F.col("c_size")))
     d = d.withColumn("h", h).withColumn("block", F.when(F.col("extra") > 0, F.pmod(F.col("h"), blocks)).otherwise(0))
-    whole = d.filter(F.col("extra") == 0).select("doc_id", "source", "size", F.col("each").alias("copies"))
+    whole = d.filter(F.col("extra") == 0).select("doc_id", "source", "size", "rows", "each", F.lit(0).cast("long").alias("more"))
     part = d.filter(F.col("extra") > 0)
-    counts = part.groupBy("source", "size", "block").agg(F.count("*").alias("in_block"))
+    counts = part.groupBy("source", "size", "block").agg(F.sum("rows").alias("in_block"))
     prior = F.coalesce(F.sum("in_block").over(W.partitionBy("source", "size").orderBy("block")
                                               .rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     counts = counts.select(F.col("source").alias("b_source"), F.col("size").alias("b_size"),
                            F.col("block").alias("b_block"), prior.alias("prior"))
-    rank = F.row_number().over(W.partitionBy("source", "size", "block").orderBy("h", F.col("doc_id").cast("string")))
-    part = part.withColumn("rank", rank).join(
+    earlier = W.partitionBy("source", "size", "block").orderBy("h", F.col("doc_id").cast("string")).rowsBetween(W.unboundedPreceding, -1)
+    part = part.withColumn("earlier", F.coalesce(F.sum("rows").over(earlier), F.lit(0))).join(
         counts, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("size") == F.col("b_size"))
         & (F.col("block") == F.col("b_block")))
-    part = part.select("doc_id", "source", "size",
-                       (F.col("each") + F.when(F.col("prior") + F.col("rank") <= F.col("extra"), 1).otherwise(0)).alias("copies"))
+    # of the cell's rows in this order the first ``extra`` get one more
+    more = F.greatest(F.lit(0), F.least(F.col("rows"), F.col("extra") - F.col("prior") - F.col("earlier"))).cast("long")
+    part = part.select("doc_id", "source", "size", "rows", "each", more.alias("more"))
     g = goals.select(F.col("source").alias("g_source"), "source_size", "target")
     out = whole.unionByName(part).join(g, F.col("source").eqNullSafe(F.col("g_source")))
+    out = out.withColumn("at", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
+    out = out.withColumn("copies", F.col("each") + F.when(F.col("at") <= F.col("more"), 1).otherwise(0))
     return out.select("doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target",
                       F.col("copies").cast("long").alias("copies"),
                       (F.col("copies") * F.col("size")).cast("long").alias("taken"))
@@ -195,20 +201,20 @@ def _deal(slim: DataFrame, cells: DataFrame, goals: DataFrame) -> DataFrame:
 
 def take(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple = WEIGHTS) -> DataFrame:
     """The mixture itself: each row of ``docs`` as often as the mix takes it; columns as given."""
-    key = [F.col("doc_id").alias("t_id"), F.col("source").alias("t_source"), F.col("size").alias("t_size")]
     mixed = cut(mix(docs, share, cap, weights), "mix")
-    per = mixed.groupBy(*key).agg(F.array_sort(F.collect_list("copies")).alias("t_copies"))
-    many = per.filter(F.size("t_copies") > 1)
-    same = (F.col("doc_id").eqNullSafe(F.col("t_id")) & F.col("t_source").eqNullSafe(F.col("source").cast("string"))
-            & (F.col("t_size") == word_count("text")))
-    # rows alike in id, source and size differ in copies only: number those few, take the rest as they are
-    j = docs.join(per, same)
-    if many.isEmpty():
-        n = F.get("t_copies", F.lit(0))
-    else:
-        rank = F.row_number().over(W.partitionBy("t_id", "t_source", "t_size").orderBy("text"))
-        j = j.filter(F.size("t_copies") == 1).withColumn("t_rank", F.lit(1)).unionByName(
-            j.filter(F.size("t_copies") > 1).withColumn("t_rank", rank))
-        n = F.get("t_copies", F.col("t_rank") - 1)
-    j = j.withColumn("t_n", n).filter("t_n > 0")
-    return j.withColumn("t_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("t_n")))).select(*docs.columns)
+    # rows alike in id, source and size have copies that differ by one at most: some of them get one more
+    per = mixed.groupBy(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size")) \
+        .agg(F.count("*").alias("rows"), F.sum("copies").alias("copies"))
+    per = per.select("m_id", "m_source", "m_size", F.expr("copies div rows").alias("each"), F.expr("copies % rows").alias("more"))
+    # the given columns travel in one struct, so whatever they are called meets no name used here
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"),
+                    F.col("source").cast("string").alias("source"), word_count("text").alias("size"))
+    j = d.join(per, F.col("id").eqNullSafe(F.col("m_id")) & F.col("source").eqNullSafe(F.col("m_source")) & (F.col("size") == F.col("m_size")))
+    some = per.filter("more > 0")
+    n = F.col("each")
+    if not some.isEmpty():
+        rank = F.row_number().over(W.partitionBy("id", "source", "size").orderBy("row.text"))
+        j = j.filter("more = 0").withColumn("rank", F.lit(1)).unionByName(j.filter("more > 0").withColumn("rank", rank))
+        n = n + F.when(F.col("rank") <= F.col("more"), 1).otherwise(0)
+    j = j.withColumn("n", n.cast("long")).filter("n > 0")
+    return j.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select("row.*")

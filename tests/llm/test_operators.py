@@ -76,6 +76,24 @@ def test_mixing_odd_rows(spark):
     assert mixing.mix(d.limit(0)).count() == 0
 
 
+def test_mixing_with_clashing_names_and_a_hot_id(spark):
+    rows = [(i % 40, f"w{i % 7} " * (i % 5), f"s{i % 3}", 1, 2, 3, 4, 5, 6, 7, 8) for i in range(200)]
+    rows += [(999, "same text here", "s1", 1, 2, 3, 4, 5, 6, 7, 8)] * 100 + [(999, None, None, 1, 2, 3, 4, 5, 6, 7, 8)] * 3
+    names = "doc_id long, text string, source string, t_id int, t_source int, size int, m_id int, copies int, rank int, row int, rows int"
+    d = spark.createDataFrame(rows, names)
+    mixed = mixing.mix(d)
+    assert mixed.count() == 303
+    out = mixing.take(d)
+    assert out.columns == d.columns
+    taken = Counter((r.doc_id, r.source, len((r.text or "").split())) for r in out.collect())
+    want = Counter()
+    for r in mixed.collect():
+        want[r.doc_id, r.source, r["size"]] += r.copies
+    assert taken == +want
+    hot = [r.copies for r in mixed.filter("doc_id = 999 AND source = 's1'").collect()]
+    assert len(hot) == 100 and max(hot) - min(hot) <= 1
+
+
 # --- 2: quality -------------------------------------------------------------
 
 def test_quality_held_out(spark):
