@@ -155,7 +155,7 @@ def q_dim_user_current(spark, d):
 
 def q_dim_schemas(spark, d):
     dims = cdc.split_routes(batch.routed_cdc(spark, d))[cdc.ROUTE_DIM]
-    return cdc.dim_schemas(cdc.dim_changes(dims), fx.routing_rules(spark))
+    return cdc.dim_layout(cdc.dim_changes(dims), fx.routing_rules(spark))
 
 
 def q_rules_scan(spark, d):
