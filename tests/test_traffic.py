@@ -152,7 +152,7 @@ def test_batch_plans_have_no_python(spark):
     import __spark_entry__ as E
     for name, q in E.queries().items():
         if name.startswith("stream_"):
-            continue  # the streaming twins run their keyed state in Python by design
+            continue  # each runs a job; their state is checked in test_state_tables
         p = plan(q(spark, SF))
         assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "FlatMapGroupsInPandas" not in p, name
     assert F is not None
