@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import json
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -40,7 +41,7 @@ from strata.llm.common import Buffer, cut, rows_of, slices
 
 CAPACITY, SEPARATOR = 4096, 1
 #: Distinct words (and chunks) a Python worker remembers in each of two generations, about 200 bytes each.
-CACHE = 150_000
+CACHE = 400_000
 FAN_IN = 16
 #: Pieces that a task packs again at most, about 50 bytes each.
 TASK_PIECES = 1 << 20
@@ -89,7 +90,8 @@ class Ids:
             got = self.old_words.get(w)
             if got is None:
                 shown = w if w.isascii() and w.isprintable() else "".join([_SHOWN[b] for b in w.encode("utf-8")])
-                got = np.asarray([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+                ids = [t.id for t in self.model.tokenize(shown)]
+                got = struct.pack(f"<{len(ids)}I", *ids)
             self.words[w] = got
         return got
 
@@ -102,7 +104,13 @@ class Ids:
             return got
         text = c.decode("utf-8", "surrogatepass")
         if max(text) < "\u0250" and "\u0130" not in text and "<|" not in text:
-            got = b"".join([self._word(w) for w in self.find(text.lower())])
+            text = text.lower()
+            if text.isalpha():
+                got = self._word(text)
+            elif text[-1] in ",." and text[:-1].isalpha():  # as the pattern splits it, without asking it
+                got = self._word(text[:-1]) + self._word(text[-1])
+            else:
+                got = b"".join([self._word(w) for w in self.find(text)])
         else:
             got = np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         self.chunks[c] = got

@@ -460,6 +460,17 @@ def test_ids_equal_the_tokenizer(docs):
         assert np.frombuffer(ids.of(t), "<u4").tolist() == [*want, 1]
 
 
+def test_words_are_split_as_the_pattern_does():
+    """Plain words, and words before a comma or a full stop, don't go through the pattern; ids are the tokenizer's."""
+    ids = packing.Ids(packing.default_tokenizer())
+    asked, find = [], ids.find
+    ids.find = lambda t: asked.append(t) or find(t)
+    text = "Plain, w\u00f6rter. Stra\u00dfe \u00aa. don't l'ami. x1. 1. ,. a., \u0130a. \u01c5. a\u00ad. , ."
+    got = np.frombuffer(ids.of(text), "<u4").tolist()
+    assert got == [*ids.tok.encode(text, add_special_tokens=False).ids, packing.SEPARATOR]
+    assert not {"plain,", "w\u00f6rter.", "stra\u00dfe", "\u00aa."} & set(asked) and "don't" in asked
+
+
 def test_packing(spark, docs):
     got = queries.op8_packing(spark, SF).collect()
     ids = packing.Ids(packing.default_tokenizer())
