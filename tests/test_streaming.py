@@ -210,3 +210,20 @@ def test_order_topics_in_slices_of_time(spark):
     for i in replay.publish_slices({"t": [(t, F.col("ts"))]}, root, [6_000, 9_000]):
         seen.append(spark.read.parquet(f"{root}/t").count())
     assert seen == [2, 3, 4]  # a row without a time comes first
+
+
+def test_topics_are_spread_over_the_cores(spark, monkeypatch):
+    """The files that a streaming query publishes from a table of one row group are even, one for each core."""
+    published, publish = [], topics.publish
+
+    def seen(df, root, topic, as_json=True):
+        publish(df, root, topic, as_json)
+        published.append([r[1] for r in spark.read.parquet(f"{root}/{topic}").groupBy(F.input_file_name()).count().collect()])
+
+    monkeypatch.setattr(topics, "publish", seen)
+    cores = spark.sparkContext.defaultParallelism
+    assert catalog.q_stream_visitor_flag_repair(spark, SF).count() > 0
+    assert len(published[0]) == cores and max(published[0]) - min(published[0]) <= cores
+    published.clear()
+    assert catalog.q_stream_route_refresh(spark, SF).count() > 0
+    assert [len(p) for p in published] == [cores, 2 * cores, 3 * cores]
