@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from strata.llm.common import Buffer, cut, rows_of, slices
+from strata.llm.common import Buffer, cut, forget, rows_of, slices
 from strata.llm.components import components
 
 N, PERCENT = 3, 90
@@ -55,6 +55,10 @@ N, PERCENT = 3, 90
 MISS, MINIMA = 1e-9, 160
 #: Sets of a block, and bytes of them with what a set costs besides its hashes.
 SHARD, SHARD_BYTES, SET_BYTES = 1024, 8 << 20, 256
+#: Rounds of the search, each with a part of the pairs of blocks; the shuffle files of one go before the next.
+ROUNDS = 4
+#: Bits of the map of wanted doc_ids, 4 KB for each 32768; with more ids than bits it lets more texts through.
+MAP_BITS = 1 << 24
 #: DivideSkip's weight of a heap step against a look-up.
 MU = 0.0085
 WORD_CACHE = 50_000
@@ -250,6 +254,16 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(k[0]), int(k[1])
 
 
+def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``rep`` is among ``ids`` and a few others, by a bit map of hashes, without a shuffle of ``docs``."""
+    at = F.pmod(F.xxhash64("rep"), F.lit(MAP_BITS)) + 1
+    maps = ids.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    found = docs.withColumn("at", at).withColumn("bucket", F.bitmap_bucket_number("at")).join(F.broadcast(maps), "bucket")
+    byte = F.expr("cast(conv(hex(substring(bits, cast(bitmap_bit_position(at) div 8 + 1 as int), 1)), 16, 10) as int)")
+    return found.filter(F.getbit(byte, F.expr("cast(bitmap_bit_position(at) % 8 as int)")) == 1).select(*docs.columns)
+
+
 def _sets(docs: DataFrame, need: DataFrame, n: int) -> DataFrame:
     """(node, s): the sets of ``need`` (node, rep, k1, k2, many) only; ``many``: rep is the id of several rows."""
     schema = pa.schema([("node", pa.int64()), ("many", pa.bool_()), ("s", pa.binary())])
@@ -265,7 +279,7 @@ def _sets(docs: DataFrame, need: DataFrame, n: int) -> DataFrame:
         yield out.flush()
 
     d = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
-    sets = cut(d.join(need, "rep").select("node", "many", "k1", "k2", "text")
+    sets = cut(_wanted(d, need).join(need, "rep").select("node", "many", "k1", "k2", "text")
                .mapInArrow(run, "node long, many boolean, s binary"), "jaccard-postings")
     several = sets.filter("many").groupBy("node").agg(F.first("s").alias("s"))
     return sets.filter("NOT many").select("node", "s").union(several)
@@ -328,13 +342,17 @@ def _linked(docs: DataFrame, n: int, percent: int, shard: int = SHARD) -> DataFr
         .filter("a <> z AND size > 0").select("key")
     # a linked set is at most 100/percent times as large, so its band is the same or the next
     width = math.log(100 / percent) * 1.000001 if percent < 100 else 1.0
-    met = cut(keys.join(shared, "key").withColumn("band", F.floor(F.log("size") / width)), "jaccard-keys")
-    met = met.join(_near(met, "node").filter("lo <> hi"), ["key", "band"])
+    by_key = cut(keys.join(shared, "key").withColumn("band", F.floor(F.log("size") / width)), "jaccard-keys")
+    rows = cut(sig.drop("bands", "row"), "jaccard-rows")
+    forget(sig)
+    met = by_key.join(_near(by_key, "node").filter("lo <> hi"), ["key", "band"])
     low = met.groupBy("key", "band").agg(F.min("node").alias("a"), F.count("*").alias("n"))
     met = cut(met.drop("lo", "hi").join(low, ["key", "band"]), "jaccard-met")
-    many = sig.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("rep"), F.lit(True).alias("many"))
+    forget(by_key)
+    many = rows.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("rep"), F.lit(True).alias("many"))
     need = nodes.join(met.select("node").distinct(), "node").join(many, "rep", "left") \
         .withColumn("many", F.coalesce("many", F.lit(False)))
+    need = cut(need, "jaccard-need")
     sets = _sets(docs, need, n)
     pairs = met.filter("node <> a").select("a", F.col("node").alias("b")).distinct()
     edges = cut(_verify(pairs, sets, percent), "jaccard-edges")
@@ -345,14 +363,15 @@ def _linked(docs: DataFrame, n: int, percent: int, shard: int = SHARD) -> DataFr
     left = cut(left, "jaccard-left")
     apart = _near(left, "known").filter("lo <> hi").select("key", "band")
     left = cut(left.join(apart, ["key", "band"], "left_semi"), "jaccard-left")
-    far = cut(_rest(left, sets, percent, shard), "jaccard-edges")
+    far = _rest(left, sets, percent, shard)
+    forget(met, sets)
     if not far.isEmpty():
         comp = components(far.union(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     both = nodes.join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left") \
         .select("k1", "k2", "rep", F.coalesce("component", "node").alias("component"))
     smallest = both.groupBy("component").agg(F.min("rep").alias("component_id"))
     found = both.join(smallest, "component").select("k1", "k2", "component", "component_id")
-    return sig.join(found, ["k1", "k2"], "left") \
+    return rows.join(found, ["k1", "k2"], "left") \
         .select("doc_id", "n_shingles", "k1", "k2", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
@@ -372,11 +391,17 @@ def _tasks(left: DataFrame, shard: int) -> DataFrame:
 
 
 def _rest(left: DataFrame, sets: DataFrame, percent: int, shard: int) -> DataFrame:
-    """Edges between the components of keys that hold several, by an exact search in pairs of blocks."""
-    d = _tasks(left, shard).join(sets, "node").select("node", "known", "s", F.explode("m").alias("m")) \
-        .select("node", "known", "s", "m.key", "m.block", F.explode("m.pairs").alias("p"))
-    return d.select("node", "known", "s", "key", "block", "p.i", "p.j").groupBy("key", "i", "j") \
-        .applyInArrow(_search(percent), "a long, b long").distinct()
+    """Edges between the components of keys that hold several, by an exact search in pairs of blocks, ``ROUNDS`` of them."""
+    d = _tasks(left, shard).select("node", "known", F.explode("m").alias("m")) \
+        .select("node", "known", "m.key", "m.block", F.explode("m.pairs").alias("p"))
+    d = cut(d.select("node", "known", "key", "block", "p.i", "p.j"), "jaccard-tasks")
+    found = None
+    for k in range(ROUNDS):
+        part = d.filter(F.pmod(F.xxhash64("key", "i", "j"), F.lit(ROUNDS)) == k).join(sets, "node")
+        part = cut(part.select("node", "known", "s", "key", "block", "i", "j").groupBy("key", "i", "j")
+                   .applyInArrow(_search(percent), "a long, b long").distinct(), "jaccard-edges")
+        found = part if found is None else found.union(part)
+    return found
 
 
 def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -389,6 +414,7 @@ def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     often = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
     gone, often = cut(gone, "jaccard-gone"), cut(often, "jaccard-often")
     if often.isEmpty():
+        forget(found)
         return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     once = docs.join(gone.union(often), "doc_id", "left_anti")
     stay = found.filter("doc_id = component_id").join(often, "doc_id", "left_semi") \

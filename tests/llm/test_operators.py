@@ -1,7 +1,9 @@
 """Each operator against brute force, an exact round trip or held-out accuracy."""
 
+import glob
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -9,7 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import chat, embed, hmm, jaccard, langid, mixing, packing, quality, queries, rules, template
+from strata.config import checkpoint_dir
+from strata.llm import chat, common, embed, hmm, jaccard, langid, mixing, packing, quality, queries, rules, template
 
 SF = "/root/testdata/sf0.001"
 
@@ -329,6 +332,46 @@ def test_jaccard_splits_shards_by_bytes(spark):
     assert len({x.block for x in m}) > 1 and max(Counter(x.block for x in m).values()) < 30
 
 
+def test_jaccard_shuffles_the_texts_wanted(spark):
+    docs = spark.range(40_000).selectExpr("id AS rep", "cast(id AS string) AS text").union(
+        spark.createDataFrame([(None, "none"), (7, "again")], "rep long, text string"))
+    got = jaccard._wanted(docs, spark.createDataFrame([(7,), (7,), (31_000,), (50_000,)], "rep long"))
+    assert got.columns == docs.columns
+    texts = [r.text for r in got.collect()]
+    assert {"7", "again", "31000"} <= set(texts) and len(texts) == len(set(texts)) < 50
+    assert jaccard._wanted(docs, spark.createDataFrame([], "rep long")).count() == 0
+
+
+def test_jaccard_rounds_share_the_work(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "ROUNDS", 3)
+    texts = near_texts(5)
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    comp, _ = brute_components(texts, 5, 80)
+    assert {r.doc_id: r.component_id for r in jaccard.link(d, 5, 80, 2).collect()} == comp
+
+
+def test_used_up_files_go(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def there():
+        now = files.getAllFiles()
+        names = [now.apply(i).getName() for i in range(now.size())]
+        return {x for x in names if x.startswith("shuffle_") and x.endswith(".data")}
+
+    def tables():
+        root = checkpoint_dir(spark).removeprefix("file://")
+        return {x for t in ("sets", "keys", "met", "postings") for x in glob.glob(f"{root}/strata-llm/jaccard-{t}-*")}
+
+    before, was = there(), tables()
+    common.cut(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "freed")
+    for _ in range(40):
+        if not (left := there() - before):
+            break
+        time.sleep(0.25)
+    d = spark.createDataFrame(list(near_texts(6).items()), "doc_id long, text string")
+    assert jaccard.keep_one(d).count() and not left and tables() == was
+
+
 def test_divide_skip_merges_long_and_short_lists():
     rng = random.Random(8)
     base = [rng.randrange(2**60) for _ in range(400)]
