@@ -24,7 +24,8 @@ looked up in the long lists by binary search. Partners already connected need
 no look-up, since the result is the components.
 
 A shard of more than ``SHARD`` sets or ``SHARD_BYTES`` is split in blocks by hash, and
-each pair of blocks is a task: a task holds two blocks, however common a key is.
+each pair of blocks is a task: a task holds two blocks, however common a key is. The
+tasks run in ``ROUNDS`` rounds, and files go when nothing reads them any more, to spare disk.
 
 Defined cases: null and blank texts have no n-grams and stay alone; texts
 shorter than n words are one n-gram; a null doc_id gets a null component; rows
