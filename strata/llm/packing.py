@@ -37,11 +37,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Buffer, cut, rows_of, slices
+from strata.llm.common import Buffer, cut, kept, slices
 
 CAPACITY, SEPARATOR = 4096, 1
-#: Distinct words (and chunks) a Python worker remembers in each of two generations, about 200 bytes each.
-CACHE = 400_000
+#: Words and chunks a Python worker remembers in each of two generations, about 150 bytes each, and the bytes of the
+#: longest it remembers: texts without spaces are long chunks that hardly come again.
+CACHE, CHUNK_BYTES = 250_000, 64
 FAN_IN = 16
 #: Pieces that a task packs again at most, about 50 bytes each.
 TASK_PIECES = 1 << 20
@@ -74,34 +75,36 @@ class Ids:
         pre = json.dumps(spec.get("pre_tokenizer") or {})
         self.by_word = (json.dumps(SPLIT)[1:-1] in pre and '"behavior": "Removed"' in pre and '"invert": true' in pre
                         and spec["model"]["type"] == "BPE")
-        # a full generation becomes the old one; what is asked for again moves on, so rare words fall out
-        self.chunks: dict[bytes, bytes] = {}
-        self.old_chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
+        # a full generation becomes the old one; what is asked for again moves on, so rare words fall out;
+        # a word has the ids of a chunk that is just this word, so both are kept together
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.find = regex.compile(SPLIT).findall
         self.model = self.tok.model
 
+    def _keep(self, c: bytes, ids: bytes) -> bytes:
+        if len(c) <= CHUNK_BYTES:
+            if len(self.known) >= CACHE:
+                self.known, self.old = {}, self.known
+            self.known[c] = ids
+        return ids
+
     def _word(self, w: str) -> bytes:
-        got = self.words.get(w)
+        c = w.encode("utf-8")
+        got = self.known.get(c)
         if got is None:
-            if len(self.words) >= CACHE:
-                self.words, self.old_words = {}, self.words
-            got = self.old_words.get(w)
+            got = self.old.get(c)
             if got is None:
-                shown = w if w.isascii() and w.isprintable() else "".join([_SHOWN[b] for b in w.encode("utf-8")])
+                shown = w if w.isascii() and w.isprintable() else "".join([_SHOWN[b] for b in c])
                 ids = [t.id for t in self.model.tokenize(shown)]
                 got = struct.pack(f"<{len(ids)}I", *ids)
-            self.words[w] = got
+            self._keep(c, got)
         return got
 
     def _chunk(self, c: bytes) -> bytes:
-        if len(self.chunks) >= CACHE:
-            self.chunks, self.old_chunks = {}, self.chunks
-        got = self.old_chunks.get(c)
+        got = self.old.get(c)
         if got is not None:
-            self.chunks[c] = got
-            return got
+            return self._keep(c, got)
         text = c.decode("utf-8", "surrogatepass")
         if max(text) < "\u0250" and "\u0130" not in text and "<|" not in text:
             text = text.lower()
@@ -113,8 +116,7 @@ class Ids:
                 got = b"".join([self._word(w) for w in self.find(text)])
         else:
             got = np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        self.chunks[c] = got
-        return got
+        return self._keep(c, got)
 
     def of(self, text: str | None) -> bytes:
         """Ids of a text, separator included."""
@@ -123,7 +125,7 @@ class Ids:
         if not self.by_word:
             return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + _END
         chunks = text.encode("utf-8", "surrogatepass").split()
-        parts = list(map(self.chunks.get, chunks))
+        parts = list(map(self.known.get, chunks))
         if None in parts:
             for i, got in enumerate(parts):
                 if got is None:
@@ -141,14 +143,11 @@ def _byte_letters() -> list[str]:
 
 _SHOWN = _byte_letters()
 _END = np.asarray([SEPARATOR], "<u4").tobytes()
-_LOADED: dict[str, Ids] = {}
 
 
 def loaded(path: str) -> Ids:
     """The tokenizer of this Python worker, its known words kept from task to task."""
-    if path not in _LOADED:
-        _LOADED[path] = Ids(path)
-    return _LOADED[path]
+    return kept(("ids", path), lambda: Ids(path))
 
 
 PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -165,7 +164,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         ids, out = loaded(path), Buffer(schema, 4096)
-        for b in slices(batches):
+        for b in slices(batches, ("ids", path)):
             doc, text = (b.column(b.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "text"))
             for doc_id, body in zip(doc, text):
                 raw, step = ids.of(body), 4 * capacity

@@ -1,9 +1,11 @@
 """Each operator against brute force, an exact round trip or held-out accuracy."""
 
+import gc
 import glob
 import math
 import random
 import time
+import weakref
 import zlib
 from collections import Counter
 
@@ -514,6 +516,28 @@ def test_words_are_split_as_the_pattern_does():
     assert not {"plain,", "w\u00f6rter.", "stra\u00dfe", "\u00aa."} & set(asked) and "don't" in asked
 
 
+def test_known_words_are_bounded(monkeypatch):
+    """One pair of generations holds words and chunks, none of a long one; ids stay the tokenizer's."""
+    monkeypatch.setattr(packing, "CACHE", 50)
+    ids = packing.Ids(packing.default_tokenizer())
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    for text in (" ".join(words), " ".join(w + "," for w in words), " ".join(words[::-1]), "\u65e5\u672c" * 40, "ab." * 40):
+        want = ids.tok.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids.of(text), "<u4").tolist() == [*want, packing.SEPARATOR]
+        held = [k for d in vars(ids).values() if isinstance(d, dict) for k in d]
+        assert len(held) <= 2 * 50 and all(len(k) <= 64 for k in held)
+
+
+def test_a_worker_keeps_what_one_operator_needs():
+    """Known words go when another operator's rows come, and stay while packing reads its own."""
+    path = packing.default_tokenizer()
+    ids = weakref.ref(packing.loaded(path))
+    assert packing.loaded(path) is ids()
+    list(common.rows_of(iter([]), []))
+    gc.collect()
+    assert ids() is None
+
+
 def test_packing(spark, docs):
     got = queries.op8_packing(spark, SF).collect()
     ids = packing.Ids(packing.default_tokenizer())
