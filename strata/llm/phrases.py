@@ -30,7 +30,7 @@ empty table gives an empty result; columns other than text and lang are ignored.
 from __future__ import annotations
 
 import struct
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +47,7 @@ MOST, LEAST, TOP, PERCENT = 5, 100, 2000, 100
 UNKNOWN = "und"
 #: Words sorted in one go; characters of text whose n-grams make a prefix range; sampled n-grams
 #: a range; part look-ups answered by one task.
-SHARD_WORDS, RANGE_CHARS, SAMPLE, QUERY_ROWS = 1 << 20, 8 << 20, 64, 1 << 18
+SHARD_WORDS, RANGE_CHARS, SAMPLE, QUERY_ROWS = 1 << 20, 16 << 20, 64, 1 << 18
 
 _BREAK, _BLANK = rb".,;:!?" + bytes(range(0x0A, 0x0E)), b" \t"
 _IS_WORD = np.ones(256, bool)
@@ -62,63 +62,117 @@ Border = tuple[bytes, ...]  # (language, words)
 
 # --- words ------------------------------------------------------------------
 
-def tokens(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]:
-    """(words, piece number, row) of all texts of a string array."""
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(words, whether each is the first of its piece, number of words of each text) of all texts of a string array."""
     texts = texts.cast(pa.large_string()).fill_null("")
     at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[at[0]:at[-1]]
     at = at - at[0]
-    word = _IS_WORD[data]
-    first = np.zeros(len(data) + 1, bool)
-    first[at] = True
-    before, after = np.r_[False, word][:-1] & ~first[:-1], np.r_[word, False][1:] & ~first[1:]
-    starts, ends = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
+    word, first = _IS_WORD[data], np.zeros(len(data), bool)
+    first[at[:-1][at[:-1] < len(data)]] = True
+    begin, end = word.copy(), word.copy()
+    begin[1:] &= ~word[:-1] | first[1:]
+    end[:-1] &= ~word[1:] | first[1:]
+    starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
     offsets = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(ends - starts, out=offsets[1:])
-    values = _FOLD[data[word]]
-    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
-    piece = np.cumsum(_IS_BREAK[data] | first[:-1])[starts]
-    return words.dictionary_encode(), piece, np.searchsorted(at, starts, "right") - 1
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(_FOLD[data[word]])])
+    piece = np.cumsum(_IS_BREAK[data] | first, dtype=np.int32 if len(data) < 1 << 31 else np.int64)[starts]
+    return words, np.r_[True, piece[1:] != piece[:-1]][:len(piece)], np.diff(np.searchsorted(starts, at))
 
 
 class Shard:
     """Words of texts, ready to be sorted into n-grams."""
 
     def __init__(self):
-        self.words: dict[bytes, int] = {}
         self.langs: dict[bytes, int] = {}
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.size = self.pieces = 0
+        self.parts: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
+        self.size = 0
 
     def add(self, texts: pa.Array, langs: list[str | None]) -> None:
-        words, piece, row = tokens(texts)
-        if not len(piece):
+        words, first, per_text = tokens(texts)
+        if not len(words):
             return
-        number = np.array([self.words.setdefault(w, len(self.words)) for w in words.dictionary.to_pylist()], np.int32)
         lang = np.array([self.langs.setdefault((UNKNOWN if l is None else l).encode(), len(self.langs)) for l in langs], np.int32)
-        self.parts.append((number[words.indices.to_numpy()], piece + self.pieces, lang[row]))
-        self.pieces += int(piece[-1])
-        self.size += len(piece)
+        self.parts.append((words, first, np.repeat(lang, per_text)))
+        self.size += len(words)
 
-    def ngrams(self, most: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    def ngrams(self, most: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """(labels in byte order from number 1, sorted distinct rows of (language, words, 0 past the end), counts)."""
-        names = sorted(set(self.words) | set(self.langs))
-        rank = {w: i + 1 for i, w in enumerate(names)}
-        ids, piece, lang = (np.concatenate(c) for c in zip(*self.parts))
-        ids = np.array([rank[w] for w in self.words], np.int32)[ids]
-        n = len(ids)
-        end = np.r_[np.flatnonzero(piece[1:] != piece[:-1]) + 1, n]
-        end = end[np.searchsorted(end, np.arange(n), "right")]
-        cols = [np.array([rank[x] for x in self.langs], np.int32)[lang], ids]
+        words, first, lang = zip(*self.parts)
+        self.parts = []  # a shard is read once
+        coded = pa.concat_arrays([*words, pa.array(list(self.langs), pa.large_binary())]).dictionary_encode()
+        first, lang, words = np.concatenate(first), np.concatenate(lang), None
+        by = pc.array_sort_indices(coded.dictionary)
+        names = coded.dictionary.take(by)
+        rank = np.empty(len(names), np.int32)
+        rank[by.to_numpy()] = np.arange(1, len(names) + 1, dtype=np.int32)
+        ids = rank[coded.indices.to_numpy()]
+        ids, langs = ids[:len(first)], ids[len(first):]
+        ends = np.r_[np.flatnonzero(first)[1:], len(ids)]
+        left = np.repeat(ends.astype(np.int32), np.diff(np.r_[0, ends]))  # words to the end of the piece
+        left -= np.arange(len(ids), dtype=np.int32)
+        cols = [langs[lang], ids]
         for k in range(1, most):
-            c = np.zeros(n, np.int32)
-            c[:n - k] = ids[k:]
-            c[np.arange(n) + k >= end] = 0
+            c = np.zeros(len(ids), np.int32)
+            c[:-k] = ids[k:]
+            c[left <= k] = 0
             cols.append(c)
-        rows = np.stack(cols, 1)[_order(cols, len(names))]
-        new = np.r_[True, (rows[1:] != rows[:-1]).any(1)]
-        at = np.flatnonzero(new)
-        return names, rows[at], np.diff(np.r_[at, n])
+        return names, *_counts(cols, len(names))
+
+
+def _counts(cols: list[np.ndarray], largest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct rows of the columns, whose numbers are at most ``largest``, and how often each comes.
+
+    The last columns that fit are packed in a number and numbered in their order; where that number and the other columns
+    fit in one, it is sorted as it is and the rows are read back from it."""
+    bits = max(1, int(largest).bit_length())
+    cut = max(1, len(cols) - 63 // bits)
+    tails, tail = _numbered(_packed(cols[cut:], bits))
+    used = np.zeros(int(largest) + 1, bool)
+    used[cols[0]] = True
+    heads, head = np.flatnonzero(used), (np.cumsum(used) - 1)[cols[0]]  # few languages
+    sizes = [len(heads).bit_length(), *[bits] * (cut - 1), len(tails).bit_length()]
+    if sum(sizes) > 63:
+        rows = np.stack(cols, 1)[_order(cols, largest)]
+        at = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(1)])
+        return np.asfortranarray(rows[at]), np.diff(np.r_[at, len(rows)])
+    key = head.astype(np.int64)
+    for c, size in zip([*cols[1:cut], tail], sizes[1:]):
+        key <<= size
+        key |= c
+    key.sort()
+    at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    counts, key = np.diff(np.r_[at, len(key)]), key[at]
+    rows = np.empty((len(key), len(cols)), np.int32, "F")
+    rest = tails[key & ((1 << sizes[-1]) - 1)]
+    for j in reversed(range(cut, len(cols))):
+        rows[:, j] = rest & ((1 << bits) - 1)
+        rest >>= bits
+    key >>= sizes[-1]
+    for j in reversed(range(1, cut)):
+        rows[:, j] = key & ((1 << bits) - 1)
+        key >>= bits
+    rows[:, 0] = heads[key]
+    return rows, counts
+
+
+def _packed(cols: list[np.ndarray], bits: int) -> np.ndarray:
+    key = cols[0].astype(np.int64)
+    for c in cols[1:]:
+        key <<= bits
+        key |= c
+    return key
+
+
+def _numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct numbers in order, each one's place among them)."""
+    by = np.argsort(key)
+    there = key[by]
+    new = np.r_[True, there[1:] != there[:-1]][:len(key)]
+    place = np.empty(len(key), np.int64)
+    place[by] = np.cumsum(new) - 1
+    return there[new], place
 
 
 def _order(cols: list[np.ndarray], largest: int) -> np.ndarray:
@@ -141,19 +195,25 @@ class Automaton:
     ``names[i]`` is the text of label i + 1; label 0 ends a path early.
     """
 
-    def __init__(self, names: list[bytes], layers: list[tuple[np.ndarray, ...]]):
+    def __init__(self, names: pa.Array, layers: list[tuple[np.ndarray, ...]]):
         self.names, self.layers = names, layers  # a layer: arcs of each state, label, weight, target
 
     @classmethod
-    def build(cls, names: list[bytes], rows: np.ndarray, counts: np.ndarray) -> Automaton:
+    def build(cls, names: pa.Array, rows: np.ndarray, counts: np.ndarray) -> Automaton:
         """From sorted distinct rows of labels with counts; only names in use are kept."""
-        use = np.zeros(len(names) + 1, bool)
-        use[rows] = True
-        use[0] = False
-        rows = np.cumsum(use)[rows] * (rows > 0)
         m, depth = rows.shape
+        if rows.size * 8 < len(names):  # few of many names: nothing here takes time for the others
+            use, place = np.unique(rows, return_inverse=True)
+            rows = (place + (use[0] > 0)).reshape(m, depth)
+            use = use[use > 0]
+        else:
+            used = np.zeros(len(names) + 1, bool)
+            used[rows] = True
+            used[0] = False
+            rows, use = np.cumsum(used, dtype=np.int32)[rows] * (rows > 0), np.flatnonzero(used)
         lead = np.zeros(m, np.int64)  # a row's first label that differs from the row before
-        lead[1:] = (rows[1:] != rows[:-1]).argmax(1)
+        for j in reversed(range(depth)):
+            lead[1:][rows[1:, j] != rows[:-1, j]] = j
         layers, state = [], None  # state: number of the closed state below each arc
         for j in reversed(range(depth)):
             arc = np.flatnonzero(lead <= j)
@@ -162,11 +222,13 @@ class Automaton:
             first = np.flatnonzero(lead[arc] < j) if j else np.zeros(1, np.int64)
             layer, state = _close(first, label, weight, target)
             layers.append(layer)
-        return cls([names[i - 1] for i in np.flatnonzero(use)], layers[::-1])
+        return cls(names.take(pa.array(use - 1)), layers[::-1])
 
     def dump(self) -> bytes:
-        text = b"".join(self.names)
-        arrays = [np.array([len(w) for w in self.names]), np.frombuffer(text, np.uint8)] + [a for layer in self.layers for a in layer]
+        names = self.names
+        ends = np.frombuffer(names.buffers()[1], np.int64)[names.offset:names.offset + len(names) + 1]
+        text = np.frombuffer(names.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+        arrays = [np.diff(ends), text] + [a for layer in self.layers for a in layer]
         out = []
         for a in arrays:
             a = np.ascontiguousarray(a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0)))
@@ -182,10 +244,10 @@ class Automaton:
             size, n = struct.unpack_from("<BQ", raw, at)
             arrays.append(np.frombuffer(raw, f"u{size}", n, at + 9))
             at += 9 + size * n
-        ends = np.cumsum(arrays[0], dtype=np.int64).tolist()
-        text = arrays[1].tobytes()
-        layers = [tuple(a.astype(np.int64) for a in arrays[i:i + 4]) for i in range(2, len(arrays), 4)]
-        return cls([text[a:b] for a, b in zip([0, *ends], ends)], layers)
+        ends = np.zeros(len(arrays[0]) + 1, np.int64)
+        np.cumsum(arrays[0], out=ends[1:])
+        names = pa.Array.from_buffers(pa.large_binary(), len(arrays[0]), [None, pa.py_buffer(ends), pa.py_buffer(arrays[1])])
+        return cls(names, [tuple(arrays[i:i + 4]) for i in range(2, len(arrays), 4)])
 
 
 def _close(first: np.ndarray, label: np.ndarray, weight: np.ndarray, target: np.ndarray):
@@ -198,7 +260,9 @@ def _close(first: np.ndarray, label: np.ndarray, weight: np.ndarray, target: np.
     bits = [int(x.max()).bit_length() if len(x) else 0 for x in (label, weight, target)]
     if sum(bits) <= 63:
         key = (label[arc].astype(np.int64) << bits[1] | weight[arc]) << bits[2] | target[arc]
-        _, pick, which = np.unique(key, return_index=True, return_inverse=True)
+        keys, which = _numbered(key)
+        pick = np.empty(len(keys), np.int64)
+        pick[which] = np.arange(len(one))
     else:
         pick = which = np.arange(len(one))
     number[one] = len(several) + which
@@ -213,30 +277,33 @@ def _span(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(start, size) + np.repeat(first, size)
 
 
-def _together(automata: list[Automaton]):
-    """Layers of all automata in one, on common labels: (names, [(first arc, arcs, label, weight, target)])."""
-    names = pa.array([w for a in automata for w in a.names], pa.large_binary()).dictionary_encode()
-    of, at, number = names.indices.to_numpy().astype(np.int64) + 1, 0, []
-    for a in automata:
-        number.append(np.r_[0, of[at:at + len(a.names)]])
-        at += len(a.names)
-    layers = []
-    for j in range(max((len(a.layers) for a in automata), default=0)):
-        parts = [a.layers[j] for a in automata]
-        size = np.concatenate([p[0] for p in parts])
-        label = np.concatenate([n[p[1]] for n, p in zip(number, parts)])
-        weight = np.concatenate([p[2] for p in parts])
-        below = [len(a.layers[j + 1][0]) if j + 1 < len(a.layers) else 0 for a in automata]
-        target = np.concatenate([p[3] + b for p, b in zip(parts, np.cumsum([0, *below]))])
-        layers.append((np.cumsum(size) - size, size, label, weight, target))
-    return names.dictionary.to_pylist(), layers
+def _together(automata: list[Automaton]) -> tuple[pa.Array, Iterator[tuple[np.ndarray, ...]]]:
+    """Layers of all automata in one, on common labels: (names, (first arc, arcs, label, weight, target) of each layer, made
+    as it is asked for)."""
+    names = pa.concat_arrays([pa.array([], pa.large_binary()), *[a.names for a in automata]]).dictionary_encode()
+    of = names.indices.to_numpy().astype(np.int64) + 1
+    at = np.cumsum([0, *[len(a.names) for a in automata]])
+    number = [np.r_[0, of[i:j]] for i, j in zip(at, at[1:])]
+
+    def layers() -> Iterator[tuple[np.ndarray, ...]]:
+        for j in range(max((len(a.layers) for a in automata), default=0)):
+            parts = [a.layers[j] for a in automata]
+            size = np.concatenate([p[0] for p in parts], dtype=np.int64)
+            label = np.concatenate([n[p[1]] for n, p in zip(number, parts)])
+            weight = np.concatenate([p[2] for p in parts], dtype=np.int64)
+            target = np.concatenate([p[3] for p in parts], dtype=np.int64)
+            below = [len(a.layers[j + 1][0]) if j + 1 < len(a.layers) else 0 for a in automata]
+            target += np.repeat(np.cumsum([0, *below])[:-1], [len(p[3]) for p in parts])
+            yield np.cumsum(size) - size, size, label, weight, target
+
+    return names.dictionary, layers()
 
 
 def union(automata: list[Automaton], least: int, low: Border | None = None,
           high: Border | None = None) -> Iterator[tuple[Border, int, bool]]:
     """(path, summed weight, at a border) of the paths that reach ``least``, lie on a border or are a language."""
     names, layers = _together(automata)
-    number = {w: i + 1 for i, w in enumerate(names)}
+    number = {w: pc.index(names, w).as_py() + 1 for w in {*(low or ()), *(high or ())}}
     state, group = np.arange(len(automata)), np.zeros(len(automata), np.int64)
     paths: list[Border] = [()]
     on = [[0], [0]]  # group that is a prefix of the low, of the high border
@@ -245,21 +312,24 @@ def union(automata: list[Automaton], least: int, low: Border | None = None,
         group = np.repeat(group, size[state])
         arc, group = arc[label[arc] > 0], group[label[arc] > 0]
         key = group * (len(names) + 1) + label[arc]
-        keys, which = np.unique(key, return_inverse=True)
+        keys, which = _numbered(key)
         total = np.zeros(len(keys), np.int64)
         np.add.at(total, which, weight[arc])
         edge = np.zeros(len(keys), bool)
         for side, border in enumerate((low, high)):
-            on[side] = [int(i) for g in on[side] if border and j < len(border) and border[j] in number
+            on[side] = [int(i) for g in on[side] if border and j < len(border) and number[border[j]]
                         for i in np.flatnonzero(keys == g * (len(names) + 1) + number[border[j]])]
             edge[on[side]] = True
         keep = edge | (total >= least) | (j == 0)
         place = np.cumsum(keep) - 1
         on = [[int(place[i]) for i in side] for side in on]
-        paths = [paths[k // (len(names) + 1)] + (names[k % (len(names) + 1) - 1],) for k in keys[keep].tolist()]
+        ends = names.take(pa.array(keys[keep] % (len(names) + 1) - 1)).to_pylist()
+        paths = [paths[k] + (w,) for k, w in zip((keys[keep] // (len(names) + 1)).tolist(), ends)]
         yield from zip(paths, total[keep].tolist(), edge[keep].tolist())
         stay = keep[which]
         state, group = target[arc[stay]], place[which[stay]]
+        if not len(state):
+            return
 
 
 def compose(counts: Automaton, asked: Automaton) -> np.ndarray:
@@ -310,18 +380,20 @@ def borders(docs: DataFrame, most: int = MOST) -> list[Border]:
     return sorted({(r.k.lang.encode(), *(w.encode() for w in r.k.words)) for r in low})[1:]
 
 
-def _cuts(names: list[bytes], rows: np.ndarray, marks: list[Border]) -> list[int]:
+def _cuts(names: pa.Array, rows: np.ndarray, marks: list[Border]) -> list[int]:
     """Where in the sorted rows each border begins."""
-    names_at = np.array(names, object)
+    words = sorted({w for mark in marks for w in mark})
+    known = names.to_pylist()
+    place = [bisect_left(known, w) for w in words]
+    label = {w: (i + 1, i < len(known) and known[i] == w) for w, i in zip(words, place)}
     out = []
     for mark in marks:
         lo, hi = 0, len(rows)
         for j, w in enumerate(mark):
-            i = int(np.searchsorted(names_at, w))
-            here = i < len(names) and names[i] == w
-            left = lo + int(np.searchsorted(rows[lo:hi, j], i + 1))
-            hi = lo + int(np.searchsorted(rows[lo:hi, j], i + 1, "right")) if here else left
-            lo = left
+            i, here = label[w]
+            part = rows[lo:hi, j]
+            left, right = part.searchsorted(np.array([i, i + here], part.dtype)).tolist()
+            lo, hi = lo + left, lo + right
             if lo == hi:
                 break
         out.append(lo)
@@ -389,7 +461,7 @@ def _padded(names: list[bytes], paths: list[Border], depth: int) -> np.ndarray:
 def _automaton(paths: list[Border], counts: list[int], depth: int) -> Automaton:
     """Of sorted distinct paths, each closed by label 0."""
     names = sorted({w for p in paths for w in p})
-    return Automaton.build(names, _padded(names, paths, depth), np.array(counts, np.int64))
+    return Automaton.build(pa.array(names, pa.large_binary()), _padded(names, paths, depth), np.array(counts, np.int64))
 
 
 def parts(phrases: DataFrame, marks: list[Border], most: int = MOST) -> DataFrame:

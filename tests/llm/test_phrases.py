@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -124,6 +125,28 @@ def test_equal_tails_are_one_state():
     assert int(a.layers[0][2].sum()) == 15
 
 
+@pytest.mark.parametrize("largest", [7, 1 << 20, 1 << 30])
+def test_rows_packed_in_numbers_are_the_rows(largest):
+    """All columns in one number, the last ones numbered first, and too wide for either."""
+    rng = random.Random(largest)
+    rows = [(rng.choice([3, 7]), *(rng.choice([0, 1, 6, largest]) for _ in range(5))) for _ in range(3000)]
+    got, counts = phrases._counts([np.array(c, np.int32) for c in zip(*rows)], largest)
+    want = Counter(rows)
+    assert [tuple(r) for r in got.tolist()] == sorted(want)
+    assert counts.tolist() == [want[r] for r in sorted(want)]
+
+
+def test_union_reads_only_layers_below_kept_states():
+    """Automata are kept as narrow as they are stored, and layers that no kept state reaches are not read."""
+    names, rows, counts = shard(["a b c d e f"], ["en"]).ngrams(5)
+    automata = [phrases.Automaton.load(phrases.Automaton.build(names, rows, counts).dump()) for _ in range(3)]
+    assert {x.itemsize for a in automata for layer in a.layers for x in layer} == {1}
+    want = [(p, f) for p, f, _ in phrases.union(automata, 4)]
+    for a in automata:
+        a.layers[3:] = [None] * len(a.layers[3:])
+    assert [(p, f) for p, f, _ in phrases.union(automata, 4)] == want == [((b"en",), 18)]
+
+
 def test_score_is_exact_beyond_64_bits(spark):
     from pyspark.sql import functions as F
     a, l, r, n = 9 * 10**15, 9 * 10**15 + 1, 10**16, 9 * 10**16
