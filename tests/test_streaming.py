@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata import config as C
 from strata import schemas as S
-from strata.operators import orders, traffic
+from strata.operators import cdc, orders, traffic
 from strata.plans import batch, catalog
 from strata.sources import fixtures as fx
 from strata.streaming import jobs, replay, topics
@@ -227,3 +227,51 @@ def test_topics_are_spread_over_the_cores(spark, monkeypatch):
     published.clear()
     assert catalog.q_stream_route_refresh(spark, SF).count() > 0
     assert [len(p) for p in published] == [cores, 2 * cores, 3 * cores]
+
+
+def test_slices_are_moved_to_their_topic_and_go(spark):
+    """A slice's files lie in one place; once its step is over they are gone."""
+    t = spark.createDataFrame([(None,), (5_500,), (6_000,), (9_999,)], "ts long").repartition(3)
+    root = replay.scratch(spark, "slices-gone")
+
+    def rows(path):
+        return spark.read.schema("value string").option("recursiveFileLookup", "true").parquet(f"{root}/{path}").count()
+
+    seen = []
+    for _ in replay.publish_slices({"t": [(t, F.col("ts"))]}, root, [6_000, 9_000], keep=False):
+        seen.append((rows("t"), rows("_feed_t")))
+    assert seen == [(2, 2), (1, 1), (1, 0)]
+    assert rows("t") == 0
+
+
+def test_short_history_is_set_for_its_queries_only(spark):
+    key = "spark.sql.streaming.minBatchesToRetain"
+    before = spark.conf.get(key, None)
+    with replay.short_history(spark):
+        assert spark.conf.get(key) == "2"
+    assert spark.conf.get(key, None) == before
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_change_records_are_parsed_once(spark):
+    pos = F.struct(F.lit(1).cast("bigint").alias("at"), F.lit("a").alias("source"), F.lit(1).cast("bigint").alias("row"))
+    values = ['{"table":"t","type":"insert","data":{"id":7,"x":null}}', '{"table":', None, "[1]", '{"type":"insert","data":{"id":1}}']
+    batch_ = spark.createDataFrame([(v,) for v in values], "value string").repartition(2).select("value", pos.alias("pos"))
+    recs, seen = jobs.read_records(batch_)
+    kept = cdc.etl_filter(recs)
+    assert _plan(kept).count("from_json(") == 1 and _plan(kept).count("parseJson(") == 1
+    assert [tuple(r)[1:4] for r in kept.collect()] == [("t", "insert", '{"id":7,"x":null}')]
+    assert seen.get["n"] == 1
+    # and so are the records of a join's side, whose keys get filters
+    side = jobs._typed(batch_, S.ORDER_INFO)
+    assert _plan(side.filter(F.col("id").isNotNull() & F.col("create_ts").isNotNull())).count("from_json(") == 1
+
+
+def test_fact_texts_equal_payloads_of_parsed_maps(spark):
+    maps = ["{}", None, '{"id":"1","x":null}', '{"id":"1","x":":null"}', '{"a\\"b":"c\\\\d\\n","é":"ü/\\u0001"}', '{"a":"1","a":"2"}', '{"a":"{\\"k\\":null}"}']
+    written = spark.createDataFrame([("t", m) for m in maps], "sink_table string, data string").repartition(1)
+    written = cdc.parse_cdc(written).withColumn("data", F.to_json("data"))
+    assert cdc.fact_text(written).collect() == cdc.fact_payload(cdc.parse_cdc(written)).collect()
